@@ -10,12 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 from docmill.llm.common import table
 
 
+def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.language_id import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs.where(~held_out())))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.bpe import encode_decode
 
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op7_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.media import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.bitpack import token_files
 
@@ -28,5 +47,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_byte_bpe, op8_bitpack, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op6_secret_novelty, op7_media_chunks, op8_bitpack, op10_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
