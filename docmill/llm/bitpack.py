@@ -153,7 +153,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int = VOCABU
             sink.close()
 
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = (picked.repartitionByRange(shards, "doc_id", "text") if shards else picked.repartitionByRange("doc_id", "text")).sortWithinPartitions("doc_id", "text")
+    ordered = (picked.repartitionByRange(shards, "doc_id") if shards else picked.repartitionByRange("doc_id")).sortWithinPartitions("doc_id", "text")
     return written(ordered.mapInArrow(run, schema), "token-index")
 
 

@@ -23,6 +23,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.toxicity import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.secrets import scan
 
@@ -41,11 +48,17 @@ def op8_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.ngram_lm import model_scores
+
+    return model_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.decontaminate import hits
 
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op6_secret_novelty, op7_media_chunks, op8_bitpack, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
