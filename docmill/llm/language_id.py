@@ -182,8 +182,13 @@ def train(labelled: DataFrame) -> Model:
     """Model of (doc_id, text, lang) rows; null ids, texts and languages aside."""
     rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id")), "doc_id", "text")
-    sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
+    # A language's share of rows with small hashes, three times what is asked for, so the ranking below never
+    # gathers a language; a hash rank within that share is the rank among all rows.
+    spread = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("size")))  # one row a language
+    few = rows.join(sizes, "lang").where(spread <= 3.0 * SAMPLE_ROWS / F.col("size"))
+    order = Window.partitionBy("lang").orderBy(spread, "doc_id", "text")
+    sample = few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
     got = _count(sample).toArrow()
     return Model(got["lang"].to_pylist(), got["gram"].to_numpy(), got["n"].to_numpy())
 

@@ -23,6 +23,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.chosen_path import join
+
+    return join(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.toxicity import predict, train
 
@@ -60,5 +66,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
