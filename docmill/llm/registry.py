@@ -17,6 +17,12 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, train(docs.where(~held_out())))
 
 
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.pii import detect
+
+    return detect(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.bpe import encode_decode
 
@@ -66,5 +72,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op2_pii_weak_supervision, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
