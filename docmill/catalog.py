@@ -1,5 +1,346 @@
 """Named queries over the driver tables and the DuckDB SQL that checks them."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docmill.functions import text as T
+from docmill.operators import blocks as B
+from docmill.operators import bundle, chunks, filters, lines, ordinals, pack, sections, vectors
+from docmill.plans import oracles
+from docmill.plans.markdown import decorated, from_html
+from docmill.sources import readers
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
 FLAGSHIP = "q_chunks_full"
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "documents").select(F.col("doc_id").alias("source"), "text")
+
+
+def _md(spark: SparkSession, d: str) -> DataFrame:
+    return decorated(_table(spark, d, "documents"))
+
+
+def _md_lines(spark: SparkSession, d: str) -> DataFrame:
+    return lines.numbered(_md(spark, d).select("source", T.strip_spans("text").alias("text")))
+
+
+def _paged(spark: SparkSession, d: str) -> DataFrame:
+    return lines.paged(_md_lines(spark, d))
+
+
+def _sections(spark: SparkSession, d: str) -> DataFrame:
+    return sections.sections(lines.with_headings(_paged(spark, d)))
+
+
+@query
+def q_lines(spark, d):
+    return lines.numbered(_docs(spark, d))
+
+
+@query
+def q_page_fill(spark, d):
+    return _paged(spark, d)
+
+
+@query
+def q_heading_detect(spark, d):
+    return lines.with_headings(_md_lines(spark, d)).where("heading IS NOT NULL").select("source", "line_no", "heading.level", "heading.raw", F.col("heading.text").alias("heading_text"))
+
+
+@query
+def q_heading_path(spark, d):
+    return _sections(spark, d).select("source", "section_no", F.array_join("path", " / ").alias("path"), T.breadcrumb(F.col("path")).alias("breadcrumb"))
+
+
+@query
+def q_sections(spark, d):
+    return _sections(spark, d).select("source", "section_no", "section_id", "level", "heading_raw", "heading_text", "page_start", "page_end", "body")
+
+
+@query
+def q_classify_lines(spark, d):
+    return _md_lines(spark, d).select("source", "line_no", T.line_class(F.col("line")).alias("class"))
+
+
+@query
+def q_html_lines(spark, d):
+    rows = lines.with_headings(lines.numbered(from_html(_table(spark, d, "pages")))).where(T.strip(F.col("line")) != "")
+    return rows.groupBy("source").agg(
+        F.count("*").alias("n_lines"), F.count("heading").alias("n_headings"), F.count_if(T.line_class(F.col("line")) == "list").alias("n_list"), F.sum(F.length(T.inline(F.col("line")))).alias("n_chars")
+    )
+
+
+@query
+def q_blocks(spark, d):
+    return B.blocks(B.with_blocks(B.body_lines(_sections(spark, d)))).drop("lines")
+
+
+@query
+def q_skip_reasons(spark, d):
+    return _sections(spark, d).select("source", "section_no", F.coalesce(filters.reason(), F.lit("kept")).alias("reason"))
+
+
+@query
+def q_strip_spans(spark, d):
+    return _md(spark, d).select("source", T.strip_spans(F.col("text")).alias("stripped"), T.span_count(F.col("text")).alias("n_spans"))
+
+
+@query
+def q_span_totals(spark, d):
+    n = T.span_count(F.col("text"))
+    return _md(spark, d).agg(F.count("*").alias("files"), F.count_if(n == 0).alias("unchanged"), F.sum(n).cast("bigint").alias("removed"))
+
+
+@query
+def q_page_markers(spark, d):
+    line = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("{"), F.col("line_no"), F.lit("}"), F.repeat(F.lit("-"), F.lit(48)))).when(F.col("line_no") % 3 == 1, F.concat(F.lit("{7}"), F.repeat(F.lit("-"), F.lit(47)))).otherwise(F.col("line"))
+    return lines.numbered(_docs(spark, d)).select("source", "line_no", T.page_marker_line(line).alias("line"))
+
+
+@query
+def q_inline_strip(spark, d):
+    return _md_lines(spark, d).select("source", "line_no", T.inline(F.col("line")).alias("plain"), T.heading_key(F.col("line")).alias("key"))
+
+
+@query
+def q_footer_strip(spark, d):
+    return _md_lines(spark, d).select("source", "line_no", T.footer(F.col("line")).alias("footer"), T.table_artifact(F.col("line")).alias("artifact"))
+
+
+@query
+def q_clean_text(spark, d):
+    return _md(spark, d).select("source", T.clean(F.col("text")).alias("cleaned"))
+
+
+@query
+def q_window_split(spark, d):
+    pieces = F.posexplode(pack.window_split(F.col("text"), F.lit(800), F.lit(100)))
+    return _docs(spark, d).select("source", pieces.alias("piece_no", "piece"))
+
+
+@query
+def q_pack_blocks(spark, d):
+    rows = lines.numbered(_docs(spark, d)).where(T.strip(F.col("line")) != "").withColumn("text", T.strip(F.col("line")))
+    cells = rows.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: F.struct(x["text"].alias("text"))).alias("pieces"))
+    groups = cells.select("source", F.posexplode(pack.pack(F.col("pieces"), F.lit("# Heading"), 800)).alias("group_no", "cells"))
+    return groups.select("source", "group_no", F.size("cells").alias("n_blocks"), F.array_join("cells.text", "\n\n").alias("body"))
+
+
+def _long_blocks(spark, d, kind):
+    return B.blocks(B.with_blocks(B.body_lines(_sections(spark, d)))).where((F.col("block_type") == kind) & (F.length("text") > 800))
+
+
+def _pieces(rows):
+    made = F.posexplode(pack.split_block(F.col("block_type"), F.col("text"), F.col("lines"), 800, 100))
+    return rows.select("source", "section_no", "block", made.alias("piece_no", "piece"))
+
+
+@query
+def q_table_split(spark, d):
+    return _pieces(_long_blocks(spark, d, "table"))
+
+
+@query
+def q_list_split(spark, d):
+    return _pieces(_long_blocks(spark, d, "list"))
+
+
+def _written_chunks(spark, d):
+    return chunks.chunks(_md(spark, d))
+
+
+@query
+def q_chunks_full(spark, d):
+    return _written_chunks(spark, d).withColumn("section_path", F.array_join("section_path", " / "))
+
+
+@query
+def q_chunks_dedup(spark, d):
+    return chunks.prefixed(chunks.dedup(_written_chunks(spark, d))).select("index", "chunk_id", "source", "entry", T.label(F.col("entry")).alias("label"))
+
+
+@query
+def q_chunks_total(spark, d):
+    return chunks.summary(_written_chunks(spark, d))
+
+
+@query
+def q_header_cap(spark, d):
+    head = chunks.header(F.array(F.lit("Part"), F.substring("text", 1, 900), F.substring("text", 1, 1200)), F.concat(F.lit("# "), F.substring("text", 1, 1200)), chunks.ChunkConfig())
+    return _docs(spark, d).select("source", head.alias("header"))
+
+
+@query
+def q_dedup_first(spark, d):
+    return chunks.first_of_each(_table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id").select("doc_id", F.length("text").alias("n_chars"))
+
+
+@query
+def q_dup_count(spark, d):
+    groups = _table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("digest")).agg(F.count("*").alias("n"))
+    return groups.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_texts"), F.sum(F.col("n") - 1).alias("n_removed"))
+
+
+@query
+def q_chunk_summary(spark, d):
+    return chunks.summary(q_window_split(spark, d).withColumnRenamed("piece", "text"))
+
+
+@query
+def q_chunks_per_source(spark, d):
+    long = q_window_split(spark, d).where(F.length("piece") >= 700).groupBy("source").agg(F.count("*").alias("n"))
+    return _docs(spark, d).select("source").join(long, "source", "left").select("source", F.coalesce("n", F.lit(0)).alias("n_chunks"))
+
+
+@query
+def q_global_index(spark, d):
+    return ordinals.numbered(lines.numbered(_docs(spark, d)), "source", ["line_no"], "row_id").select("source", "line_no", "row_id")
+
+
+@query
+def q_slice(spark, d):
+    return ordinals.numbered(lines.numbered(_docs(spark, d)), "source", ["line_no"], "row_id").where(F.col("row_id").between(101, 300)).select("row_id", "line")
+
+
+@query
+def q_normalize_ids(spark, d):
+    return _table(spark, d, "pages").select("page_id", T.normalized_id(F.col("url")).alias("normalized_id"))
+
+
+@query
+def q_norm_collisions(spark, d):
+    return bundle.collisions(_table(spark, d, "pages").select(F.regexp_replace("url", "[0-9]$", "?").alias("source")))
+
+
+@query
+def q_exclude_anti(spark, d):
+    bad = _table(spark, d, "labels").where("toxic = 1").select("doc_id")
+    return readers.without(_table(spark, d, "documents").select("doc_id", "source"), bad, "doc_id")
+
+
+@query
+def q_unresolved_sources(spark, d):
+    held = _table(spark, d, "documents").where("lang = 'en'").select("source", F.col("doc_id").cast("string").alias("rel_path"))
+    return bundle.unresolved(_table(spark, d, "documents").where("lang = 'es'").select("source").distinct(), held.where("rel_path LIKE '%7'"))
+
+
+@query
+def q_resolve_first(spark, d):
+    docs = _table(spark, d, "documents")
+    return bundle.resolve(docs.select("source").distinct(), docs.where("lang = 'fr'").select("source", F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("rel_path")))
+
+
+@query
+def q_sha256(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("file_size"))
+
+
+@query
+def q_manifest(spark, d):
+    pages = _table(spark, d, "pages").select(F.col("url").alias("source"), F.col("url").alias("rel_path"), F.octet_length("html").cast("bigint").alias("length"), F.col("html").cast("binary").alias("content"))
+    return bundle.document_entries(bundle.resolve(pages.select("source").distinct(), pages), pages)
+
+
+@query
+def q_manifest_json(spark, d):
+    return bundle.manifest(q_manifest(spark, d).where("file_size % 10 = 0"), q_sha256(spark, d).where("doc_id < 5").select(F.col("doc_id").cast("string").alias("path"), "file_size", "sha256"), "v1")
+
+
+@query
+def q_checksums(spark, d):
+    return bundle.checksums(q_manifest(spark, d), "bundle_path")
+
+
+@query
+def q_bad_entries(spark, d):
+    return bundle.bad_entries(_table(spark, d, "pages").select("page_id", F.concat(F.element_at(F.array(F.lit("x/._a"), F.lit("__MACOSX/b"), F.lit("a/.DS_Store"), F.lit("ok/")), (F.col("page_id") % 4 + 1).cast("int")), F.when(F.col("page_id") % 4 == 3, F.col("url")).otherwise("")).alias("path")))
+
+
+@query
+def q_bundle_totals(spark, d):
+    return bundle.totals(_table(spark, d, "pages").select(F.octet_length("html").alias("length")))
+
+
+def _entries(spark, d):
+    return _docs(spark, d).select("source", F.concat(F.lit("<sep>[SOURCE:src"), F.col("source") % 20, F.lit("|PAGE:1]\n"), F.replace("text", F.lit("\n"), F.when(F.col("source") % 5 == 0, F.lit("\n<sep>")).otherwise(F.lit("\n")))).alias("file"))
+
+
+@query
+def q_chunkfile_roundtrip(spark, d):
+    return _entries(spark, d).select("source", F.posexplode(readers.records(F.col("file"))).alias("record_no", "entry"))
+
+
+@query
+def q_count_separators(spark, d):
+    return lines.numbered(_entries(spark, d).select("source", F.col("file").alias("text"))).groupBy("source").agg(F.count_if(F.col("line").startswith("<sep>")).alias("n"))
+
+
+@query
+def q_source_ids(spark, d):
+    return readers.source_ids(q_chunkfile_roundtrip(spark, d))
+
+
+@query
+def q_labels(spark, d):
+    return q_chunkfile_roundtrip(spark, d).groupBy(T.label(F.col("entry")).alias("label")).agg(F.count("*").alias("n"))
+
+
+@query
+def q_union_corpora(spark, d):
+    a = _docs(spark, d).select(F.lit(0).alias("corpus_rank"), F.col("source").cast("string").alias("source"), "text")
+    b = _table(spark, d, "pages").select(F.lit(1).alias("corpus_rank"), F.col("page_id").cast("string").alias("source"), F.col("html").alias("text"))
+    kept, skipped = readers.corpora(a, b, skip=("3", "5"))
+    return kept.groupBy("corpus_rank").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.lit("kept").alias("state")).unionByName(skipped.groupBy(F.lit(-1).alias("corpus_rank")).agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("chars"), F.max("reason").alias("state")))
+
+
+@query
+def q_progress(spark, d):
+    rows = _table(spark, d, "conversations").select(F.col("conv_id").alias("worker"), F.col("turn").alias("seq"), F.concat(F.lit("done "), F.col("turn"), F.lit("/"), F.length("text")).alias("line"))
+    return readers.progress(rows)
+
+
+@query
+def q_vf32_roundtrip(spark, d):
+    blob = _table(spark, d, "embeddings").select("vec_id", "embedding", vectors.vf32_encode(F.col("embedding")).alias("blob"))
+    back = blob.select("vec_id", "blob", vectors.vf32_decode(F.col("blob")).alias("v"))
+    return back.select("vec_id", F.octet_length("blob").cast("bigint").alias("n_bytes"), F.hex(F.substring("blob", 1, 4)).alias("prefix"), F.size("v").cast("bigint").alias("dim"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
+
+
+@query
+def q_token_pad(spark, d):
+    ids = F.transform(F.split(F.substring("text", 1, 60), " "), lambda w: F.length(w))
+    return _docs(spark, d).select("source", F.array_join(vectors.pad(ids, 12), " ").alias("ids"))
+
+
+@query
+def q_embed_stub(spark, d):
+    rows = vectors.embed(_docs(spark, d))
+    return rows.select("source", F.size("vector").alias("dim"), vectors.vf32_encode(F.col("vector")).alias("embeddings"), "error")
+
+
+@query
+def q_cosine_topk(spark, d):
+    rows = _table(spark, d, "embeddings")
+    return vectors.top_k(rows.where("vec_id % 20 = 0"), rows, 5)
+
+
+@query
+def q_events_windows(spark, d):
+    """The batch form of the streaming windowed count."""
+    return _table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.unix_timestamp("w.start").alias("start"), "event_type", "n")
+
+
+ORACLE_SQL: dict = {k: v for k, v in oracles.SQL.items() if k in QUERIES}

@@ -51,16 +51,16 @@ def emit(parts: DataFrame, config: ChunkConfig) -> DataFrame:
     head = header(F.col("path"), F.col("heading_raw"), config)
     rows = parts.withColumn("_head", head).withColumn("body", T.strip("body"))
     budget = F.lit(config.max_chars) - F.when(F.length("_head") > 0, F.length("_head") + 2).otherwise(0)
-    short = rows.where(F.length("body") <= budget).withColumn("pieces", F.array("body"))
-    long = rows.where(F.length("body") > budget).withColumn("pieces", pack.window_split("body", budget, F.lit(config.overlap)))
-    exploded = short.unionByName(long).select("*", F.posexplode("pieces").alias("piece_no", "piece")).where(T.strip(F.col("piece")) != "")
+    # A body within its budget comes back as it is, so one pass serves both.
+    exploded = rows.select("*", F.posexplode(pack.window_split("body", budget, F.lit(config.overlap))).alias("piece_no", "piece")).where(T.strip(F.col("piece")) != "")
     text = T.clean(F.concat_ws("\n\n", F.when(F.col("_head") != "", F.col("_head")), T.strip(F.col("piece"))))
     return exploded.withColumn("text", text).where(F.length("text") >= config.min_chars).select("source", "section_no", "section_id", "path", "part_no", "piece_no", "type", "page_start", "page_end", "text")
 
 
 def chunks(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """All passages of (source, text) markdown with their global index, before duplicates go."""
-    found = emit(bodies(filters.kept(sections(docs)), config), config)
+    kept = ordinals.written(filters.kept(sections(docs)), "sections")  # read twice below: short and long sections
+    found = ordinals.written(emit(bodies(kept, config), config), "passages")  # read twice: counts and numbers
     numbered = ordinals.numbered(found, "source", ["section_no", "part_no", "piece_no"], "index")
     return numbered.select(
         "index", F.format_string("%s:chunk:%05d", F.col("source").cast("string"), F.col("index")).alias("chunk_id"), "source", "section_id", F.col("path").alias("section_path"),

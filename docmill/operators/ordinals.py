@@ -18,13 +18,18 @@ def scratch(df: DataFrame, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later passes don't repeat the work, and lost executors lose nothing."""
+    path = scratch(df, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def offsets(df: DataFrame, key: str) -> DataFrame:
     """(key, before): how many rows have a smaller key.  Counts by key are range-partitioned and written with their
     partition number, so partitions' totals, one row each, give every partition its base."""
     counts = df.groupBy(key).agg(F.count("*").alias("n")).repartitionByRange(key).withColumn("part", F.spark_partition_id())
-    path = scratch(df, "offsets")
-    counts.write.parquet(path)
-    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+    counts = written(counts, "offsets")
     totals = counts.groupBy("part").agg(F.sum("n").alias("total"))
     base = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
