@@ -9,9 +9,9 @@ more.  Equal texts are collapsed first, so copies never meet each other.
    splits again, down to ``DEPTH`` levels.  Runs repeat until a pair at the threshold is met with ``RECALL``
    probability even if every bucket on its way had to be split to the last level.
 3. Leaves are brute-forced on signatures: pairs with at least ``AGREE`` equal coordinates (over four standard deviations below
-   the threshold) connect.  A leaf that is still large is dealt out as pairs of blocks of ``SMALL`` sets.  Only star edges leave a task.
+   the threshold) connect.  A leaf that is still large is dealt out as pairs of blocks of about ``BLOCK`` sets.  Only star edges leave a task.
 4. Connected sets form candidate clusters; each is verified exactly, all pairs on full shingle sets by blocked matrix products, in
-   pairs of blocks where it is large.  This finds links within a cluster that no leaf held, too.  A task returns counts of links
+   pairs of blocks of about ``VERIFY_BLOCK`` where it is large.  This finds links within a cluster that no leaf held, too.  A task returns counts of links
    and star edges, never pairs.
 
 Defined results: one row for each input row: doc_id, class_id (least doc_id of its connected class), n_links (different
@@ -39,6 +39,8 @@ THRESHOLD = 0.8
 K = 64
 AGREE = 36
 SMALL = 128
+BLOCK = 1024
+VERIFY_BLOCK = 512
 DEPTH = 3
 RECALL = 0.999
 _GOLD = 0x9E3779B97F4A7C15
@@ -160,9 +162,9 @@ def _labels(near: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _dealt(rows: DataFrame, key: str, size: str) -> DataFrame:
-    """Rows of groups of any size as pairs of blocks: (key, i, j, side, ...); a group of at most SMALL rows is the block pair (0, 0)."""
-    blocks = F.ceil(F.col(size) / SMALL).cast("int")
+def _dealt(rows: DataFrame, key: str, size: str, block: int) -> DataFrame:
+    """Rows of groups of any size as pairs of blocks: (key, i, j, side, ...); a group of at most ``block`` rows is the block pair (0, 0)."""
+    blocks = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("own", own)
     pairs = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -187,7 +189,7 @@ def candidate_edges(sketch: DataFrame, threshold: float = THRESHOLD) -> DataFram
     # Runs meet the same pairs again: leaves with the same members are one.  A member list has at most SMALL entries.
     lists = small.groupBy("path").agg(F.sort_array(F.collect_list("node")).alias("members")).select("members").distinct()
     leaves = lists.select(F.xxhash64("members").alias("path"), F.explode("members").alias("node")).withColumn("size", F.lit(1).cast("bigint"))
-    rows = _dealt(leaves.union(large.select("path", "node", "size")).join(sketch, "node"), "path", "size")
+    rows = _dealt(leaves.union(large.select("path", "node", "size")).join(sketch, "node"), "path", "size", BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -271,7 +273,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     none = F.lit(-(1 << 63))
     wanted = clusters.join(sizes, "cluster").join(texts.select("node", F.coalesce("rep", none).alias("rep")), "node")
     picked = nodes.withColumn("rep", F.coalesce("doc_id", none)).join(wanted, ["node", "rep"])
-    rows = _dealt(picked.withColumn("whole", F.col("size") <= SMALL).select("cluster", "size", "node", "text", "whole"), "cluster", "size")
+    rows = _dealt(picked.withColumn("whole", F.col("size") <= VERIFY_BLOCK).select("cluster", "size", "node", "text", "whole"), "cluster", "size", VERIFY_BLOCK)
     found = written(_verified(rows, threshold), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     one = found.where("whole").select("node", "root")
