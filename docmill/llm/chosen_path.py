@@ -282,7 +282,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     labelled = texts.join(roots, "node", "left").join(links, "node", "left").select("node", "rep", "rows", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     labelled = written(labelled, "classes")
     least = labelled.groupBy("root").agg(F.min("rep").alias("class_id"))
-    return members, labelled.join(least, "root").select("node", "class_id", "n_links", (F.col("rows") - 1).alias("n_copies"), "rep")
+    return members, labelled.join(least, "root").select("node", "root", "class_id", "n_links", (F.col("rows") - 1).alias("n_copies"), "rep")
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -292,11 +292,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: that of the least doc_id (of equal rows and of null ids, one)."""
+    """``docs`` with one row of each class: that of the least doc_id (of equal rows, one; of a class with null ids only, one)."""
     _, labelled = classes(docs, threshold)
-    extra = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = docs.withColumn("_node", _node(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    winners = labelled.where(F.col("rep").eqNullSafe(F.col("class_id")) | F.col("class_id").isNull())
-    winners = winners.groupBy("class_id").agg(F.min("node").alias("_node"))  # equal doc_ids of different texts: one
-    kept = rows.join(winners, (rows["_node"] == winners["_node"]) & rows["doc_id"].eqNullSafe(winners["class_id"])).select(*[rows[c] for c in docs.columns], rows["_node"])
-    return kept.groupBy("_node", "doc_id").agg(*[F.min(F.struct("text", *extra)).alias("_row")]).select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    none = F.lit(-(1 << 63))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("r"), F.coalesce(F.col("doc_id").cast("bigint"), none).alias("id"), _node(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("node"))
+    winners = labelled.where(F.col("rep").eqNullSafe(F.col("class_id")))
+    # Equal doc_ids of different texts in a class: one.  A class of null ids only has no least id, so its root tells it apart.
+    winners = winners.groupBy(F.coalesce("class_id", none).alias("id"), F.when(F.col("class_id").isNull(), F.col("root")).alias("root")).agg(F.min("node").alias("node"))
+    return rows.join(winners, ["id", "node"]).groupBy("id", "node").agg(F.min_by("r", F.to_json("r")).alias("r")).select("r.*")

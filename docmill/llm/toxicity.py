@@ -81,15 +81,11 @@ class Model:
 
 
 def fit(bounds: np.ndarray, features: np.ndarray, values: np.ndarray, grade: np.ndarray) -> Model:
-    """Maximum likelihood by Adam over all rows of the sample."""
+    """Maximum likelihood by Adam over all rows of the sample, which hold selected features only."""
     n, K = len(bounds) - 1, int(grade.max())
     rows = np.repeat(np.arange(n), np.diff(bounds))
-    bad = (grade > 0)[rows]
-    n1, n0 = np.bincount(features[bad], minlength=1 << BITS), np.bincount(features[~bad], minlength=1 << BITS)
-    known = (n1 + n0 >= LEAST) & (evidence(n1, n0, int((grade > 0).sum()), int((grade == 0).sum())) >= EVIDENCE)
-    use = known[features]
-    own, features = np.unique(features[use], return_inverse=True)  # columns that are used
-    rows, x = rows[use], values[use]
+    own, features = np.unique(features, return_inverse=True)  # columns that are used
+    x = values
     w, first, gaps = np.zeros(len(own)), 0.0, np.zeros(K - 1)
     moments = [[np.zeros(len(own)), np.zeros(len(own))], [np.zeros(K), np.zeros(K)]]
     for step in range(1, ROUNDS + 1):
@@ -131,11 +127,33 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
     # At most SAMPLE rows a grade: a proven bound, so documents are filtered where they lie.
     picked = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("grade", "text")
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            grade = b.column(0).to_numpy()
+            for i, n, bounds, features, _ in sparse(b.column(1)):
+                toxic = np.repeat(grade[i : i + n] > lowest, np.diff(bounds))
+                f, place = np.unique(features, return_inverse=True)
+                n1 = np.bincount(place, toxic, len(f)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(n1), pa.array(np.bincount(place, minlength=len(f)) - n1)], ["feature", "n1", "n0"])
+
+    shares = {r["grade"]: (r["n"], r["sampled"]) for r in known.groupBy("grade").agg(F.count("*").alias("n"), F.least(F.count("*"), F.lit(SAMPLE)).alias("sampled")).collect()}  # one row a grade
+    if len(shares) < 2:
+        return None
+    lowest = min(shares)
+    met = picked.mapInArrow(count, "feature bigint, n1 bigint, n0 bigint").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST).toArrow()
+    n1, n0 = met["n1"].to_numpy(), met["n0"].to_numpy()
+    N = {k: sum(v[1] for g, v in shares.items() if (g == lowest) == k) for k in (True, False)}
+    chosen = np.zeros(1 << BITS, bool)  # of at most 2^BITS features, those with evidence
+    chosen[met["feature"].to_numpy()[evidence(n1, n0, N[False], N[True]) >= EVIDENCE]] = True
+    selected = docs.sparkSession.sparkContext.broadcast(np.packbits(chosen))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = np.unpackbits(selected.value).astype(bool)
         for b in batches:
             for i, n, bounds, features, values in sparse(b.column(1)):
-                cut = pa.array(bounds.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.ListArray.from_arrays(cut, pa.array(features)), pa.ListArray.from_arrays(cut, pa.array(values))], ["grade", "features", "values"])
+                keep = use[features]
+                cut = pa.array(np.concatenate(([0], np.cumsum(keep)))[bounds].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.ListArray.from_arrays(cut, pa.array(features[keep])), pa.ListArray.from_arrays(cut, pa.array(values[keep]))], ["grade", "features", "values"])
 
     got = picked.mapInArrow(run, "grade int, features array<bigint>, values array<double>").toArrow().combine_chunks()
     grade = got["grade"].to_numpy()
@@ -145,11 +163,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
     features, values = (np.array(pc.list_flatten(got[c])) for c in ("features", "values"))
     bounds = np.concatenate(([0], np.cumsum(lens)))
     grade = grade - grade.min()
-    shares = {r["grade"]: r["n"] for r in known.groupBy("grade").agg(F.count("*").alias("n")).collect()}  # one row a grade
-    lowest = min(shares)
     clean, sampled = int((grade == 0).sum()), len(grade)
     # The sample is balanced: thresholds move by the log ratio of the odds in the labels to those in the sample.
-    shift = np.log((sum(shares.values()) - shares[lowest]) / shares[lowest]) - np.log((sampled - clean) / clean)
+    shift = np.log((sum(v[0] for v in shares.values()) - shares[lowest][0]) / shares[lowest][0]) - np.log((sampled - clean) / clean)
     if grade.max() == 1:
         model = fit(bounds, features, values, grade)
         dot = _rows_dot(bounds, features, values, model.weights)
