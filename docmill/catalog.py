@@ -222,7 +222,8 @@ def q_normalize_ids(spark, d):
 
 @query
 def q_norm_collisions(spark, d):
-    return bundle.collisions(_table(spark, d, "pages").select(F.regexp_replace("url", "[0-9]$", "?").alias("source")))
+    urls = _table(spark, d, "pages").select(F.col("url").alias("source"))
+    return bundle.collisions(urls.union(urls.select(F.replace("source", F.lit("/"), F.lit("_")))))
 
 
 @query
@@ -233,8 +234,8 @@ def q_exclude_anti(spark, d):
 
 @query
 def q_unresolved_sources(spark, d):
-    held = _table(spark, d, "documents").where("lang = 'en'").select("source", F.col("doc_id").cast("string").alias("rel_path"))
-    return bundle.unresolved(_table(spark, d, "documents").where("lang = 'es'").select("source").distinct(), held.where("rel_path LIKE '%7'"))
+    docs = _table(spark, d, "documents")
+    return bundle.unresolved(docs.select("source").distinct(), docs.where("n_chars >= 12000"))
 
 
 @query
@@ -256,7 +257,11 @@ def q_manifest(spark, d):
 
 @query
 def q_manifest_json(spark, d):
-    return bundle.manifest(q_manifest(spark, d).where("file_size % 10 = 0"), q_sha256(spark, d).where("doc_id < 5").select(F.col("doc_id").cast("string").alias("path"), "file_size", "sha256"), "v1")
+    """A bundle of one file for each source, with the nations as artefacts."""
+    files = _table(spark, d, "documents").groupBy("source").agg(F.min("text").alias("text"))
+    files = files.select("source", F.col("source").alias("rel_path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content"))
+    nations = _table(spark, d, "nation").select(F.col("n_name").alias("rel_path"), F.octet_length("n_name").cast("bigint").alias("length"), F.col("n_name").cast("binary").alias("content"))
+    return bundle.manifest(bundle.document_entries(bundle.resolve(files.select("source"), files), files), bundle.artifact_entries(nations), "v1")
 
 
 @query

@@ -42,10 +42,11 @@ def artifact_entries(files: DataFrame) -> DataFrame:
 
 def manifest(documents: DataFrame, artifacts: DataFrame, version: str, commit: str = "unknown") -> DataFrame:
     """One row, one JSON column.  A bundle lists files of one release, not rows of the corpus."""
-    docs = documents.agg(F.array_sort(F.collect_list(F.struct("source_id", "normalized_id", "bundle_path", "file_size", "sha256"))).alias("documents"))
-    files = artifacts.agg(F.array_sort(F.collect_list(F.struct("path", "file_size", "sha256"))).alias("artifacts"))
+    d = documents.select(F.struct("source_id", "normalized_id", "bundle_path", "file_size", "sha256").alias("d"))
+    a = artifacts.select(F.struct("path", "file_size", "sha256").alias("a"))
+    both = d.unionByName(a, allowMissingColumns=True).agg(F.array_sort(F.collect_list("a")).alias("artifacts"), F.array_sort(F.collect_list("d")).alias("documents"))
     whole = F.struct(F.lit(1).alias("schema_version"), F.lit(version).alias("bundle_version"), F.lit(commit).alias("producer_commit"), "artifacts", "documents")
-    return docs.join(files, F.lit(True)).select(F.to_json(whole).alias("manifest"))
+    return both.select(F.to_json(whole).alias("manifest"))
 
 
 def checksums(entries: DataFrame, path: str) -> DataFrame:

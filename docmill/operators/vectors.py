@@ -8,6 +8,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, FloatType, StringType, StructField, StructType
@@ -83,18 +84,42 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-MAX_QUERIES = 10_000
+BLOCK = 4096
+FOUND = "query_id bigint, vec_id bigint, score double"
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    m = np.stack(column.to_numpy(zero_copy_only=False)).astype(np.float64)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k nearest rows of each query, both (id, embedding).
-
-    The queries are a stated set of at most MAX_QUERIES rows, checked, and are sent to every task as one array; each row scores
-    itself against them and the window's group limit keeps k rows a query in each task before anything is shuffled."""
-    held = queries.limit(MAX_QUERIES + 1).agg(F.collect_list(F.struct(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))).alias("queries"), F.count("*").alias("n"))
-    if held.first()["n"] > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries: search in blocks")
-    scored = rows.join(F.broadcast(held.select("queries")), F.lit(True)).select("vec_id", "embedding", F.explode("queries").alias("x"))
-    scored = scored.where(F.col("x.query_id") != F.col("vec_id")).select(F.col("x.query_id").alias("query_id"), "vec_id", F.round(cosine(F.col("x.q"), F.col("embedding")), 5).alias("score"))
+    """(query_id, vec_id, score, rank): the k nearest rows of each query, itself aside, both (vec_id, embedding) with vectors of one
+    length; ties go to the smaller vec_id.
+
+    Queries go out in blocks of about BLOCK vectors, the bound of each broadcast; every batch of rows is one matrix product and
+    sends k rows a query at most, of which a window keeps the best."""
+    spark, blocks = rows.sparkSession, -(-queries.count() // BLOCK)
+    out = spark.createDataFrame([], FOUND)
+    for b in range(blocks):
+        held = queries.select("vec_id", "embedding").where("embedding IS NOT NULL").where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow().combine_chunks()
+        if not held.num_rows:
+            continue
+        shared = spark.sparkContext.broadcast((held["vec_id"].to_numpy(), _matrix(held["embedding"].combine_chunks())))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, q = shared.value
+            for batch in batches:
+                if batch.num_rows:
+                    own = batch.column(0).to_numpy()
+                    by = np.argsort(own, kind="stable")
+                    own, score = own[by], np.round(q @ _matrix(batch.column(1))[by].T, 5)
+                    score[ids[:, None] == own[None, :]] = -np.inf
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                    found = np.take_along_axis(score, best, axis=1)
+                    use = np.isfinite(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])[use.ravel()]), pa.array(own[best][use]), pa.array(found[use])], ["query_id", "vec_id", "score"])
+
+        out = out.union(rows.select("vec_id", "embedding").where("embedding IS NOT NULL").mapInArrow(run, FOUND))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

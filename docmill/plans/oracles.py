@@ -242,9 +242,9 @@ RAW = {
     "q_global_index": ("source bigint, line_no int, row_id bigint", f"{INDEXED} SELECT source, line_no, row_id FROM nx"),
     "q_slice": ("row_id bigint, line string", f"{INDEXED} SELECT row_id, line FROM nx WHERE row_id BETWEEN 101 AND 300"),
     "q_normalize_ids": ("page_id bigint, normalized_id string", f"SELECT page_id, {NORM.format('url')} AS normalized_id FROM pages"),
-    "q_norm_collisions": ("normalized_id string, n bigint", f"SELECT {NORM.format('s')} AS normalized_id, count(DISTINCT s) AS n FROM (SELECT regexp_replace(url, '[0-9]$', '?') AS s FROM pages) GROUP BY 1 HAVING count(DISTINCT s) > 1"),
+    "q_norm_collisions": ("normalized_id string, n bigint", f"SELECT {NORM.format('s')} AS normalized_id, count(DISTINCT s) AS n FROM (SELECT url AS s FROM pages UNION ALL SELECT replace(url, '/', '_') FROM pages) GROUP BY 1 HAVING count(DISTINCT s) > 1"),
     "q_exclude_anti": ("doc_id bigint, source string", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)"),
-    "q_unresolved_sources": ("source string", "SELECT DISTINCT source FROM documents WHERE lang = 'es' AND source NOT IN (SELECT source FROM documents WHERE lang = 'en' AND CAST(doc_id AS STRING) LIKE '%7')"),
+    "q_unresolved_sources": ("source string", "SELECT source FROM documents GROUP BY source HAVING max(n_chars) < 12000"),
     "q_resolve_first": ("source string, rel_path string", "SELECT source, min(lpad(CAST(doc_id AS STRING), 9, '0')) FILTER (lang = 'fr') AS rel_path FROM documents GROUP BY source"),
     "q_sha256": ("doc_id bigint, sha256 string, file_size bigint", "SELECT doc_id, sha256(text) AS sha256, strlen(text) AS file_size FROM documents"),
     "q_manifest": (_ENTRY_ROW, _MANIFEST),

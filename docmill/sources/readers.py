@@ -25,7 +25,7 @@ def stem(c: Column) -> Column:
 
 def markdown(spark: SparkSession, folder: str, corpus_rank: int = 0) -> DataFrame:
     """(corpus_rank, source, text) of a folder's ``*.md`` files, line breaks unified."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(folder)
+    rows = spark.read.text(folder, wholetext=True, pathGlobFilter="*.md")
     text = F.regexp_replace(F.col("value"), "\r\n?", "\n")
     return rows.select(F.lit(corpus_rank).alias("corpus_rank"), stem(file_name()).alias("source"), text.alias("text"))
 
@@ -70,7 +70,7 @@ def records(text: Column) -> Column:
 
 def passages(spark: SparkSession, path: str) -> DataFrame:
     """(file, record_no, entry) of passage files."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(file_name().alias("file"), F.posexplode(records(F.col("value"))).alias("record_no", "entry"))
 
 
