@@ -90,7 +90,7 @@ def q_blocks(spark, d):
 
 @query
 def q_skip_reasons(spark, d):
-    return _sections(spark, d).select("source", "section_no", F.coalesce(filters.reason(), F.lit("kept")).alias("reason"))
+    return filters.explained(_sections(spark, d)).select("source", "section_no", F.coalesce("reason", F.lit("kept")).alias("reason"))
 
 
 @query

@@ -19,8 +19,20 @@ def sub(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
+#: What counts as white space at the ends of a text.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    return sub(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACE))
+
+
+def rstrip(c: Column) -> Column:
+    return F.rtrim(c, F.lit(SPACE))
+
+
+def lstrip(c: Column) -> Column:
+    return F.ltrim(c, F.lit(SPACE))
 
 
 def lines(c: Column) -> Column:

@@ -59,7 +59,9 @@ def emit(parts: DataFrame, config: ChunkConfig) -> DataFrame:
 
 def chunks(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """All passages of (source, text) markdown with their global index, before duplicates go."""
-    kept = ordinals.written(filters.kept(sections(docs)), "sections")  # read twice below: short and long sections
+    # Read twice below, for short and for long sections; the reason is a stored column, so its filter reaches the scan
+    # and isn't pushed, expanded, through the projections that make it.
+    kept = ordinals.written(filters.explained(sections(docs)), "sections").where("reason IS NULL").drop("reason")
     found = ordinals.written(emit(bodies(kept, config), config), "passages")  # read twice: counts and numbers
     numbered = ordinals.numbered(found, "source", ["section_no", "part_no", "piece_no"], "index")
     return numbered.select(

@@ -28,72 +28,84 @@ def cross_reference(body: Column) -> Column:
     return T.inline(body).rlike(r"(?iU)^\s*Recommendations?\s+[\d.]+(?:\s*(?:,|and|to|–|-)\s*[\d.]+)*\.?\s*$")
 
 
-def _filled(body: Column) -> Column:
-    """Right-stripped lines that aren't blank."""
-    return F.transform(F.filter(T.lines(body), lambda s: T.strip(s) != ""), lambda s: T.sub(s, r"(?U)\s+$", ""))
+def table_profile(body: Column) -> Column:
+    """array<struct<row, bare, plain, cells, filled>> of the lines that aren't blank: whether a line is a table row, whether it
+    is a separator (``bare``: as it stands; ``plain``: without tags), and its cells."""
 
+    def line(s: Column) -> Column:
+        row = s.startswith("|") & s.endswith("|")
+        cells = F.when(row, F.transform(F.split(F.btrim(s, F.lit("|")), r"\|", -1), lambda c: T.strip(c)))
+        return F.struct(row.alias("row"), cells.alias("cells"))
 
-def _is_row(s: Column) -> Column:
-    return s.startswith("|") & s.endswith("|")
+    def counted(x: Column) -> Column:
+        plain = F.transform(x["cells"], lambda c: F.when(c.contains("<"), T.strip(T.sub(c, r"<[^>]+>", ""))).otherwise(c))
+        return F.struct(
+            x["row"].alias("row"), F.forall(x["cells"], lambda c: c.rlike(r"^[-: ]+$")).alias("bare"), F.forall(plain, lambda c: c.rlike(r"^[-: ]+$")).alias("plain"),
+            F.size(x["cells"]).alias("cells"), F.size(F.filter(plain, lambda c: c != "")).alias("filled"),
+        )
 
+    filled = F.filter(F.transform(T.lines(body), lambda s: T.rstrip(s)), lambda s: s != "")
+    return F.transform(F.transform(filled, line), counted)
 
-def _rows(lines: Column, untagged_first: bool) -> Column:
-    """array<struct<cells, filled>> of the table rows that aren't separators."""
 
-    def row(s: Column) -> Column:
-        cells = F.transform(F.split(F.btrim(s, F.lit("|")), r"\|", -1), lambda c: T.strip(c))
-        plain = F.transform(cells, lambda c: T.strip(T.sub(c, r"<[^>]+>", "")))
-        separator = F.forall(plain if untagged_first else cells, lambda c: c.rlike(r"^[-: ]+$"))
-        return F.struct(separator.alias("separator"), F.size(cells).alias("cells"), F.size(F.filter(plain, lambda c: c != "")).alias("filled"))
-
-    return F.filter(F.transform(lines, row), lambda r: ~r["separator"])
-
-
-def blank_form(body: Column) -> Column:
+def blank_form(profile: Column) -> Column:
     """A pure table with over half of its data rows blank, or with none."""
-    lines = _filled(body)
-    rows = _rows(lines, False)
-    blank = F.size(F.filter(rows, lambda r: r["filled"] == 0))
-    return (F.size(lines) > 0) & F.forall(lines, _is_row) & ((F.size(rows) == 0) | (F.try_divide(blank, F.size(rows)) > 0.5))
+    rows = F.size(F.filter(profile, lambda r: ~r["bare"]))
+    blank = F.size(F.filter(profile, lambda r: ~r["bare"] & (r["filled"] == 0)))
+    return (F.size(profile) > 0) & F.forall(profile, lambda r: r["row"]) & ((rows == 0) | (blank * 2 > rows))
 
 
-def sparse_template(head: Column, path: Column, body: Column) -> Column:
+def sparse_template(key: Column, profile: Column) -> Column:
     """A form-like heading over a table of five or more columns that is under 45 % filled."""
-    key = T.heading_key(F.when(F.size(path) > 0, F.array_join(path, " ")).otherwise(F.coalesce(head, F.lit(""))))
-    lines = _filled(body)
-    table = F.filter(lines, _is_row)
-    rows = _rows(table, True)
-    total, filled = (F.aggregate(rows, F.lit(0), lambda acc, r: acc + r["cells"]), F.aggregate(rows, F.lit(0), lambda acc, r: acc + r["filled"]))
-    wide = F.array_max(F.transform(rows, lambda r: r["cells"])) >= 5
-    sparse = (F.size(rows) == 0) | (total == 0) | (wide & (F.try_divide(filled, total) < 0.45))
-    return key.rlike(TEMPLATE_HEADING) & (F.size(table) >= 3) & (F.try_divide(F.size(table), F.size(lines)) >= 0.7) & sparse
+    table = F.filter(profile, lambda r: r["row"])
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("cells"), F.lit(0).alias("filled"), F.lit(0).alias("wide"))
+
+    def add(acc: Column, r: Column) -> Column:
+        return F.when(r["plain"], acc).otherwise(
+            F.struct((acc["n"] + 1).alias("n"), (acc["cells"] + r["cells"]).alias("cells"), (acc["filled"] + r["filled"]).alias("filled"), F.greatest(acc["wide"], r["cells"]).alias("wide"))
+        )
+
+    sparse = F.aggregate(table, zero, add, lambda x: (x["n"] == 0) | (x["cells"] == 0) | ((x["wide"] >= 5) & (F.try_divide(x["filled"], x["cells"]) < 0.45)))
+    return key.rlike(TEMPLATE_HEADING) & (F.size(table) >= 3) & (F.try_divide(F.size(table), F.size(profile)) >= 0.7) & sparse
 
 
-def manual_index(head: Column, whole: Column) -> Column:
-    plain, h = T.inline(whole), T.inline(F.coalesce(head, F.lit("")))
+def manual_index(heading: Column, plain: Column) -> Column:
+    h = T.inline(F.coalesce(heading, F.lit("")))
     indexish = (h != "") & (h == F.upper(h)) & (F.length(h) <= 24)
     return (F.regexp_count(plain, F.lit(r"\b[A-Z]-\d+(?:[\-–]\d+)?\b")) >= 5) & (indexish | F.lower(plain).contains("see also"))
 
 
-def contents_list(whole: Column) -> Column:
-    lines = F.filter(T.lines(whole), lambda s: T.strip(s) != "")
-
+def contents_list(whole: Column, plain: Column) -> Column:
     def entry(s: Column) -> Column:
         return T.inline(s).rlike(r"(?U)\b\d+\s*$") | (T.strip(s).startswith("|") & s.rlike(r"(?U)\|\s*[\divxlcdmIVXLCDM]+\s*\|\s*$"))
 
-    n = F.size(lines)
-    return F.lower(T.inline(whole)).contains("table of contents") | ((n >= 5) & (F.size(F.filter(lines, entry)) >= F.greatest(F.lit(4), F.floor(n / 2))))
+    def enough(marks: Column) -> Column:
+        n = F.size(marks)
+        return (n >= 5) & (F.size(F.filter(marks, lambda m: m)) >= F.greatest(F.lit(4), F.floor(n / 2)))
+
+    lines = F.filter(T.lines(whole), lambda s: T.strip(s) != "")
+    listed = F.element_at(F.transform(F.array(F.transform(lines, entry)), enough), 1)
+    return F.lower(plain).contains("table of contents") | listed
+
 
+def explained(sections: DataFrame) -> DataFrame:
+    """Adds ``reason``: the first predicate that drops a section, null where it is kept.
 
-def reason() -> Column:
-    """Name of the first predicate that drops a section, null where it is kept."""
+    Cheap predicates come first, and what several costly ones share is a column of its own, computed once and only for
+    sections that are still in."""
     body, head, path = F.col("body"), F.col(_HEAD), F.col(_PATH)
+    cheap = F.when(boilerplate(head), "boilerplate").when(boilerplate_subtree(path), "subtree").when(T.strip(body) == "", "empty").when(cross_reference(body), "cross_reference")
+    rows = sections.withColumn("_cheap", cheap)
+    alive = F.col("_cheap").isNull()
     whole = T.rendered(F.col(_RAW), body)
-    return (
-        F.when(boilerplate(head), "boilerplate").when(boilerplate_subtree(path), "subtree").when(T.strip(body) == "", "empty").when(cross_reference(body), "cross_reference")
-        .when(blank_form(body), "blank_form").when(sparse_template(head, path, body), "sparse_template").when(manual_index(head, whole), "manual_index").when(contents_list(whole), "contents_list")
+    key = T.heading_key(F.when(F.size(path) > 0, F.array_join(path, " ")).otherwise(F.coalesce(head, F.lit(""))))
+    rows = rows.withColumn("_whole", F.when(alive, whole)).withColumn("_profile", F.when(alive & body.contains("|"), table_profile(body))).withColumn("_plain", T.inline(F.col("_whole")))
+    costly = (
+        F.when(blank_form(F.col("_profile")), "blank_form").when(sparse_template(key, F.col("_profile")), "sparse_template")
+        .when(manual_index(head, F.col("_plain")), "manual_index").when(contents_list(F.col("_whole"), F.col("_plain")), "contents_list")
     )
+    return rows.withColumn("reason", F.coalesce("_cheap", F.when(alive, costly))).drop("_cheap", "_whole", "_profile", "_plain")
 
 
 def kept(sections: DataFrame) -> DataFrame:
-    return sections.where(reason().isNull())
+    return explained(sections).where("reason IS NULL").drop("reason")

@@ -91,7 +91,7 @@ def list_pieces(lines: Column, cap: Column) -> Column:
     items = F.transform(numbers, lambda k: F.array_join(F.transform(F.filter(lines, lambda x: x["item"] == k), lambda x: x["line"]), "\n"))
 
     def unit(t: Column) -> Column:
-        return F.struct(F.length(t).alias("n"), (F.length(t) - F.length(T.sub(t, r"(?U)^\s+", ""))).alias("lead"), (F.length(t) - F.length(T.sub(t, r"(?U)\s+$", ""))).alias("trail"))
+        return F.struct(F.length(t).alias("n"), (F.length(t) - F.length(T.lstrip(t))).alias("lead"), (F.length(t) - F.length(T.rstrip(t))).alias("trail"))
 
     groups = greedy(F.transform(items, unit), F.lit(0), 1, cap, False)
     return F.transform(in_groups(items, groups), lambda r: T.strip(F.array_join(r, "\n")))

@@ -23,7 +23,7 @@ def test_full_builder_equals_sequential_rules(spark):
 
 def test_reasons_equal_sequential_rules(spark):
     docs = decorated(spark.read.parquet(f"{SF}/documents.parquet")).cache()
-    got = {(r.source, r.section_no): r.why for r in chunks.sections(docs).select("source", "section_no", filters.reason().alias("why")).collect()}
+    got = {(r.source, r.section_no): r.why for r in filters.explained(chunks.sections(docs)).withColumnRenamed("reason", "why").collect()}
     want = {(r.source, n): dropped(s) for r in docs.collect() for n, s in enumerate(sections(r.text), 1)}
     assert got == want
     assert {"boilerplate", "subtree", "empty", "cross_reference", "blank_form", "sparse_template", "manual_index", "contents_list"} <= set(got.values())
