@@ -95,7 +95,7 @@ class Engine:
         with open(ranks, "rb") as f:
             self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pieces = regex.compile(white_space(pattern)).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         ab, c = [], []
         for token, r in self.rank.items():
             for k in range(1, len(token)):
@@ -109,6 +109,8 @@ class Engine:
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
         self.first: dict[str, tuple[bytes, str, bytes]] = {}
         self.rest: dict[str, tuple[bytes, str, bytes]] = {}
+        self.first_ids: dict[str, bytes] = {}
+        self.rest_ids: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         data = pa.table(columns)
@@ -140,34 +142,42 @@ class Engine:
                     out[part[w]] = flat[lo:hi].tobytes()
         return out
 
-    def encode_units(self, units: list[str]) -> list[tuple[bytes, str, bytes]]:
-        """(ids as little-endian uint32, the same in decimal, the bytes that those ids decode to) of each unit."""
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """ids of each unit as little-endian uint32."""
         cut = [[p.encode() for p in self.pieces(u)] for u in units]
         distinct = list({p for ps in cut for p in ps})
         ids = dict(zip(distinct, self.encode_pieces(distinct)))
-        raw = [b"".join([ids[p] for p in ps]) for ps in cut]
+        return [b"".join([ids[p] for p in ps]) for ps in cut]
+
+    def encode_units(self, units: list[str]) -> list[tuple[bytes, str, bytes]]:
+        """(ids, the same in decimal, the bytes that those ids decode to) of each unit."""
+        raw = self.unit_ids(units)
         numbers = [np.frombuffer(r, "<u4") for r in raw]
         return list(zip(raw, [" ".join(map(str, x.tolist())) for x in numbers], self.decode(numbers)))
 
-    def units(self, texts: list[str]) -> Iterator[list[tuple[bytes, str, bytes]]]:
-        """Each text's units in order; joined, their ids are the text's, and their bytes are what those decode to."""
+    def _cut(self, texts: list[str], first: dict, rest: dict, learn) -> Iterator[list]:
+        """Each text's units by their memos; ``learn`` gives the values of new ones."""
         # A single space begins a new piece when a non-space follows: texts without other runs may be cut before each.
         parts = [[""] if not t else t.split(" ") if "  " not in t and t[-1] != " " and t[0] != " " else None for t in texts]
-        if len(self.rest) > MOST:
-            self.rest.clear()
-            self.first.clear()
-        heads = list({p[0] for p in parts if p} - self.first.keys())
-        rest = list({u for p in parts if p for u in p[1:]} - self.rest.keys())
-        ids = self.encode_units([*heads, *[" " + u for u in rest], *(t for t, p in zip(texts, parts) if p is None)])
-        self.first.update(zip(heads, ids))
-        self.rest.update(zip(rest, ids[len(heads) :]))
-        whole = iter(ids[len(heads) + len(rest) :])
+        if len(rest) > MOST:
+            rest.clear()
+            first.clear()
+        heads = list({p[0] for p in parts if p} - first.keys())
+        new = list({u for p in parts if p for u in p[1:]} - rest.keys())
+        values = learn([*heads, *[" " + u for u in new], *(t for t, p in zip(texts, parts) if p is None)])
+        first.update(zip(heads, values))
+        rest.update(zip(new, values[len(heads) :]))
+        whole = iter(values[len(heads) + len(new) :])
         for p in parts:
-            yield [next(whole)] if p is None else [self.first[p[0]], *map(self.rest.__getitem__, p[1:])]
+            yield [next(whole)] if p is None else [first[p[0]], *map(rest.__getitem__, p[1:])]
+
+    def units(self, texts: list[str]) -> Iterator[list[tuple[bytes, str, bytes]]]:
+        """Each text's units in order; joined, their ids are the text's, and their bytes are what those decode to."""
+        return self._cut(texts, self.first, self.rest, self.encode_units)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """ids of each text."""
-        return [np.frombuffer(b"".join([u[0] for u in units]), "<u4") for units in self.units(texts)]
+        return [np.frombuffer(b"".join(units), "<u4") for units in self._cut(texts, self.first_ids, self.rest_ids, self.unit_ids)]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each id list."""

@@ -157,7 +157,7 @@ class Model:
         if not self.langs:
             return langs, score, rate
         at, data = utf8(texts)
-        for i, j in steps(at, 1 << 20):
+        for i, j in steps(at, 1 << 18):
             lens = np.diff(at[i : j + 1])
             if not lens.sum():
                 continue

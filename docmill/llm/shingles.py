@@ -93,3 +93,5 @@ def hashed(texts: pa.Array, width: int = WIDTH):
                 x = mix(x * np.uint64(0xD6E8FEB86659FD93) + w)
             out[bounds[r]] = x[0]
         yield i, j - i, bounds, out
+    del at, data
+    pa.default_memory_pool().release_unused()  # workers live on: what a batch took goes back
