@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,6 +78,30 @@ def white_space(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
 
 
+class Memo:
+    """Values of units met: ``rest`` by the unit without the space before it, ``first`` those that begin a text, ``other``
+    pieces that begin with no space."""
+
+    def __init__(self):
+        self.first: dict = {}
+        self.rest: dict = {}
+        self.other: dict = {}
+
+    def trim(self) -> None:
+        for d, most in ((self.rest, MOST), (self.first, MOST // 10), (self.other, MOST // 10)):
+            if len(d) > most:
+                d.clear()
+
+    def piece(self, p: str):
+        return self.rest.get(p[1:]) if p[0] == " " and len(p) > 1 else self.other.get(p)
+
+    def keep(self, p: str, value) -> None:
+        if p[0] == " " and len(p) > 1:
+            self.rest[p[1:]] = value
+        else:
+            self.other[p] = value
+
+
 class Engine:
     """One process's DuckDB connection with vocabulary and merges."""
 
@@ -95,6 +120,7 @@ class Engine:
         with open(ranks, "rb") as f:
             self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pieces = regex.compile(white_space(pattern)).findall
+        self.word = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch  # letters only: one piece
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         ab, c = [], []
         for token, r in self.rank.items():
@@ -107,10 +133,7 @@ class Engine:
         self._table("vocabulary", id=pa.array(self.rank.values(), pa.int64()), hex=pa.array([t.hex() for t in self.rank]))
         self.db.execute("CREATE TABLE unsafe AS SELECT x.c FROM merges x JOIN merges y ON (y.ab >> 32) = x.c AND y.c < x.c UNION SELECT x.c FROM merges x JOIN merges y ON (y.ab & 4294967295) = x.c AND y.c < x.c")
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
-        self.first: dict[str, tuple[bytes, str, bytes]] = {}
-        self.rest: dict[str, tuple[bytes, str, bytes]] = {}
-        self.first_ids: dict[str, bytes] = {}
-        self.rest_ids: dict[str, bytes] = {}
+        self.values, self.ids = Memo(), Memo()
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         data = pa.table(columns)
@@ -142,42 +165,58 @@ class Engine:
                     out[part[w]] = flat[lo:hi].tobytes()
         return out
 
-    def unit_ids(self, units: list[str]) -> list[bytes]:
-        """ids of each unit as little-endian uint32."""
-        cut = [[p.encode() for p in self.pieces(u)] for u in units]
-        distinct = list({p for ps in cut for p in ps})
-        ids = dict(zip(distinct, self.encode_pieces(distinct)))
-        return [b"".join([ids[p] for p in ps]) for ps in cut]
+    def piece_ids(self, pieces: list[str]) -> list[bytes]:
+        return self.encode_pieces([p.encode() for p in pieces])
 
-    def encode_units(self, units: list[str]) -> list[tuple[bytes, str, bytes]]:
-        """(ids, the same in decimal, the bytes that those ids decode to) of each unit."""
-        raw = self.unit_ids(units)
+    def piece_values(self, pieces: list[str]) -> list[tuple[bytes, str, bytes]]:
+        """(ids, the same in decimal, the bytes that those ids decode to) of each piece."""
+        raw = self.piece_ids(pieces)
         numbers = [np.frombuffer(r, "<u4") for r in raw]
         return list(zip(raw, [" ".join(map(str, x.tolist())) for x in numbers], self.decode(numbers)))
 
-    def _cut(self, texts: list[str], first: dict, rest: dict, learn) -> Iterator[list]:
-        """Each text's units by their memos; ``learn`` gives the values of new ones."""
+    def _cut(self, texts: list[str], memo: Memo, learn, joined) -> Iterator[list]:
+        """Each text's units in order, by their values.  ``learn`` gives the values of new pieces, ``joined`` that of a unit of several."""
         # A single space begins a new piece when a non-space follows: texts without other runs may be cut before each.
         parts = [[""] if not t else t.split(" ") if "  " not in t and t[-1] != " " and t[0] != " " else None for t in texts]
-        if len(rest) > MOST:
-            rest.clear()
-            first.clear()
-        heads = list({p[0] for p in parts if p} - first.keys())
-        new = list({u for p in parts if p for u in p[1:]} - rest.keys())
-        values = learn([*heads, *[" " + u for u in new], *(t for t, p in zip(texts, parts) if p is None)])
-        first.update(zip(heads, values))
-        rest.update(zip(new, values[len(heads) :]))
-        whole = iter(values[len(heads) + len(new) :])
-        for p in parts:
-            yield [next(whole)] if p is None else [first[p[0]], *map(rest.__getitem__, p[1:])]
+        memo.trim()
+        get = memo.rest.get
+        values = [None if p is None else [memo.first.get(p[0]), *map(get, p[1:])] for p in parts]
+        new: dict[str, list[str]] = {}  # pieces of each unit that isn't known, with the space before it
+        for t, p, v in zip(texts, parts, values):
+            if p is None:
+                new[t] = self.pieces(t)
+            elif None in v:
+                for i, x in enumerate(v):
+                    if x is None and (u := " " + p[i] if i else p[0]) not in new:
+                        new[u] = [u] if self.word(p[i]) else self.pieces(u)
+        fresh = list({q for ps in new.values() for q in ps if memo.piece(q) is None})
+        found = dict(zip(fresh, learn(fresh)))
+        for q, x in found.items():
+            memo.keep(q, x)
+        made = {}
+        for u, ps in new.items():
+            xs = [found[q] if q in found else memo.piece(q) for q in ps]
+            made[u] = xs[0] if len(xs) == 1 else joined(xs)
+        for t, p, v in zip(texts, parts, values):
+            if p is None:
+                yield [made[t]]
+                continue
+            if None in v:
+                for i, x in enumerate(v):
+                    if x is None:
+                        if i:
+                            v[i] = memo.rest[p[i]] = made[" " + p[i]]
+                        else:
+                            v[i] = memo.first[p[i]] = made[p[i]]
+            yield v
 
     def units(self, texts: list[str]) -> Iterator[list[tuple[bytes, str, bytes]]]:
         """Each text's units in order; joined, their ids are the text's, and their bytes are what those decode to."""
-        return self._cut(texts, self.first, self.rest, self.encode_units)
+        return self._cut(texts, self.values, self.piece_values, lambda xs: (b"".join([x[0] for x in xs]), " ".join([x[1] for x in xs]), b"".join([x[2] for x in xs])))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """ids of each text."""
-        return [np.frombuffer(b"".join(units), "<u4") for units in self._cut(texts, self.first_ids, self.rest_ids, self.unit_ids)]
+        return [np.frombuffer(b"".join(units), "<u4") for units in self._cut(texts, self.ids, self.piece_ids, b"".join)]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each id list."""

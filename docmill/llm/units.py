@@ -2,20 +2,16 @@
 
 In the byte-level pattern a single space always begins a new piece when a non-space follows, so a text without two
 neighbouring spaces and without a leading or final space may be cut before each space and its units encoded apart.  Other
-texts are encoded whole.  Units repeat; a process keeps the ids of those it has met, about ``MOST`` of them.  A new unit
-is cut into the pattern's pieces, which go straight to the library's BPE model.
+texts are encoded whole.  Units repeat; a process keeps the ids of those it has met, about ``MOST`` of them, and a text's
+new units go to the library in one call.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from array import array
 
 import numpy as np
 
-from docmill.llm.bpe import white_space
-
 MOST = 700_000
 
 
@@ -32,35 +28,25 @@ class UnitIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.pieces = regex.compile(white_space(public_tokenizers.PATTERN)).findall
+        size = self.tokenizer.get_vocab_size()
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
-        #: letters of Latin scripts, each one letter of the pattern; and the library's characters for bytes 0-255
-        self.word = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.chars = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def _learn(self, units: list[str]) -> None:
-        if len(self.rest) + len(units) > MOST:
-            self.rest.clear()
-        word, tokenize, rest, chars, pieces = self.word, self.model.tokenize, self.rest, self.chars, self.pieces
-        for u in units:
-            if word(u):
-                p = "Ġ" + (u if u.isascii() else u.encode().decode("latin-1").translate(chars))
-                rest[u] = array("I", [t.id for t in tokenize(p)]).tobytes()
-            else:
-                ids = array("I")
-                for p in pieces(" " + u):
-                    ids.extend([t.id for t in tokenize(p.encode().decode("latin-1").translate(chars))])
-                rest[u] = ids.tobytes()
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """ids of new units, the space before each included: one call on all of them, cut where tokens begin with that space."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + u for u in units])], add_special_tokens=False)[0].ids, "<u4")
+        bounds = np.flatnonzero(self.spaced[ids]).tolist()
+        if len(bounds) != len(units):
+            raise ValueError("a unit's tokens don't begin with its space")
+        raw = ids.tobytes()
+        found = [raw[4 * a : 4 * z] for a, z in zip(bounds, [*bounds[1:], len(ids)])]
+        self.rest.update(zip(units, found))
+        return found
 
     def text(self, text: str) -> np.ndarray:
         if not text:
@@ -68,16 +54,16 @@ class UnitIds:
         if "  " in text or text[-1] == " " or text[0] == " ":
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         head, *units = text.split(" ")
+        for memo, most in ((self.rest, MOST), (self.first, MOST // 10)):
+            if len(memo) > most:
+                memo.clear()
         if head not in self.first:
-            if len(self.first) > MOST // 10:
-                self.first.clear()
             self.first[head] = np.array(self.tokenizer.encode(head, add_special_tokens=False).ids, "<u4").tobytes()
-        try:
-            return np.frombuffer(self.first[head] + b"".join(map(self.rest.__getitem__, units)), "<u4")
-        except KeyError:
-            self._learn([u for u in set(units) if u not in self.rest])
-        try:
-            return np.frombuffer(self.first[head] + b"".join(map(self.rest.__getitem__, units)), "<u4")
-        except KeyError:  # the memo was cleared in between
-            self._learn(list(set(units)))
-            return np.frombuffer(self.first[head] + b"".join(map(self.rest.__getitem__, units)), "<u4")
+        values = list(map(self.rest.get, units))
+        if None in values:
+            at = [i for i, x in enumerate(values) if x is None]
+            found = self._learn(new := list({units[i] for i in at}))
+            known = dict(zip(new, found))
+            for i in at:
+                values[i] = known[units[i]]
+        return np.frombuffer(self.first[head] + b"".join(values), "<u4")
