@@ -12,7 +12,7 @@ import os
 
 import numpy as np
 
-MOST = 700_000
+MOST = 1_000_000
 
 
 class UnitIds:
