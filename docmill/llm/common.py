@@ -20,12 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor sees.
 
-    Where the setting is absent (tests on one machine) it is set to a folder under ``/tmp/docmill-checkpoints``.
+    Where the setting is absent (tests on one machine) it lies below ``/tmp/docmill-checkpoints``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "/tmp/docmill-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/docmill-checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
