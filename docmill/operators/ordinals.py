@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 
 
 def scratch(df: DataFrame, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, set for tests where it is absent."""
+    """A new folder below ``spark.checkpoint.dir``; where that is absent (tests on one machine), below ``/tmp/docmill-checkpoints``."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "/tmp/docmill-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/docmill-checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
