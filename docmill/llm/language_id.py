@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +72,10 @@ def _count(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def lettered(text: str | None) -> bool:
+    return bool(text) and (_LATIN.search(text) is not None or any(map(str.isalpha, text)))
+
+
 class Model:
     """Cost tables of the languages' context trees."""
 
@@ -169,7 +174,7 @@ class Model:
             posterior = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=1)
             for r in full:
                 text = texts[i + int(r)].as_py()
-                if _LATIN.search(text) or any(map(str.isalpha, text)):
+                if lettered(text):
                     langs[i + r], score[i + r], rate[i + r] = self.langs[best[r]], posterior[r], least[r, 0] / lens[r]
         return langs, score, rate
 
@@ -207,17 +212,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, column: str | None = None) -> DataFrame:
-    """``docs`` without the rows of undetermined language; ``column`` then names a column that gets the prediction."""
+    """``docs`` without the rows of undetermined language (with a model that learnt nothing: without those that have no letter);
+    ``column`` then names a column that gets the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
     schema = docs.schema if column is None else T.StructType([*docs.drop(column).schema.fields, T.StructField(column, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs = pa.array(shared.value.predict(b.column(at).cast(pa.string()))[0], pa.string())
+            texts = b.column(at).cast(pa.string())
+            langs = pa.array(shared.value.predict(texts)[0], pa.string())
+            # A model that learnt nothing rejects nothing that could be told.
+            stay = pa.compute.not_equal(langs, UNDETERMINED) if shared.value.langs else pa.array([lettered(t) for t in texts.to_pylist()], pa.bool_())
             if column is not None:
                 names = [n for n in b.schema.names if n != column]
                 b = pa.RecordBatch.from_arrays([*(b.column(n) for n in names), langs], [*names, column])
-            yield b.filter(pa.compute.not_equal(langs, UNDETERMINED))
+            yield b.filter(stay)
 
     return docs.mapInArrow(run, schema)
