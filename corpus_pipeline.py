@@ -19,7 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a determined language go; a document without a language label gets the predicted one."""
     model = language_id.train(docs.where(~language_id.held_out()))
     kept = language_id.keep(docs, model, "_lang")
-    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+    return kept.withColumn("lang", F.coalesce("lang", F.nullif("_lang", F.lit(language_id.UNDETERMINED)))).select(*docs.columns)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
