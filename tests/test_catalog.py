@@ -2,7 +2,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest import SF
+from model import SF
 
 from docmill import catalog
 

@@ -1,5 +1,4 @@
-from conftest import SF
-from model import dropped, passages, sections
+from model import SF, dropped, passages, sections
 
 from docmill.operators import chunks, filters
 from docmill.plans.markdown import decorated
