@@ -2,7 +2,8 @@
 
 In the byte-level pattern a single space always begins a new piece when a non-space follows, so a text without two
 neighbouring spaces and without a leading or final space may be cut before each space and its units encoded apart.  Other
-texts are encoded whole.  Units repeat; a process keeps the ids of those it has met, about ``MOST`` of them, and a text's
+texts are encoded whole, and so are those that hold an added token's literal (as ``<|endoftext|>``), which the library gives that token's
+id.  Units repeat; a process keeps the ids of those it has met, about ``MOST`` of them, and a text's
 new units go to the library in one call.
 """
 
@@ -31,7 +32,7 @@ class UnitIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.first: dict[str, bytes] = {}
@@ -51,7 +52,7 @@ class UnitIds:
     def text(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if "  " in text or text[-1] == " " or text[0] == " ":
+        if "  " in text or text[-1] == " " or text[0] == " " or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         head, *units = text.split(" ")
         for memo, most in ((self.rest, MOST), (self.first, MOST // 10)):

@@ -55,3 +55,11 @@ def test_files_hold_every_document_in_order(spark, documents):
 def test_edges(spark, edges, nothing):
     check(B.token_files(edges, PATH).collect(), edges.collect())
     assert B.token_files(nothing, PATH).count() == 0
+
+
+def test_added_token_literals(spark):
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b c", "plain words after", "<|endoftext| > x <|endoftext", None, "tail <|endoftext|><|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    rows = B.token_files(docs, PATH).collect()
+    check(rows, docs.collect())
+    assert [r.n_tokens for r in sorted(rows, key=lambda r: r.doc_id)][:2] == [5, 2]
