@@ -298,6 +298,6 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("r"), F.coalesce(F.col("doc_id").cast("bigint"), none).alias("id"), _node(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("node"))
     winners = labelled.where(F.col("rep").eqNullSafe(F.col("class_id")))
-    # Equal doc_ids of different texts in a class: one.  A class of null ids only has no least id, so its root tells it apart.
-    winners = winners.groupBy(F.coalesce("class_id", none).alias("id"), F.when(F.col("class_id").isNull(), F.col("root")).alias("root")).agg(F.min("node").alias("node"))
+    # Equal doc_ids of different texts in a class: one.  The root tells classes apart, as two may share a least id or have none.
+    winners = winners.groupBy("root", F.coalesce("class_id", none).alias("id")).agg(F.min("node").alias("node"))
     return rows.join(winners, ["id", "node"]).groupBy("id", "node").agg(F.min_by("r", F.to_json("r")).alias("r")).select("r.*")

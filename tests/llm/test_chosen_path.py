@@ -90,3 +90,10 @@ def test_components_of_a_path_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert got == {i: 1 for i in range(1, 31)} | {i: 100 for i in range(100, 140)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_classes_that_share_a_doc_id_all_stay(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(12)) for c in "xyz")
+    rows = [(9, one), (9, two), (9, one), (10, two), (11, three), (None, three)]
+    kept = chosen_path.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(9, one), (9, two), (11, three)]
