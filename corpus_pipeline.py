@@ -29,7 +29,7 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), each_text=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

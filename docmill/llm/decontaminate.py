@@ -9,12 +9,15 @@ hit makes a candidate, as a true match misses all with probability (1 - threshol
 never sketched: all its shingles probe the sketches, so its length costs no recall.  Candidates are verified against
 the item's full set in the same task.
 
+With ``each_text``, as the query and the pipeline ask for, every text is an item of its own: null and repeated item_ids are searched text by
+text, and an item of fewer than five words is one shingle of all its words that every window of as many words of a document meets.
+
 Items come in blocks of at most ``BLOCK_ROWS`` shingles, the size bound of each broadcast; documents are scanned once a
 block and never shuffled.
 
 Defined results: null or empty texts and items without words match nothing; texts under five words are one shingle of
-all their words; each input row is judged by itself, so repeated rows or doc_ids repeat; an item_id that repeats is
-one item with the union of its texts' shingles; extra columns are ignored by ``hits`` and kept by ``clean``.
+all their words; each input row is judged by itself, so repeated rows or doc_ids repeat; an item_id and text that repeat are
+one item.  Without ``each_text``, an item_id that repeats is one item with the union of its texts' shingles, and a null one is no item; extra columns are ignored by ``hits`` and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.shingles import hashed, mix
+from docmill.llm.shingles import WIDTH, hashed, mix
 
 THRESHOLD = 0.8
 SMALL = 8
@@ -35,35 +38,53 @@ BLOCK_ROWS = 2_000_000
 RESULT = "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double"
 
 
-def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, shingle) rows, distinct."""
+def item_shingles(items: DataFrame, each_text: bool = False) -> DataFrame:
+    """(key, item_id, width, shingle) rows, distinct; width is that of the document's windows that the shingle is looked up in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0)
-            for i, n, bounds, h in hashed(b.column(1)):
-                rows = np.repeat(np.arange(i, i + n), np.diff(bounds))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(h.view(np.int64))], ["item_id", "shingle"])
+            widths = [WIDTH, *range(1, WIDTH)] if each_text else [WIDTH]
+            for (i, n, bounds, h), *few in zip(*(hashed(b.column(2), w) for w in widths)):
+                width, h = np.full(len(h), WIDTH, np.int32), h.copy()
+                if few:
+                    words = np.diff(few[0][2])
+                    for r in np.flatnonzero((words > 0) & (words < WIDTH)):
+                        _, _, at, own = few[words[r] - 1]
+                        width[bounds[r]], h[bounds[r]] = words[r], own[at[r]]
+                rows = pa.array(np.repeat(np.arange(i, i + n), np.diff(bounds)))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(width), pa.array(h.view(np.int64))], ["key", "item_id", "width", "shingle"])
 
     picked = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "item_id bigint, shingle bigint").distinct()
+    picked = picked.select(F.xxhash64(F.isnull("item_id"), "item_id", "text").alias("key"), "item_id", "text") if each_text else picked.where("item_id IS NOT NULL").select(F.col("item_id").alias("key"), "item_id", "text")
+    return picked.mapInArrow(run, "key bigint, item_id bigint, width int, shingle bigint").distinct()
 
 
 class Index:
     """One block's sketches and full sets."""
 
-    def __init__(self, item: np.ndarray, shingle: np.ndarray, threshold: float):
+    def __init__(self, rows: pa.Table, threshold: float):
+        item, shingle, width = (rows[c].to_numpy() for c in ("key", "shingle", "width"))
         order = np.lexsort((shingle, item))
-        item, shingle = item[order], shingle[order].view(np.uint64)
-        self.ids, first, self.size = np.unique(item, return_index=True, return_counts=True)
-        own = np.repeat(np.arange(len(self.ids)), self.size)
+        item, shingle, width = item[order], shingle[order].view(np.uint64), width[order]
+        self.keys, first, self.size = np.unique(item, return_index=True, return_counts=True)
+        self.ids = rows["item_id"].combine_chunks().take(pa.array(order[first]))
+        own = np.repeat(np.arange(len(self.keys)), self.size)
+        #: width: (sorted shingles, their items) of items with so few words
+        self.few = {}
+        for w in np.unique(width[width < WIDTH]).tolist():
+            at = np.flatnonzero(width == w)
+            at = at[np.argsort(shingle[at], kind="stable")]
+            self.few[w] = (shingle[at], own[at])
+        long = width == WIDTH
         self.need = np.maximum(1, np.ceil(self.size * threshold - 1e-9).astype(np.int64))
         keep = np.repeat(self.size <= SMALL, self.size)
         for f in range(FUNCTIONS):
             ranked = np.lexsort((mix(shingle + np.uint64(f * 0x9E3779B97F4A7C15 % (1 << 64))), own))
             keep[ranked[first]] = True
+        keep &= long
         by = np.argsort(shingle[keep], kind="stable")
         self.sketch, self.sketch_item = shingle[keep][by], own[keep][by]
+        shingle, own = shingle[long], own[long]
         by = np.argsort(shingle, kind="stable")
         self.full, self.full_item = shingle[by], own[by]
         self.maybe = np.zeros(1 << 20, bool)
@@ -81,13 +102,24 @@ class Index:
     def search(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item position, shared shingles) of every verified pair."""
         rows, found, shared = [], [], []
-        for i, _, bounds, h in hashed(texts):
+        for w, (keys, items) in self.few.items():
+            for i, _, bounds, h in hashed(texts, w):
+                lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+                at = np.flatnonzero(lo < hi)
+                lo, lens = lo[at], (hi - lo)[at]
+                k = items[np.repeat(lo, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)]
+                r = np.repeat(np.searchsorted(bounds, at, "right") - 1, lens)
+                pair = np.unique(r * len(self.keys) + k)
+                rows += (i + pair // len(self.keys)).tolist()
+                found += (pair % len(self.keys)).tolist()
+                shared += [1] * len(pair)
+        for i, _, bounds, h in hashed(texts) if len(self.full) else ():
             at = np.flatnonzero(self.maybe[h >> np.uint64(44)])
             at = at[self.sketch[np.minimum(np.searchsorted(self.sketch, h[at]), len(self.sketch) - 1)] == h[at]]
             for r in np.unique(np.searchsorted(bounds, at, "right") - 1):
                 own = np.unique(h[bounds[r] : bounds[r + 1]])
-                candidate = self._count(self.sketch, self.sketch_item, own, len(self.ids)) >= self.least
-                n = self._count(self.full, self.full_item, own, len(self.ids))
+                candidate = self._count(self.sketch, self.sketch_item, own, len(self.keys)) >= self.least
+                n = self._count(self.full, self.full_item, own, len(self.keys))
                 k = np.flatnonzero(candidate & (n >= self.need))
                 rows += [i + r] * len(k)
                 found += k.tolist()
@@ -95,36 +127,36 @@ class Index:
         return np.array(rows, np.int64), np.array(found, np.int64), np.array(shared, np.int64)
 
 
-def _indexes(items: DataFrame, threshold: float) -> list:
+def _indexes(items: DataFrame, threshold: float, each_text: bool) -> list:
     """Broadcast indexes, each of at most about BLOCK_ROWS rows."""
     spark = items.sparkSession
-    rows = item_shingles(items).persist()
+    rows = item_shingles(items, each_text).persist()
     try:
         total = rows.count()
         blocks = -(-total // BLOCK_ROWS)
         out = []
         for k in range(blocks):
-            t = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).where("item_id IS NOT NULL").toArrow()
+            t = rows.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).toArrow()
             if t.num_rows:
-                out.append(spark.sparkContext.broadcast(Index(t["item_id"].to_numpy(), t["shingle"].to_numpy(), threshold)))
+                out.append(spark.sparkContext.broadcast(Index(t, threshold)))
         return out
     finally:
         rows.unpersist()
 
 
-def hits(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, each_text: bool = False) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) of every contaminated document and item."""
     spark = docs.sparkSession
     picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = spark.createDataFrame([], RESULT)
-    for index in _indexes(items, threshold):
+    for index in _indexes(items, threshold, each_text):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             x = index.value
             for b in batches:
                 rows, k, n = x.search(b.column(1))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(rows)), pa.array(x.ids[k]), pa.array(n), pa.array(x.size[k].astype(np.int64)), pa.array(n / x.size[k])],
+                    [b.column(0).take(pa.array(rows)), x.ids.take(pa.array(k)), pa.array(n), pa.array(x.size[k].astype(np.int64)), pa.array(n / x.size[k])],
                     ["doc_id", "item_id", "n_shared", "n_item", "containment"],
                 )
 
@@ -132,10 +164,10 @@ def hits(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Dat
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, each_text: bool = False) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
     at = docs.columns.index("text")
-    for index in _indexes(items, threshold):
+    for index in _indexes(items, threshold, each_text):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in batches:

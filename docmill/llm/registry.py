@@ -69,7 +69,7 @@ def op9_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.decontaminate import hits
 
-    return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), each_text=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op2_pii_weak_supervision, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}

@@ -53,3 +53,27 @@ def test_edges(spark, edges, nothing):
     assert D.hits(nothing, items).count() == 0 and D.hits(edges, items.limit(0)).count() == 0
     out = D.clean(edges, items)
     assert out.columns == edges.columns and out.count() == edges.count() - 4
+
+
+def test_every_benchmark_text_is_an_item(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(20)) for c in "xy")
+    rows = [(1, one), (1, two), (1, two), (None, one), (None, "Lone, item"), (2, "few words"), (3, "a b c d"), (4, "words"), (5, None), (6, "y3 y4 y5 y6 y7")]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    texts = [f"before {one} after", f"before {two} after", "here is a lone item in a long text", "too few words here, few words", "x a b c d e f g", "a b c", "few other words", "", None, "no match in this one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = [(0, 1, 16, 16), (0, None, 16, 16), (1, 1, 16, 16), (1, 6, 1, 1), (2, None, 1, 1), (3, 2, 1, 1), (3, 4, 1, 1), (4, 3, 1, 1), (6, 4, 1, 1)]
+    found = D.hits(docs, items, each_text=True).collect()
+    assert sorted(((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in found), key=str) == sorted(want, key=str)
+    assert {r.doc_id for r in D.clean(docs, items, each_text=True).collect()} == {5, 7, 8, 9}
+    assert D.hits(docs, spark.createDataFrame(rows[4:8], items.schema), each_text=True).count() == 5
+
+
+def test_the_query_and_the_pipeline_search_every_text(spark, tmp_path):
+    import corpus_pipeline
+    from docmill.llm import registry
+
+    text = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(1, f"start {text} end")], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, text)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [(r.doc_id, r.item_id) for r in registry.op10_decontaminate(spark, str(tmp_path)).collect()] == [(1, None)]
+    assert corpus_pipeline.remove_benchmark(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).count() == 0
