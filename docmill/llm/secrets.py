@@ -1,10 +1,11 @@
 """Secret scanning by dictionary-primed zstandard novelty.
 
 Base findings come from fixed patterns.  Beyond them, a string of ``LEAST`` or more characters of a credential's alphabet that
-follows a sensitive word within ``REACH`` characters of the same line is a candidate.  A compressor primed with a
+begins within ``REACH`` characters after a sensitive word, on its line or a later one, is a candidate; so is one that a line break alone
+parts from a novel string, as in a key of several lines.  A compressor primed with a
 dictionary of common identifiers and the candidate's own surroundings (``AROUND`` characters on each side, the
 candidate cut out) measures its marginal bytes: what it adds to the compressed size of nothing.  A candidate whose marginal
-bytes reach ``NOVELTY`` of its length is incompressible there and is reported as ``novel``; repeated identifiers, words
+bytes reach ``NOVELTY`` of those of a random string of its alphabet and length (or of its length, if that is less) is incompressible there and is reported as ``novel``; repeated identifiers, words
 and paths compress away.  Candidates that a base finding overlaps are not reported again.
 
 Defined results: a null text is empty and has no findings; each row is its own result; ``base_sha256`` of no findings is
@@ -14,8 +15,11 @@ the SHA-256 of the empty string and ``spans`` is then empty; extra columns are i
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
@@ -31,6 +35,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 #: Runs of under 24 characters fail, so only longer runs need be found.
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+BREAK = re.compile(r"[\x20\t]*\r?\n[\x20\t]*")
+#: From narrow to wide; the first that holds a candidate's letters and digits is its alphabet, beside the other characters that it has.
+ALPHABETS = (
+    string.digits, "0123456789abcdef", "0123456789ABCDEF", string.ascii_lowercase, string.ascii_uppercase, string.ascii_uppercase + "234567", string.ascii_lowercase + "234567",
+    string.digits + string.ascii_lowercase, string.digits + string.ascii_uppercase, string.ascii_letters, string.digits + string.ascii_letters,
+)
 WORDS = re.compile("|".join(map(re.escape, SENSITIVE)))
 
 IDENTIFIERS = (
@@ -49,6 +59,23 @@ def marginal_bytes(candidate: str, around: str) -> int:
     return len(press(candidate.encode())) - len(press(b""))
 
 
+def alphabet(candidate: str) -> str:
+    used = set(candidate)
+    other = "".join(sorted(used & set("+/_=-")))
+    return next(a for a in ALPHABETS if used <= set(a + other)) + other
+
+
+@lru_cache(4096)
+def random_bytes(letters: str, length: int) -> int:
+    """Marginal bytes of a random string of these letters."""
+    return marginal_bytes("".join(random.Random(length).choices(letters, k=length)), "")
+
+
+def is_novel(candidate: str, around: str) -> bool:
+    n = len(candidate)
+    return marginal_bytes(candidate, around) >= NOVELTY * min(n, random_bytes(alphabet(candidate), n))
+
+
 def base_spans(text: str, lowered: str) -> list[tuple[int, int, str]]:
     out = []
     if any(w in lowered for w in ("password", "passwd", "secret", "token", "apikey", "api_key")):
@@ -63,17 +90,17 @@ def novel_spans(text: str, lowered: str, base: list[tuple[int, int, str]]) -> li
         lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     out, done = [], 0
     for w in WORDS.finditer(lowered):
-        line = text.find("\n", w.end())
-        end = min(w.end() + REACH, len(text) if line < 0 else line)
-        m = CANDIDATE.search(text, max(w.end(), done))
-        if m is None:
-            break
-        if m.start() > end or any(a < m.end() and m.start() < b for a, b, _ in base):
-            continue
-        done = m.end()
-        around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND]
-        if marginal_bytes(m.group(), around) >= NOVELTY * len(m.group()):
-            out.append((m.start(), m.end(), "novel"))
+        at, end = max(w.end(), done), w.end() + REACH
+        while (m := CANDIDATE.search(text, at)) and m.start() <= end:
+            at = m.end()
+            if any(a < m.end() and m.start() < b for a, b, _ in base):
+                continue
+            done = at
+            around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND]
+            if is_novel(m.group(), around):
+                out.append((m.start(), m.end(), "novel"))
+                if new_line := BREAK.match(text, at):
+                    end = max(end, new_line.end())
     return out
 
 

@@ -3,7 +3,9 @@ import random
 import re
 import string
 
-from docmill.llm.secrets import marginal_bytes, scan, scan_text
+import pytest
+
+from docmill.llm.secrets import is_novel, marginal_bytes, scan, scan_text
 
 PATTERNS = {"assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
 
@@ -47,3 +49,27 @@ def test_edges(spark, edges, nothing):
     assert len(rows) == edges.count()
     assert all(r.base_sha256 == hashlib.sha256(b"").hexdigest() and r.spans == "" for r in rows)
     assert scan(nothing).count() == 0
+
+
+@pytest.mark.parametrize(
+    "letters, length",
+    [("0123456789ABCDEF", 96), (string.digits, 64), (string.digits, 512), (string.ascii_uppercase + "234567", 512), (string.digits + string.ascii_lowercase, 512), (string.ascii_letters + string.digits, 8192)],
+)
+def test_long_random_keys_of_narrow_alphabets_are_novel(letters, length):
+    rng, head = random.Random(4), "the private key is "
+    for _ in range(50):
+        key = "".join(rng.choices(letters, k=length))
+        kind = "hex" if key.isdigit() else "novel"  # digits are a base finding, where they stand alone
+        assert scan_text(head + key)[1] == [(len(head), len(head) + length, kind)] and is_novel(key, head)
+    for dull in (letters[:8] * (length // 8), letters[9] * length):
+        assert not is_novel(dull, head)
+
+
+def test_every_candidate_within_reach_and_on_the_next_lines():
+    rng = random.Random(5)
+    a, b, c = ("".join(rng.choices(string.ascii_letters + string.digits, k=40)) for _ in range(3))
+    novel = lambda text: [text[x:y] for x, y, k in scan_text(text)[1] if k == "novel"]
+    assert novel(f"private {'x' * 20} {a}") == [a]
+    assert novel(f"credential {'0a' * 12} {a}") == [a]  # the first is a base finding
+    assert novel(f"-----BEGIN PRIVATE KEY-----\n{a}\n{b}\r\n{c}\n-----END") == [a, b, c]
+    assert novel(f"signature\n\n{a} and {b}") == [a]
