@@ -1,6 +1,8 @@
 import hashlib
 import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -49,5 +51,38 @@ def test_edges(spark, edges, nothing, library):
     assert got == want
     assert encode_decode(nothing, RANKS, PATTERN).count() == 0
     ids = bpe.encode_column(edges, RANKS, PATTERN)
-    assert ids.columns == [*edges.columns, "token_ids"]
+    assert ids.columns == [*edges.columns, "token_ids", "decoded_sha256"]
     assert sorted(len(r.token_ids) for r in ids.collect()) == sorted(w[1] for w in want)
+
+
+SPACES = [" ", "  ", "\t", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " \xa0 \xa0 ", *map(chr, (0x1680, 0x2000, 0x2028, 0x2029, 0x202F, 0x3000, 0x200B, 0x180E))]
+WORDS = ["a", "the", "x1", "it's", "'", "!", "é", "漢", "12", "<|endoftext|>", "I'LL", "--", "\x00", "😀", "ab.cd", "\u0301"]
+
+
+def fuzzed(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(SPACES) if rng.random() < 0.6 else rng.choice(WORDS) for _ in range(rng.randint(0, 12))) for _ in range(n)]
+
+
+def test_ids_of_odd_spaces_equal_the_library(engine, library):
+    texts = fuzzed(20_000, 7)
+    ids = engine.encode(texts)
+    assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in texts]
+    assert engine.decode(ids) == [t.encode() for t in texts]
+
+
+def test_long_words_take_time_in_proportion(engine, library):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABC") for _ in range(100_000)), "=" * 100_000, "a" * 99_999, "hannah" * 15_000 + "x", "====_" * 20_000, "漢字" * 20_000]
+    start = time.time()
+    ids = engine.encode(words)
+    assert time.time() - start < 30
+    assert [x.tolist() for x in ids] == [library.encode_ordinary(w) for w in words]
+
+
+def test_decoded_bytes_come_from_the_documents_own_ids(spark):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id bigint, text string")
+    a, b = Engine.get(RANKS, PATTERN).decode([np.array([1, 2], np.uint32)])[0], Engine.get(RANKS, PATTERN).decode([np.array([2, 1], np.uint32)])[0]
+    assert a == b[::-1] and a != b
+    row = bpe.encode_column(docs, RANKS, PATTERN).first()
+    assert row.decoded_sha256 == hashlib.sha256(b"some words").hexdigest()
