@@ -5,13 +5,13 @@ Ids come from the tokenizers library; a document ends with ``END_ID``.  A shard
 little-endian uint64 and a fixed tail (bits, ids, blocks).  An id's place follows from its number, so a reader unpacks any range
 with numpy after reading only its blocks.
 
-Documents are range-partitioned on doc_id before they are tokenised (only text is shuffled), sorted within the
-partition, and each task writes one shard below the shared folder under a name of its own attempt; the rows it returns
+Documents are range-partitioned on doc_id, and on the text's 64-bit hash where ids are equal or null, before they are tokenised
+(only text is shuffled), sorted within the partition, and each task writes one shard below the shared folder under a name of its own attempt; the rows it returns
 name the file, so a repeated attempt leaves at most an unreferenced file.  Totals of shards, one row each, give every shard its
 first position.
 
-Defined results: a null text is empty, so it is one END_ID; rows of equal doc_id (null first) are ordered by text, and
-each is a document of its own; an empty table writes no shards and returns no rows; extra columns are ignored.
+Defined results: a null text is empty, so it is one END_ID; rows of equal doc_id (null first) are ordered by their text's hash, and
+each is a document of its own; ids that don't fit the width raise an error; an empty table writes no shards and returns no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,6 @@ from docmill.llm.units import UnitIds
 MAGIC = b"TKPACK01"
 BLOCK_IDS = 1 << 16
 END_ID = 0
-VOCABULARY = 50_257
 TAIL = struct.Struct("<IQQ")
 
 
@@ -43,6 +42,8 @@ def width(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Little-endian bit string, ``bits`` for each id, padded to whole bytes."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {ids.max()} takes more than {bits} bits")
     if bits == 16:
         return ids.astype("<u2").tobytes()
     cells = (ids.astype(np.uint32)[:, None] >> np.arange(bits, dtype=np.uint32)) & 1
@@ -117,9 +118,8 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int = VOCABULARY, shards: int | None = None) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, shards: int | None = None) -> DataFrame:
     """Write shards below ``folder`` and return the materialised index: doc_id, shard, path, first (within the shard), n_tokens."""
-    bits = width(vocabulary)
     schema = "doc_id bigint, shard int, path string, first bigint, n_tokens bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +135,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int = VOCABU
                 fs.create_dir(base, recursive=True)
                 name = f"{base}/ids-{shard:06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.tkp"
                 sink = fs.open_output_stream(name)
-                out = Writer(sink, bits)
+                out = Writer(sink, width(encode.size))
             counts = np.zeros(b.num_rows, np.int64)
             for r, text in enumerate(b.column(1)):
                 ids = encode.text(text.as_py() or "")
@@ -152,8 +152,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int = VOCABU
             out.close()
             sink.close()
 
-    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = (picked.repartitionByRange(shards, "doc_id") if shards else picked.repartitionByRange("doc_id")).sortWithinPartitions("doc_id", "text")
+    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = (picked.repartitionByRange(shards, "doc_id", "h") if shards else picked.repartitionByRange("doc_id", "h")).sortWithinPartitions("doc_id", "h", "text")
     return written(ordered.mapInArrow(run, schema), "token-index")
 
 
@@ -193,7 +193,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
     return index.join(F.broadcast(bases), "path").mapInArrow(run, schema)
 
 
-def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, vocabulary: int = VOCABULARY) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
     """Write, read back, and report each document's place and checksum."""
     folder = folder or scratch(docs.sparkSession, "token-files")
-    return read(write(docs, folder, tokenizer, vocabulary), folder)
+    return read(write(docs, folder, tokenizer), folder)
