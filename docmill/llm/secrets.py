@@ -18,8 +18,10 @@ import hashlib
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -35,7 +37,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 #: Runs of under 24 characters fail, so only longer runs need be found.
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
-BREAK = re.compile(r"[\x20\t]*\r?\n[\x20\t]*")
+BREAK = re.compile(r"[\x20\t]{0,80}\r?\n[\x20\t]{0,80}")
 #: From narrow to wide; the first that holds a candidate's letters and digits is its alphabet, beside the other characters that it has.
 ALPHABETS = (
     string.digits, "0123456789abcdef", "0123456789ABCDEF", string.ascii_lowercase, string.ascii_uppercase, string.ascii_uppercase + "234567", string.ascii_lowercase + "234567",
@@ -85,20 +87,44 @@ def base_spans(text: str, lowered: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+class Covered:
+    """Whether any of the spans meets a range, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        spans = sorted(spans)
+        self.starts, self.ends = [s[0] for s in spans], list(accumulate((s[1] for s in spans), max))
+
+    def __call__(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)  # those before it begin under b, and the furthest of them ends at ends[i - 1]
+        return i > 0 and self.ends[i - 1] > a
+
+
 def novel_spans(text: str, lowered: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     if len(lowered) != len(text):  # a letter whose lower case is longer: positions must hold
         lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    out, done = [], 0
+    out, done, covered, run_end = [], 0, Covered(base), 0
+
+    def following(at: int, end: int) -> tuple[int, int] | None:
+        """The first candidate from ``at`` that begins by ``end``: no more than REACH characters are searched, and a run is
+        walked to its end once."""
+        nonlocal run_end
+        found = CANDIDATE.search(text, at, end + LEAST)
+        if found is None:
+            return None
+        if found.end() > run_end:
+            run_end = CANDIDATE.match(text, found.start()).end()
+        return found.start(), run_end
+
     for w in WORDS.finditer(lowered):
         at, end = max(w.end(), done), w.end() + REACH
-        while (m := CANDIDATE.search(text, at)) and m.start() <= end:
-            at = m.end()
-            if any(a < m.end() and m.start() < b for a, b, _ in base):
+        while at <= end and (span := following(at, end)):
+            start, at = span
+            if covered(start, at):
                 continue
             done = at
-            around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND]
-            if is_novel(m.group(), around):
-                out.append((m.start(), m.end(), "novel"))
+            around = text[max(0, start - AROUND) : start] + "\n" + text[at : at + AROUND]
+            if is_novel(text[start:at], around):
+                out.append((start, at, "novel"))
                 if new_line := BREAK.match(text, at):
                     end = max(end, new_line.end())
     return out
