@@ -16,7 +16,8 @@ from docmill.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go; a document without a language label gets the predicted one."""
+    """Documents without a determined language go, and those whose shortest code under any learned language is longer than they are;
+    a document without a language label gets the predicted one."""
     model = language_id.train(docs.where(~language_id.held_out()))
     kept = language_id.keep(docs, model, "_lang")
     return kept.withColumn("lang", F.coalesce("lang", F.nullif("_lang", F.lit(language_id.UNDETERMINED)))).select(*docs.columns)

@@ -11,8 +11,11 @@ As the statistics are frozen, a byte's cost is a function of the last ORDER + 1
 for every gram of the training texts and a text is scored by table lookups over its bytes; grams of no training text
 fall through to the lower orders' tables.
 
-Fitting uses a bounded sample: per language the ``SAMPLE_ROWS`` texts with the smallest hash of doc_id, texts of over
-``SAMPLE_CHARS`` characters aside.  That bounds the statistics, so the model that is sent to the executors, at any input size.
+Fitting uses a bounded sample: of each language the ``SAMPLE_ROWS`` different (doc_id, text) rows with the smallest hash of both, whatever their
+length; a long text is counted in steps.  Statistics are sums over those rows.
+
+``keep`` also rejects what the model tells: a text whose shortest code is over ``MARGIN`` bits longer than the text itself (8 bits a byte), so
+that no learned language describes it, as one in a script that was never learnt.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; without any training row all texts are
 ``und``; a null doc_id is not held out and not learnt from; rows repeat as they come; extra columns are ignored by
@@ -26,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,7 @@ from docmill.llm.common import steps, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 1000
-SAMPLE_CHARS = 1 << 16
+MARGIN = 64
 UNDETERMINED = "und"
 _LATIN = re.compile("[A-Za-z]")
 
@@ -55,19 +57,40 @@ def grams(at: np.ndarray, data: np.ndarray) -> np.ndarray:
     return key
 
 
+def pieces(at: np.ndarray, data: np.ndarray, i: int, j: int, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, grams) of the texts i..j-1, those of a text of over ``most`` bytes in several parts."""
+    if j - i == 1:
+        for lo in range(int(at[i]), int(at[j]), most):
+            before = max(int(at[i]), lo - ORDER)
+            hi = min(lo + most, int(at[j]))
+            yield i, grams(np.array([0, hi - before]), data[before:hi])[lo - before :]
+        return
+    key = grams(at[i : j + 1] - at[i], data[at[i] : at[j]])
+    for r in range(i, j):
+        yield r, key[at[r] - at[i] : at[r + 1] - at[i]]
+
+
+def counted(lang: str, key: np.ndarray) -> pa.RecordBatch:
+    g, n = np.unique(key, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+
+
 def _count(rows: DataFrame) -> DataFrame:
     """(lang, gram, n) over (lang, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, data = utf8(b.column(1))
-            langs = np.array(b.column(0).to_pylist(), object)
+            langs = b.column(0).to_pylist()
             for i, j in steps(at):
-                key = grams(at[i : j + 1] - at[i], data[at[i] : at[j]])
-                own = np.repeat(langs[i:j], np.diff(at[i : j + 1]))
-                for lang in set(langs[i:j]):
-                    g, n = np.unique(key[own == lang], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+                by: dict[str, list[np.ndarray]] = {}
+                for r, key in pieces(at, data, i, j):
+                    by.setdefault(langs[r], []).append(key)
+                    if j - i == 1:  # a long text: its parts one by one
+                        yield counted(langs[r], key)
+                if j - i > 1:
+                    for lang, keys in by.items():
+                        yield counted(lang, np.concatenate(keys))
 
     return rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -168,7 +191,11 @@ class Model:
                 continue
             bits = np.zeros((j - i, len(self.langs)))
             full = np.flatnonzero(lens)
-            bits[full] = np.add.reduceat(self.costs(grams(at[i : j + 1] - at[i], data[at[i] : at[j]])), (at[i:j] - at[i])[full], axis=0, dtype=np.float64)
+            if j - i == 1:
+                for _, key in pieces(at, data, i, j):
+                    bits[0] += self.costs(key).sum(axis=0, dtype=np.float64)
+            else:
+                bits[full] = np.add.reduceat(self.costs(grams(at[i : j + 1] - at[i], data[at[i] : at[j]])), (at[i:j] - at[i])[full], axis=0, dtype=np.float64)
             best = bits.argmin(axis=1)
             least = bits.min(axis=1, keepdims=True)
             posterior = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=1)
@@ -186,13 +213,13 @@ def held_out(column: str = "doc_id") -> F.Column:
 def train(labelled: DataFrame) -> Model:
     """Model of (doc_id, text, lang) rows; null ids, texts and languages aside."""
     rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()).withColumn("key", F.xxhash64("doc_id", "text"))
     # A language's share of rows with small hashes, three times what is asked for, so the ranking below never
-    # gathers a language; a hash rank within that share is the rank among all rows.
-    spread = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
-    sizes = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("size")))  # one row a language
-    few = rows.join(sizes, "lang").where(spread <= 3.0 * SAMPLE_ROWS / F.col("size"))
-    order = Window.partitionBy("lang").orderBy(spread, "doc_id", "text")
+    # gathers a language; a hash rank within that share is the rank among all rows.  Equal rows count once, before and after the shuffle.
+    spread = (F.col("key").cast("double") + 2.0**63) / 2.0**64
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("size")))  # one row a language
+    few = rows.join(sizes, "lang").where(spread <= 3.0 * SAMPLE_ROWS / F.col("size")).groupBy("lang", "key").agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("key")
     sample = few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
     got = _count(sample).toArrow()
     return Model(got["lang"].to_pylist(), got["gram"].to_numpy(), got["n"].to_numpy())
@@ -211,22 +238,24 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return picked.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
-def keep(docs: DataFrame, model: Model, column: str | None = None) -> DataFrame:
-    """``docs`` without the rows of undetermined language (with a model that learnt nothing: without those that have no letter);
-    ``column`` then names a column that gets the prediction."""
+def keep(docs: DataFrame, model: Model, column: str | None = None, margin: float = MARGIN) -> DataFrame:
+    """``docs`` without the rows of undetermined language and those that no learned language describes (see the module's text; with a
+    model that learnt nothing: without those that have no letter); ``column`` then names a column that gets the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
     schema = docs.schema if column is None else T.StructType([*docs.drop(column).schema.fields, T.StructField(column, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         for b in batches:
             texts = b.column(at).cast(pa.string())
-            langs = pa.array(shared.value.predict(texts)[0], pa.string())
+            langs, _, rate = m.predict(texts)
+            size = np.diff(utf8(texts)[0])
             # A model that learnt nothing rejects nothing that could be told.
-            stay = pa.compute.not_equal(langs, UNDETERMINED) if shared.value.langs else pa.array([lettered(t) for t in texts.to_pylist()], pa.bool_())
+            stay = (np.array(langs) != UNDETERMINED) & ((rate - 8) * size <= margin) if m.langs else np.array([lettered(t) for t in texts.to_pylist()], bool)
             if column is not None:
                 names = [n for n in b.schema.names if n != column]
-                b = pa.RecordBatch.from_arrays([*(b.column(n) for n in names), langs], [*names, column])
-            yield b.filter(stay)
+                b = pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(langs, pa.string())], [*names, column])
+            yield b.filter(pa.array(stay))
 
     return docs.mapInArrow(run, schema)

@@ -68,4 +68,34 @@ def test_edges(spark, edges, nothing):
     assert {r.lang_pred for r in L.identify(edges, L.train(nothing)).collect()} == {"und"}
     assert L.identify(nothing, model).count() == 0
     kept = L.keep(edges, model, "guess")
-    assert kept.columns == [*edges.columns, "guess"] and kept.count() == edges.count() - 4
+    assert kept.columns == [*edges.columns, "guess"]
+    # With these few learned rows, signs that none of them has are no learned language's, either.
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in rows if r.lang_pred != "und" and r.doc_id != 5)
+
+
+def test_long_texts_are_learnt_from_and_counted_in_parts(spark, monkeypatch):
+    long = {"xx": "alpha beta gamma delta " * 4000, "yy": "uno dos tres cuatro é " * 4000}
+    rows = [(i, f"{long[lang]}{i}", lang) for i in range(12) for lang in long]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.train(docs)
+    got = L.identify(docs, model).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: (r.doc_id, r.lang_pred))] == ["xx", "yy"] * 12
+    text = long["yy"][:5000]
+    at, data = utf8(pa.array([text]))
+    whole = L.grams(at, data)
+    assert (np.concatenate([key for _, key in L.pieces(at, data, 0, 1, 700)]) == whole).all()
+    assert np.allclose(model.predict(pa.array([text]))[2], model.costs(whole).sum(axis=0).min() / len(data))
+
+
+def test_equal_rows_and_ids_lose_no_language(spark):
+    rows = [(1, "only one text of this language", "aa")] * 5000 + [(2, f"words of one id {i}", "bb") for i in range(5000)] + [(i, f"outros textos {i}", "cc") for i in range(20)]
+    model = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.langs == ["aa", "bb", "cc"]
+
+
+def test_only_the_model_tells_what_it_rejects(spark):
+    rows = [(i, f"plain words of a learned language come and go, number {i} of many", "en") for i in range(200)]
+    model = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = ["other plain words of many numbers", "汉字 " * 40, "русский текст из многих слов " * 5, "Q", "zq", "漢", "token = 9dd3c80004c73dc10a and words come", "1234 5678"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in L.keep(docs, model).collect()) == [0, 3, 4, 5, 6]

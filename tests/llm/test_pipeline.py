@@ -2,6 +2,7 @@ import re
 
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from test_bpe import PATTERN, RANKS
 from test_chosen_path import brute
 from test_decontaminate import brute as contained
@@ -71,3 +72,10 @@ def test_edges(spark, tmp_path):
     docs.limit(0).write.parquet(str(empty / "documents.parquet"))
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(empty / "benchmark.parquet"))
     assert C.run(spark, str(empty)).count() == 0
+
+
+def test_language_stage_rejects_by_the_model(spark, tmp_path):
+    rows = [(i, f"plain words of a learned language come and go, number {i} of many", "en", "s", 1) for i in range(100)] + [(200, "русский текст из многих слов " * 5, "en", "s", 1), (202, "123 456", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    unseen = docs.withColumn("lang", F.when(F.col("doc_id") < 100, F.col("lang")))  # a learned script's text stays, whatever its label
+    assert {r.doc_id for r in C.identify_language(spark, unseen, str(tmp_path)).collect()} == set(range(100))
