@@ -127,7 +127,7 @@ def q_clean_text(spark, d):
 
 @query
 def q_window_split(spark, d):
-    pieces = F.posexplode(pack.window_split(F.col("text"), F.lit(800), F.lit(100)))
+    pieces = F.posexplode(pack.windowed(F.col("text"), F.lit(800), F.lit(100)))
     return _docs(spark, d).select("source", pieces.alias("piece_no", "piece"))
 
 
@@ -135,7 +135,7 @@ def q_window_split(spark, d):
 def q_pack_blocks(spark, d):
     rows = lines.numbered(_docs(spark, d)).where(T.strip(F.col("line")) != "").withColumn("text", T.strip(F.col("line")))
     cells = rows.groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: F.struct(x["text"].alias("text"))).alias("pieces"))
-    groups = cells.select("source", F.posexplode(pack.pack(F.col("pieces"), F.lit("# Heading"), 800)).alias("group_no", "cells"))
+    groups = pack.pack(cells, "pieces", F.lit("# Heading"), 800).select("source", F.posexplode("groups").alias("group_no", "cells"))
     return groups.select("source", "group_no", F.size("cells").alias("n_blocks"), F.array_join("cells.text", "\n\n").alias("body"))
 
 
@@ -179,7 +179,7 @@ def q_chunks_total(spark, d):
 
 @query
 def q_header_cap(spark, d):
-    head = chunks.header(F.array(F.lit("Part"), F.substring("text", 1, 900), F.substring("text", 1, 1200)), F.concat(F.lit("# "), F.substring("text", 1, 1200)), chunks.ChunkConfig())
+    head = chunks.header(F.array(F.lit("Part"), F.col("text"), F.col("text")), F.concat(F.lit("# "), F.col("text")), chunks.ChunkConfig())
     return _docs(spark, d).select("source", head.alias("header"))
 
 
@@ -201,8 +201,8 @@ def q_chunk_summary(spark, d):
 
 @query
 def q_chunks_per_source(spark, d):
-    long = q_window_split(spark, d).where(F.length("piece") >= 700).groupBy("source").agg(F.count("*").alias("n"))
-    return _docs(spark, d).select("source").join(long, "source", "left").select("source", F.coalesce("n", F.lit(0)).alias("n_chunks"))
+    pieces = q_window_split(spark, d).groupBy("source").agg(F.count("*").alias("n"))
+    return _docs(spark, d).select("source").join(pieces, "source", "left").select("source", F.coalesce("n", F.lit(0)).alias("n_chunks"))
 
 
 @query
@@ -326,8 +326,8 @@ def q_vf32_roundtrip(spark, d):
 
 @query
 def q_token_pad(spark, d):
-    ids = F.transform(F.split(F.substring("text", 1, 60), " "), lambda w: F.length(w))
-    return _docs(spark, d).select("source", F.array_join(vectors.pad(ids, 12), " ").alias("ids"))
+    ids = F.transform(F.split("text", " "), lambda w: F.length(w))
+    return _docs(spark, d).select("source", F.array_join(vectors.pad(ids, 1024), " ").alias("ids"))
 
 
 @query

@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docmill.functions.arrays import let, scan
+
 LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
+OTHER_BREAK = "[\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 PAGE_MARKER = r"(?U)^\s*<!--\s*page:\s*(\d+)\s*-->"
 ATX = r"(?U)^(#{1,6})\s+(.*\S)\s*$"
 BOLD = r"^\*\*(.+?)\*\*$"
@@ -37,8 +40,11 @@ def lstrip(c: Column) -> Column:
 
 def lines(c: Column) -> Column:
     """Physical lines; a final line break makes no empty last line."""
-    parts = F.split(c, LINE_BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+
+    def without_last(parts: Column) -> Column:
+        return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+
+    return let(F.when(c.rlike(OTHER_BREAK), F.split(c, LINE_BREAK, -1)).otherwise(F.split(c, "\n", -1)), without_last)
 
 
 def strip_spans(c: Column) -> Column:
@@ -58,46 +64,70 @@ def page_marker_line(c: Column) -> Column:
 
 def inline(c: Column) -> Column:
     """Plain text of inline markdown."""
-    c = sub(c, r"\[([^\]]+)\]\([^)]+\)", "$1")
-    c = sub(sub(c, r"<[^>]+>", " "), r"[*_`~]+", "")
-    return F.trim(sub(c, r"(?U)\s+", " "))
+
+    def unlinked(x: Column) -> Column:
+        return F.when(x.contains("]("), sub(x, r"\[([^\]]+)\]\([^)]+\)", "$1")).otherwise(x)
+
+    def untagged(x: Column) -> Column:
+        return F.when(x.contains("<"), sub(x, r"<[^>]+>", " ")).otherwise(x)
+
+    return F.trim(sub(F.translate(let(let(c, unlinked), untagged), "*_`~", ""), r"(?U)\s+", " "))
+
+
+def marked(word: str) -> str:
+    """Pattern of a word that may have inline marks, which are dropped, between its letters."""
+    return "[*_`~]*".join(word)
+
+
+def may_be_footer(c: Column) -> Column:
+    """A cheap test that every text with a footer passes."""
+    low, marks = F.lower(c), c.contains("*") | c.contains("_") | c.contains("`") | c.contains("~")
+    return low.contains("revision") | low.contains("page") | (marks & c.rlike(f"(?i){marked('revision')}|{marked('page')}")) | c.contains("](")
 
 
 def footer(c: Column) -> Column:
     """Whether a line is a page footer."""
     plain = F.lower(inline(F.replace(c, F.lit("|"), F.lit(" "))))
-    return plain.startswith("revision no.") | plain.rlike(r"(?U)^page\s+[ivxlcdm\d]+\s+of\s+\d+$")
+    return let(plain, lambda p: p.startswith("revision no.") | p.rlike(r"(?U)^page\s+[ivxlcdm\d]+\s+of\s+\d+$"))
 
 
 def table_artifact(c: Column) -> Column:
     """Whether a line is blank or what is left of an empty table row."""
-    s = strip(c)
-    cells = F.split(F.btrim(s, F.lit("|")), r"\|", -1)
-    return (s == "") | s.rlike(r"(?U)^\|?[-:\s|]+\|?$") | (s.startswith("|") & s.endswith("|") & F.forall(cells, lambda x: strip(x) == ""))
+
+    def empty(s: Column) -> Column:
+        row = s.startswith("|") & s.endswith("|")
+        return (s == "") | s.rlike(r"(?U)^\|?[-:\s|]+\|?$") | (row & F.forall(F.split(F.btrim(s, F.lit("|")), r"\|", -1), lambda x: strip(x) == ""))
+
+    return let(strip(c), empty)
 
 
 def strip_footers(c: Column) -> Column:
     """Drop footer lines and the artefact lines right after each; at most one blank line in a row; stripped."""
-    start = F.struct(F.lit(False).alias("after"), F.array().cast("array<string>").alias("kept"))
 
-    def add(acc: Column, x: Column) -> Column:
-        drop = x["f"] | (acc["after"] & x["e"])
-        return F.struct(drop.alias("after"), F.when(drop, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(x["s"]))).alias("kept"))
+    def kept(all_lines: Column) -> Column:
+        # 1 for a footer, 0 for text; an artefact (null) goes if the last line that is neither was a footer.
+        state = F.transform(all_lines, lambda s: F.when(may_be_footer(s) & footer(s), 1).when(~table_artifact(s), 0))
+        after = scan(state, lambda before, own: F.coalesce(own, before))
+        return let(after, lambda a: F.array_join(F.filter(all_lines, lambda s, i: F.coalesce(F.get(a, i), F.lit(0)) == 0), "\n"))
 
-    marked = F.transform(lines(c), lambda s: F.struct(s.alias("s"), footer(s).alias("f"), table_artifact(s).alias("e")))
-    folded = F.array_join(F.aggregate(marked, start, add, lambda acc: acc["kept"]), "\n")
-    plain = F.array_join(lines(c), "\n")
-    # The fold is costly and footers are rare.
-    rare = F.lower(c).rlike(r"(?U)revision|page[\s|*_`~<]")
-    return strip(sub(F.when(rare, folded).otherwise(plain), "\n{3,}", "\n\n"))
+    def without(x: Column) -> Column:
+        # Line by line only where a line may be a footer.
+        return F.when(may_be_footer(x), let(lines(x), kept)).when(x.rlike(OTHER_BREAK), F.array_join(lines(x), "\n")).otherwise(x)
+
+    return strip(let(let(c, without), lambda x: F.when(x.contains("\n\n\n"), sub(x, "\n{3,}", "\n\n")).otherwise(x)))
 
 
 def clean(c: Column) -> Column:
     """Text of a passage without HTML, dead links, footers and runs of spaces."""
-    c = sub(c, r"(?is)<sup[^>]*>.*?</sup>", "")
-    c = sub(sub(c, r"(?iU)<br\s*/?>", " "), r"<[^>]+>", "")
-    c = sub(c, r"\[([^\]]+)\]\(#[^)]*\)", "$1")
-    return sub(strip_footers(c), r"[ \t]{2,}", " ")
+
+    def untagged(x: Column) -> Column:
+        return F.when(x.contains("<"), sub(sub(sub(x, r"(?is)<sup[^>]*>.*?</sup>", ""), r"(?iU)<br\s*/?>", " "), r"<[^>]+>", "")).otherwise(x)
+
+    def unlinked(x: Column) -> Column:
+        return F.when(x.contains("](#"), sub(x, r"\[([^\]]+)\]\(#[^)]*\)", "$1")).otherwise(x)
+
+    whole = strip_footers(let(let(c, untagged), unlinked))
+    return let(whole, lambda t: F.when(t.contains("  ") | t.contains("\t"), sub(t, r"[ \t]{2,}", " ")).otherwise(t))
 
 
 def heading_key(c: Column) -> Column:

@@ -16,8 +16,10 @@ _PART = "array<struct<text:string,type:string,page_start:int,page_end:int>>"
 
 
 def sections(docs: DataFrame) -> DataFrame:
-    """Sections of (source, text) markdown, empty spans removed first."""
-    return S.sections(lines.with_headings(lines.paged(lines.numbered(docs.select("source", T.strip_spans("text").alias("text"))))))
+    """Sections of (source, text) markdown, empty spans removed first.  With a ``corpus_rank``, documents are those of (corpus_rank,
+    source) and ``source`` is that pair: two corpora may hold one name."""
+    source = F.struct("corpus_rank", "source").alias("source") if "corpus_rank" in docs.columns else "source"
+    return S.sections(lines.with_headings(lines.paged(lines.numbered(docs.select(source, T.strip_spans("text").alias("text"))))))
 
 
 def header(path: Column, heading_raw: Column, config: ChunkConfig) -> Column:
@@ -37,7 +39,7 @@ def bodies(kept: DataFrame, config: ChunkConfig) -> DataFrame:
     made = F.filter(made, lambda p: p["text"] != "")
     grouped = pieces.select("source", "section_no", *_CONTEXT, "block", made.alias("pieces")).groupBy("source", "section_no", *_CONTEXT)
     joined = grouped.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "pieces"))), lambda b: b["pieces"])).cast(_PART).alias("pieces"))
-    groups = joined.select("source", "section_no", *_CONTEXT, F.posexplode(pack.pack(F.col("pieces"), F.col("heading_raw"), config.size)).alias("part_no", "group"))
+    groups = pack.pack(joined, "pieces", F.col("heading_raw"), config.size).select("source", "section_no", *_CONTEXT, F.posexplode("groups").alias("part_no", "group"))
     types = F.array_distinct(F.col("group.type"))
     packed = groups.select(
         "source", "section_no", *_CONTEXT, "part_no", F.when(F.size(types) == 1, types[0]).otherwise("mixed").alias("type"),
@@ -51,30 +53,34 @@ def emit(parts: DataFrame, config: ChunkConfig) -> DataFrame:
     head = header(F.col("path"), F.col("heading_raw"), config)
     rows = parts.withColumn("_head", head).withColumn("body", T.strip("body"))
     budget = F.lit(config.max_chars) - F.when(F.length("_head") > 0, F.length("_head") + 2).otherwise(0)
-    # A body within its budget comes back as it is, so one pass serves both.
-    exploded = rows.select("*", F.posexplode(pack.window_split("body", budget, F.lit(config.overlap))).alias("piece_no", "piece")).where(T.strip(F.col("piece")) != "")
+    exploded = rows.select("*", F.posexplode(pack.windowed(F.col("body"), budget, F.lit(config.overlap))).alias("piece_no", "piece")).where(T.strip(F.col("piece")) != "")
     text = T.clean(F.concat_ws("\n\n", F.when(F.col("_head") != "", F.col("_head")), T.strip(F.col("piece"))))
-    return exploded.withColumn("text", text).where(F.length("text") >= config.min_chars).select("source", "section_no", "section_id", "path", "part_no", "piece_no", "type", "page_start", "page_end", "text")
+    # A generator, so that the filter isn't pushed below the text and makes it a second time.
+    made = exploded.select("source", "section_no", "section_id", "path", "part_no", "piece_no", "type", "page_start", "page_end", F.explode(F.array(text)).alias("text"))
+    return made.where(F.length("text") >= config.min_chars)
 
 
 def chunks(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """All passages of (source, text) markdown with their global index, before duplicates go."""
+    """All passages of (source, text) markdown with their global index, before duplicates go.  With a ``corpus_rank``, corpora come in its
+    order, and it is the last column."""
     # Read twice below, for short and for long sections; the reason is a stored column, so its filter reaches the scan
     # and isn't pushed, expanded, through the projections that make it.
     kept = ordinals.written(filters.explained(sections(docs)), "sections").where("reason IS NULL").drop("reason")
     found = ordinals.written(emit(bodies(kept, config), config), "passages")  # read twice: counts and numbers
     numbered = ordinals.numbered(found, "source", ["section_no", "part_no", "piece_no"], "index")
+    name = S.source_name(numbered)
     return numbered.select(
-        "index", F.format_string("%s:chunk:%05d", F.col("source").cast("string"), F.col("index")).alias("chunk_id"), "source", "section_id", F.col("path").alias("section_path"),
-        F.col("type").alias("chunk_type"), "page_start", "page_end", "text",
+        "index", F.format_string("%s:chunk:%05d", name.cast("string"), F.col("index")).alias("chunk_id"), name.alias("source"), "section_id", F.col("path").alias("section_path"),
+        F.col("type").alias("chunk_type"), "page_start", "page_end", "text", *([F.col("source.corpus_rank").alias("corpus_rank")] if "corpus_rank" in docs.columns else []),
     )
 
 
 def first_of_each(rows: DataFrame, text: str, order: str) -> DataFrame:
-    """The first row by ``order`` of every text.  Keys are 32-byte digests, so the text isn't sorted on; AQE and the window's
-    group limit keep a text that a third of rows share from gathering in one task."""
-    first = rows.groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("_key")).agg(F.min(order).alias("_first"))
-    return rows.join(first.select(F.col("_first").alias(order)), order, "left_semi")
+    """The first row by ``order`` of every text: rows without an order come last, of rows that tie one stays, null texts are
+    one text.  Keys are 32-byte digests, and each task keeps one row a key before the shuffle, so a text that a third of rows
+    share gathers nowhere."""
+    whole, rank = F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(F.col(order).isNull(), F.col(order))
+    return rows.groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("_key")).agg(F.min_by(whole, rank).alias("_row")).select("_row.*")
 
 
 def dedup(rows: DataFrame) -> DataFrame:

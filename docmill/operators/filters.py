@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docmill.config import BOILERPLATE_SECTION, BOILERPLATE_SUBTREE, TEMPLATE_HEADING
 from docmill.functions import text as T
+from docmill.functions.arrays import let
 
 _RAW, _HEAD, _PATH = "heading_raw", "heading_text", "path"
 
@@ -25,7 +26,9 @@ def boilerplate_subtree(path: Column) -> Column:
 
 
 def cross_reference(body: Column) -> Column:
-    return T.inline(body).rlike(r"(?iU)^\s*Recommendations?\s+[\d.]+(?:\s*(?:,|and|to|–|-)\s*[\d.]+)*\.?\s*$")
+    # Only such a text is made plain.
+    may_be = body.rlike(f"(?i){T.marked('recommendation')}") | body.contains("](")
+    return may_be & T.inline(body).rlike(r"(?iU)^\s*Recommendations?\s+[\d.]+(?:\s*(?:,|and|to|–|-)\s*[\d.]+)*\.?\s*$")
 
 
 def table_profile(body: Column) -> Column:
@@ -84,7 +87,8 @@ def contents_list(whole: Column, plain: Column) -> Column:
         return (n >= 5) & (F.size(F.filter(marks, lambda m: m)) >= F.greatest(F.lit(4), F.floor(n / 2)))
 
     lines = F.filter(T.lines(whole), lambda s: T.strip(s) != "")
-    listed = F.element_at(F.transform(F.array(F.transform(lines, entry)), enough), 1)
+    # An entry holds a digit or a bar: few sections have four such lines, and only these are looked at line by line.
+    listed = F.when(F.regexp_count(whole, F.lit(r"(?m)^[^\n]*?[\p{Nd}|]")) >= 4, let(F.transform(lines, entry), enough)).otherwise(False)
     return F.lower(plain).contains("table of contents") | listed
 
 
@@ -99,7 +103,10 @@ def explained(sections: DataFrame) -> DataFrame:
     alive = F.col("_cheap").isNull()
     whole = T.rendered(F.col(_RAW), body)
     key = T.heading_key(F.when(F.size(path) > 0, F.array_join(path, " ")).otherwise(F.coalesce(head, F.lit(""))))
-    rows = rows.withColumn("_whole", F.when(alive, whole)).withColumn("_profile", F.when(alive & body.contains("|"), table_profile(body))).withColumn("_plain", T.inline(F.col("_whole")))
+    rows = rows.withColumn("_whole", F.when(alive, whole)).withColumn("_profile", F.when(alive & body.contains("|"), table_profile(body)))
+    # The plain text is made only where an index entry or the words of a contents list may be in it.
+    wanted = F.col("_whole").rlike(f"[A-Z][*_`~]*-[*_`~]*\\p{{Nd}}|(?i){T.marked('contents')}") | F.col("_whole").contains("](")
+    rows = rows.withColumn("_plain", F.when(wanted, T.inline(F.col("_whole"))).otherwise(""))
     costly = (
         F.when(blank_form(F.col("_profile")), "blank_form").when(sparse_template(key, F.col("_profile")), "sparse_template")
         .when(manual_index(head, F.col("_plain")), "manual_index").when(contents_list(F.col("_whole"), F.col("_plain")), "contents_list")

@@ -10,7 +10,7 @@ from docmill.functions import text as T
 
 def numbered(docs: DataFrame) -> DataFrame:
     """(source, ..., line_no, line): one row a physical line of ``text``, numbered from 0."""
-    return docs.select(*[c for c in docs.columns if c != "text"], F.posexplode(T.lines("text")).alias("line_no", "line"))
+    return docs.select(*[c for c in docs.columns if c != "text"], F.posexplode(T.lines(F.col("text"))).alias("line_no", "line"))
 
 
 def paged(lines: DataFrame) -> DataFrame:

@@ -1,114 +1,128 @@
-"""Size-bounded pieces: greedy packing as folds over lengths, and the overlapping window splitter."""
+"""Size-bounded pieces: greedy packing over lengths, and the overlapping window splitter.
+
+Both are Arrow-batched: a greedy fold that remembers its groups has no built-in of linear time.  Only what is too long goes to Python; all else
+is sent as null and stays in the JVM.
+"""
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+from docmill.functions.arrays import slices
+
+#: Where a window may end, best first: after a paragraph break, a line break, a sentence, a space.
+BREAKS = {kind: re.compile(f"(?={re.escape(kind)})") for kind in ("\n\n", "\n", ". ", " ")}
+
 
-from docmill.functions import text as T
+def window_bounds(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of windows of at most ``size`` code points.
 
-SEPARATORS = ("\n\n", "\n", ". ", " ")
+    All ends of each kind of break are listed once; a window ends at the last of the best kind that has one whose break begins
+    beyond the overlap, found by bisection, and the next window begins ``overlap`` before that end."""
+    ends = [(len(kind), [m.start() + len(kind) for m in pattern.finditer(text)]) for kind, pattern in BREAKS.items()]
+
+    def last(width: int, of_kind: list[int], low: int, high: int) -> int | None:
+        i = bisect_right(of_kind, high)
+        return of_kind[i - 1] if i and of_kind[i - 1] >= low + width else None
+
+    begin = 0
+    while begin + size < len(text):
+        found = (last(width, of_kind, begin + overlap, begin + size) for width, of_kind in ends)
+        end = next((e for e in found if e is not None), begin + size)
+        yield begin, end
+        begin = max(begin + 1, end - overlap)
+    yield begin, len(text)
 
 
 def windows(text: str, size: int, overlap: int) -> list[str]:
-    """Overlapping windows of at most ``size`` code points that end after the last paragraph break, line break, sentence or
-    space beyond the overlap, whichever kind comes first in that order; a short text is returned as it is."""
+    """Windows of a long text, stripped, empty ones dropped; a short text is returned as it is."""
     if len(text) <= size:
         return [text]
-    out, start = [], 0
-    while start < len(text):
-        end = start + size
-        if end < len(text):
-            for separator in SEPARATORS:
-                at = text.rfind(separator, start + overlap, end)
-                if at >= 0:
-                    end = at + len(separator)
-                    break
-        piece = text[start:end].strip()
-        if piece:
-            out.append(piece)
-        if start + size >= len(text):
-            break
-        start = max(start + 1, end - overlap)
-    return out
+    return [p for p in (text[a:b].strip() for a, b in window_bounds(text, size, overlap)) if p]
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def window_split(text: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
-    """Arrow-batched: a fold over break positions has no built-in."""
-    return pd.Series([windows(t, s, o) if t is not None else None for t, s, o in zip(text, size, overlap)])
+def greedy(units: list[tuple[int, int, int]], base: int, gap: int, cap: int, alone: bool = False) -> list[tuple[int, int]]:
+    """(first unit, units) of each group of (length, lead, trail) units.
 
+    A group's length is ``base``, its units' and ``gap`` between them, less the first unit's ``lead`` and the last's ``trail``.  A unit
+    that would take a group over ``cap`` starts the next.  With ``alone``, a unit that reaches the cap by itself closes its group."""
+    groups: list[tuple[int, int]] = []
+    total, closed = 0, True
+    for i, (n, _, trail) in enumerate(units):
+        first, count = groups[-1] if groups else (0, 0)
+        if closed or base + total + gap + n - units[first][1] - trail > cap:
+            groups.append((i, 1))
+            total, closed = n, alone and base + n >= cap
+        else:
+            groups[-1] = (first, count + 1)
+            total += gap + n
+    return groups
 
-def greedy(units: Column, base: Column, gap: int, cap: Column, alone: bool) -> Column:
-    """Group number of each unit of array<struct<n, lead, trail>>.
 
-    A group's length is base + sum(n) + gap between units, less the first unit's ``lead`` and the last's ``trail``.  A unit
-    that would take a group over ``cap`` starts the next.  With ``alone``, a unit that reaches the cap by itself closes its group."""
-    start = F.struct(F.lit(0).alias("g"), F.lit(0).alias("n"), F.lit(0).alias("c"), F.lit(0).alias("lead"), F.array().cast("array<int>").alias("out"))
+def row_pieces(rows: list[str], size: int) -> list[str]:
+    """A table's rows in groups that repeat its two header lines; rows never split; a table without rows stays."""
+    header, body = "\n".join(rows[:2]), rows[2:]
+    return ["\n".join([header, *body[i : i + n]]) for i, n in greedy([(len(r), 0, 0) for r in body], len(header) + 1, 1, size)]
 
-    def add(acc: Column, x: Column) -> Column:
-        joined = acc["c"] + gap + x["n"]
-        flush = (acc["n"] > 0) & (base + joined - acc["lead"] - x["trail"] > cap)
-        fresh = flush | (acc["n"] == 0)
-        g = acc["g"] + flush.cast("int")
-        c = F.when(fresh, x["n"]).otherwise(joined)
-        n = F.when(fresh, F.lit(1)).otherwise(acc["n"] + 1)
-        out = F.concat(acc["out"], F.array(g))
-        close = (n == 1) & (base + x["n"] >= cap) if alone else F.lit(False)
-        return F.struct(
-            (g + close.cast("int")).alias("g"), F.when(close, F.lit(0)).otherwise(n).alias("n"), F.when(close, F.lit(0)).otherwise(c).alias("c"),
-            F.when(fresh, x["lead"]).otherwise(acc["lead"]).alias("lead"), out.alias("out"),
-        )
 
-    return F.aggregate(units, start, add, lambda acc: acc["out"])
+def item_pieces(rows: list[str], items: list[int], size: int) -> list[str]:
+    """A list's items in groups; an item never splits."""
+    starts = [i for i, item in enumerate(items) if i == 0 or item != items[i - 1]]
+    texts = ["\n".join(rows[a:z]) for a, z in zip(starts, [*starts[1:], len(rows)])]
+    units = [(len(t), len(t) - len(t.lstrip()), len(t) - len(t.rstrip())) for t in texts]
+    return ["\n".join(texts[i : i + n]).strip() for i, n in greedy(units, 0, 1, size)]
 
 
-def in_groups(values: Column, groups: Column) -> Column:
-    """array<array> of ``values`` by their group numbers, which ascend from 0 in steps of at most 1."""
-    tagged = F.zip_with(values, groups, lambda v, g: F.struct(v.alias("v"), g.alias("g")))
-    return F.transform(
-        F.array_distinct(groups), lambda k: F.transform(F.filter(tagged, lambda x: x["g"] == k), lambda x: x["v"])
-    )
+@F.pandas_udf(ArrayType(StringType()))
+def window_split(text: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else windows(t, s, o) for t, s, o in zip(text, size, overlap)], dtype=object)
+
 
+@F.pandas_udf(ArrayType(StringType()))
+def long_block(kind: pd.Series, text: pd.Series, lines: pd.Series, items: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
+    def pieces(k, t, rows, own, s, o):
+        if t is None:
+            return None
+        if k == "table":
+            return row_pieces(list(rows), s) if len(rows) > 2 else [t]
+        return item_pieces(list(rows), list(own), s) if k == "list" else windows(t, s, o)
 
-def _unit(text: Column) -> Column:
-    return F.struct(F.length(text).alias("n"), F.lit(0).alias("lead"), F.lit(0).alias("trail"))
+    return pd.Series([pieces(*x) for x in zip(kind, text, lines, items, size, overlap)], dtype=object)
 
 
-def table_pieces(lines: Column, text: Column, cap: Column) -> Column:
-    """A table's rows in groups that repeat its two header lines; rows never split; under three lines it stays."""
-    header = F.array_join(F.slice(lines, 1, 2), "\n")
-    rows = F.slice(lines, 3, F.greatest(F.size(lines) - 2, F.lit(0)))
-    groups = greedy(F.transform(rows, _unit), F.length(header) + 1, 1, cap, False)
-    return F.when(F.size(lines) < 3, F.array(text)).otherwise(F.transform(in_groups(rows, groups), lambda r: F.concat_ws("\n", header, F.array_join(r, "\n"))))
+@F.pandas_udf(ArrayType(StructType([StructField("at", IntegerType()), StructField("n", IntegerType())])))
+def groups_of(lengths: pd.Series, base: pd.Series, size: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [{"at": i, "n": n} for i, n in greedy([(int(u), 0, 0) for u in x], b, 2, s, True)] for x, b, s in zip(lengths, base, size)], dtype=object)
 
 
-def list_pieces(lines: Column, cap: Column) -> Column:
-    """A list's items (array<struct<line, item>>) in groups; an item never splits."""
-    numbers = F.array_distinct(F.transform(lines, lambda x: x["item"]))
-    items = F.transform(numbers, lambda k: F.array_join(F.transform(F.filter(lines, lambda x: x["item"] == k), lambda x: x["line"]), "\n"))
+groups_of = groups_of.asNondeterministic()  # so that it isn't moved into the lambdas that use it
 
-    def unit(t: Column) -> Column:
-        return F.struct(F.length(t).alias("n"), (F.length(t) - F.length(T.lstrip(t))).alias("lead"), (F.length(t) - F.length(T.rstrip(t))).alias("trail"))
 
-    groups = greedy(F.transform(items, unit), F.lit(0), 1, cap, False)
-    return F.transform(in_groups(items, groups), lambda r: T.strip(F.array_join(r, "\n")))
+def windowed(text: Column, size: Column, overlap: Column) -> Column:
+    """array<string>: a text within ``size`` as it is, else its windows."""
+    long = F.length(text) > size
+    return F.coalesce(window_split(F.when(long, text), size, overlap), F.array(text))
 
 
 def split_block(kind: Column, text: Column, lines: Column, size: int, overlap: int) -> Column:
-    """array<string>: a block within ``size`` as it is; else rows, items or windows."""
-    cap = F.lit(size)
-    return (
-        F.when(F.length(text) <= size, F.array(text))
-        .when(kind == "table", table_pieces(F.transform(lines, lambda x: x["line"]), text, cap))
-        .when(kind == "list", list_pieces(lines, cap))
-        .otherwise(window_split(text, F.lit(size), F.lit(overlap)))
-    )
-
-
-def pack(pieces: Column, heading_raw: Column, size: int) -> Column:
-    """Groups of array<struct<text, ...>> for passages of about ``size`` with the heading counted."""
+    """array<string>: a block within ``size`` as it is; else rows, items or windows.  ``lines`` is array<struct<line, item>>."""
+    long = F.length(text) > size
+    rows = F.when(long & (kind != "paragraph"), lines)
+    pieces = long_block(kind, F.when(long, text), F.transform(rows, lambda x: x["line"]), F.transform(rows, lambda x: x["item"]), F.lit(size), F.lit(overlap))
+    return F.coalesce(pieces, F.array(text))
+
+
+def pack(rows: DataFrame, pieces: str, heading_raw: Column, size: int) -> DataFrame:
+    """Adds ``groups``: groups of the column array<struct<text, ...>> for passages of about ``size`` with the heading counted; a lone
+    piece is a group."""
     base = F.coalesce(F.length(heading_raw) + 2, F.lit(0))
-    return in_groups(pieces, greedy(F.transform(pieces, lambda p: _unit(p["text"])), base, 2, F.lit(size), True))
+    lengths = F.when(F.size(pieces) > 1, F.transform(pieces, lambda p: F.length(p["text"])))
+    bounded = rows.withColumn("_bounds", groups_of(lengths, base, F.lit(size)))
+    return bounded.withColumn("groups", F.coalesce(slices(F.col(pieces), F.col("_bounds")), F.array(pieces))).drop("_bounds")

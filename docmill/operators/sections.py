@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docmill.functions import text as T
 
 MAX_LEVEL = 6
 
 
+def source_name(rows: DataFrame) -> Column:
+    """The name in ``source``, which may be a (corpus_rank, source) pair."""
+    return F.col("source.source") if isinstance(rows.schema["source"].dataType, StructType) else F.col("source")
+
+
 def assigned(lines: DataFrame) -> DataFrame:
     """Adds ``ordinal``: how many headings stand at or before a line (0: before the first)."""
     upto = Window.partitionBy("source").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -49,7 +55,7 @@ def sections(lines: DataFrame) -> DataFrame:
     start = F.coalesce("_head_page", "_first.page")
     number = F.row_number().over(Window.partitionBy("source").orderBy("ordinal"))
     return alive.withColumn("section_no", number).select(
-        "source", "section_no", F.format_string("%s:section:%04d", F.col("source").cast("string"), F.col("section_no")).alias("section_id"), F.col("heading.level").alias("level"),
+        "source", "section_no", F.format_string("%s:section:%04d", source_name(alive).cast("string"), F.col("section_no")).alias("section_id"), F.col("heading.level").alias("level"),
         F.col("heading.raw").alias("heading_raw"), F.col("heading.text").alias("heading_text"), "path", start.alias("page_start"), F.coalesce("_last.page", start).alias("page_end"),
         T.strip(F.array_join("lines.line", "\n")).alias("body"), "lines",
     )

@@ -29,7 +29,9 @@ TEMPLATES = {
     21: f"'| K | V |' || {_N} || '|---|---|' || repeat({_N} || '| ' || {_S} || ' | v mg |', 40)",
     22: "'# Standard precautions' || chr(10) || repeat('Wash hands before and after every contact and record the time. ', 2) || chr(10) || '## After ' || " + _D,
 }
-DECORATION = "CASE r " + " ".join(f"WHEN {r} THEN {t}" for r, t in TEMPLATES.items()) + " ELSE x END"
+# Templates hold the first 40 characters of a line, if any; what they leave out follows as a line of its own.
+_HELD = "CASE WHEN r IN (4, 7, 8, 10, 11, 12, 13, 14, 15, 18) THEN 0 WHEN r BETWEEN 1 AND 22 THEN 40 ELSE length(x) END"
+DECORATION = "CASE r " + " ".join(f"WHEN {r} THEN {t}" for r, t in TEMPLATES.items()) + f" ELSE x END || CASE WHEN length(x) > {_HELD} THEN chr(10) || substr(x, {_HELD} + 1) ELSE '' END"
 
 
 def decorated(docs: DataFrame) -> DataFrame:

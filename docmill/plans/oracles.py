@@ -174,6 +174,7 @@ def greedy_pieces(kind: str) -> str:
             f"nr AS (SELECT *, row_number() OVER ({own} ORDER BY line_no) AS i, count(*) OVER ({own}) AS n FROM ln), hh AS (SELECT source, section_no, block, string_agg(line, chr(10) ORDER BY line_no) AS head FROM nr WHERE i <= 2 AND n > 2 GROUP BY ALL), "
             "u AS (SELECT source, section_no, block, i - 2 AS i, line AS t, head FROM nr JOIN hh USING (source, section_no, block) WHERE i > 2)"
         )
+        short = " UNION ALL SELECT source, section_no, block, 0, any_value(lb.text) FROM lb JOIN ln USING (source, section_no, block) GROUP BY ALL HAVING count(*) < 3"
         whole = "length(u.head || chr(10) || {})"
         made = "arg_min(head, i) || chr(10) || string_agg(t, chr(10) ORDER BY i)"
     else:
@@ -181,6 +182,7 @@ def greedy_pieces(kind: str) -> str:
             f"nr AS (SELECT *, sum(CASE WHEN class = 'list' THEN 1 ELSE 0 END) OVER ({own} ORDER BY line_no) AS item FROM ln), it AS (SELECT source, section_no, block, item, string_agg(line, chr(10) ORDER BY line_no) AS t FROM nr GROUP BY ALL), "
             f"u AS (SELECT source, section_no, block, row_number() OVER ({own} ORDER BY item) AS i, t FROM it)"
         )
+        short = ""
         whole = f"length({strip('{}')})"
         made = strip("string_agg(t, chr(10) ORDER BY i)")
     fits = f"f.i > 0 AND {whole.format('f.held || chr(10) || u.t')} <= 800"
@@ -188,7 +190,7 @@ def greedy_pieces(kind: str) -> str:
         f"WITH RECURSIVE {BLOCKS}, {long}, {units}, f AS (SELECT DISTINCT source, section_no, block, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS g, '' AS held FROM u "
         f"UNION ALL SELECT u.source, u.section_no, u.block, u.i, CASE WHEN f.i = 0 OR {fits} THEN f.g ELSE f.g + 1 END, CASE WHEN {fits} THEN f.held || chr(10) || u.t ELSE u.t END "
         "FROM f JOIN u ON u.source = f.source AND u.section_no = f.section_no AND u.block = f.block AND u.i = f.i + 1) "
-        f"SELECT source, section_no, block, CAST(g AS INT) AS piece_no, {made} AS piece FROM f JOIN u USING (source, section_no, block, i) WHERE i > 0 GROUP BY source, section_no, block, g"
+        f"SELECT source, section_no, block, CAST(g AS INT) AS piece_no, {made} AS piece FROM f JOIN u USING (source, section_no, block, i) WHERE i > 0 GROUP BY source, section_no, block, g{short}"
     )
 
 
@@ -234,11 +236,11 @@ RAW = {
     "q_pack_blocks": ("source bigint, group_no int, n_blocks int, body string", packed()),
     "q_table_split": ("source bigint, section_no int, block int, piece_no int, piece string", greedy_pieces("table")),
     "q_list_split": ("source bigint, section_no int, block int, piece_no int, piece string", greedy_pieces("list")),
-    "q_header_cap": ("source bigint, header string", f"WITH {DOCS}, h AS (SELECT source, '> Part > ' || substr(text, 1, 900) || chr(10) || chr(10) || '# ' || substr(text, 1, 1200) AS h FROM docs) SELECT source, CASE WHEN length(h) > 1698 THEN substr(h, 1, 1697) || '…' ELSE h END AS header FROM h"),
+    "q_header_cap": ("source bigint, header string", f"WITH {DOCS}, h AS (SELECT source, '> Part > ' || text || chr(10) || chr(10) || '# ' || text AS h FROM docs) SELECT source, CASE WHEN length(h) > 1698 THEN substr(h, 1, 1697) || '…' ELSE h END AS header FROM h"),
     "q_dedup_first": ("doc_id bigint, n_chars int", "SELECT min(doc_id) AS doc_id, length(text) AS n_chars FROM documents GROUP BY text"),
     "q_dup_count": ("n_rows bigint, n_texts bigint, n_removed bigint", "SELECT count(*) AS n_rows, count(DISTINCT text) AS n_texts, count(*) - count(DISTINCT text) AS n_removed FROM documents"),
     "q_chunk_summary": ("n_chunks bigint, total_chars bigint, avg_chars bigint", f"SELECT count(*) AS n_chunks, sum(length(piece)) AS total_chars, sum(length(piece)) // count(*) AS avg_chars FROM ({windows()})"),
-    "q_chunks_per_source": ("source bigint, n_chunks bigint", f"SELECT doc_id AS source, coalesce(n, 0) AS n_chunks FROM documents LEFT JOIN (SELECT source AS src, count(*) AS n FROM ({windows()}) WHERE length(piece) >= 700 GROUP BY source) ON src = doc_id"),
+    "q_chunks_per_source": ("source bigint, n_chunks bigint", f"SELECT doc_id AS source, coalesce(n, 0) AS n_chunks FROM documents LEFT JOIN (SELECT source AS src, count(*) AS n FROM ({windows()}) GROUP BY source) ON src = doc_id"),
     "q_global_index": ("source bigint, line_no int, row_id bigint", f"{INDEXED} SELECT source, line_no, row_id FROM nx"),
     "q_slice": ("row_id bigint, line string", f"{INDEXED} SELECT row_id, line FROM nx WHERE row_id BETWEEN 101 AND 300"),
     "q_normalize_ids": ("page_id bigint, normalized_id string", f"SELECT page_id, {NORM.format('url')} AS normalized_id FROM pages"),
@@ -262,7 +264,7 @@ RAW = {
     ),
     "q_progress": ("worker bigint, done int, total int", "SELECT conv_id AS worker, max(turn) AS done, arg_max(length(text), turn) AS total FROM conversations GROUP BY conv_id"),
     "q_vf32_roundtrip": ("vec_id bigint, n_bytes bigint, prefix string, dim bigint, total double", "SELECT vec_id, 4 + 4 * len(embedding) AS n_bytes, '56463332' AS prefix, len(embedding) AS dim, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings"),
-    "q_token_pad": ("source bigint, ids string", "SELECT doc_id AS source, array_to_string((list_transform(string_split(substr(text, 1, 60), ' '), lambda w: length(w)) || [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0])[:12], ' ') AS ids FROM documents"),
+    "q_token_pad": ("source bigint, ids string", "SELECT doc_id AS source, array_to_string((list_transform(string_split(text, ' '), lambda w: length(w)) || list_transform(range(1024), lambda z: 0))[:1024], ' ') AS ids FROM documents"),
     "q_cosine_topk": ("query_id bigint, vec_id bigint, score double, rank int", f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM ({_COS}) QUALIFY rank <= 5"),
     "q_events_windows": ("start bigint, event_type string, n bigint", "SELECT epoch(date_trunc('hour', ts)) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2"),
 }

@@ -3,11 +3,21 @@
 import re
 
 from docmill.config import BOILERPLATE_SECTION, BOILERPLATE_SUBTREE, TEMPLATE_HEADING
-from docmill.operators.pack import windows
 
 SF = "/root/testdata/sf0.001"
 
 
+def windows(text, size, overlap):
+    """Every window's end is the greatest position, of the first kind that has one, where a whole break of that kind ends beyond the overlap."""
+    out, a = [], 0
+    while len(text) - a > size and len(text) > size:
+        ends = [[e for e in range(a + overlap + len(k), a + size + 1) if text[e - len(k) : e] == k] for k in ("\n\n", "\n", ". ", " ")]
+        b = next((max(e) for e in ends if e), a + size)
+        out.append(text[a:b].strip())
+        a = max(a + 1, b - overlap)
+    return [p for p in [*out, text[a:].strip()] if p] if len(text) > size else [text]
+
+
 def plain(t):
     t = re.sub(r"<[^>]+>", " ", re.sub(r"\[([^\]]+)\]\([^)]+\)", r"\1", t))
     return " ".join(re.sub(r"[*_`~]+", "", t).split())

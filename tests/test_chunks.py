@@ -26,3 +26,21 @@ def test_reasons_equal_sequential_rules(spark):
     want = {(r.source, n): dropped(s) for r in docs.collect() for n, s in enumerate(sections(r.text), 1)}
     assert got == want
     assert {"boilerplate", "subtree", "empty", "cross_reference", "blank_form", "sparse_template", "manual_index", "contents_list"} <= set(got.values())
+
+
+def test_two_corpora_may_hold_one_name(spark):
+    body = "Enough words to make a passage that is kept, as it is over eighty characters long in all. "
+    rows = [(1, "a", f"# Two\nbeta {body}"), (0, "a", f"# One\nalpha {body}"), (0, "z", f"# Last\nshared {body}"), (1, "b", f"# Last\nshared {body}")]
+    made = chunks.chunks(spark.createDataFrame(rows, "corpus_rank int, source string, text string")).cache()
+    got = [(r["index"], r.corpus_rank, r.source, r.chunk_id, r.section_id, r.text[:6].strip()) for r in made.orderBy("index").collect()]
+    assert got == [
+        (1, 0, "a", "a:chunk:00001", "a:section:0001", "# One"), (2, 0, "z", "z:chunk:00002", "z:section:0001", "# Last"), (3, 1, "a", "a:chunk:00003", "a:section:0001", "# Two"),
+        (4, 1, "b", "b:chunk:00004", "b:section:0001", "# Last"),
+    ]
+    assert sorted(r["index"] for r in chunks.dedup(made).collect()) == [1, 2, 3]  # the first corpus wins
+
+
+def test_first_of_each_keeps_every_text_once(spark):
+    rows = [("a", None, 1), ("b", 2, 2), ("b", 2, 3), ("b", None, 4), (None, 5, 5), (None, 4, 6), ("c", None, 7), ("c", None, 8)]
+    got = chunks.first_of_each(spark.createDataFrame(rows, "text string, n int, i int"), "text", "n").collect()
+    assert sorted((str(r.text), str(r.n)) for r in got) == [("None", "4"), ("a", "None"), ("b", "2"), ("c", "None")]

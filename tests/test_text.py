@@ -1,7 +1,12 @@
+import random
+import time
+
+import model
 import pytest
 from pyspark.sql import functions as F
 
 from docmill.functions import text as T
+from docmill.functions.arrays import scan
 from docmill.operators import pack
 
 
@@ -49,6 +54,35 @@ def test_windows():
     assert pack.windows("aaaa. bbbb cc", 10, 2) == ["aaaa.", ". bbbb cc"]
 
 
+def test_windows_equal_their_definition():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "bc", " ", ". ", "\n", "\n\n", "."]) for _ in range(rng.randint(0, 90)))
+        size, overlap = rng.randint(1, 25), rng.randint(0, 12)
+        assert pack.windows(text, size, overlap) == model.windows(text, size, overlap), (text, size, overlap)
+
+
+def test_running_results(spark):
+    rows = spark.createDataFrame([([3, 1, None, 5, 2],), ([],), ([None, 4],), (list(range(1000)),)], "v array<int>")
+    got = [r.x for r in rows.select(scan(F.col("v"), lambda a, b: F.coalesce(b, a)).alias("x")).collect()]
+    assert got == [[3, 1, 1, 5, 2], [], [None, 4], list(range(1000))]
+    assert rows.select(scan(F.col("v"), lambda a, b: a + b).alias("x")).collect()[3].x == [i * (i + 1) // 2 for i in range(1000)]
+
+
+def test_long_lists_and_footers_take_time_in_proportion(spark):
+    n = 100_000
+    lines = "\n".join(f"- item {i}" if i % 5 else "Revision No. 3\n|---|" for i in range(n))
+    start = time.time()
+    cleaned = spark.createDataFrame([(lines,)], "t string").select(T.clean(F.col("t")).alias("c")).first().c
+    assert cleaned == "\n".join(f"- item {i}" for i in range(n) if i % 5)
+    rows = [f"- item {i}" for i in range(n)]
+    pieces = pack.item_pieces(rows, list(range(n)), 800)
+    assert "\n".join(pieces) == "\n".join(rows) and max(map(len, pieces)) <= 800
+    cells = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(i.cast("string").alias("text"))).alias("pieces"))
+    assert pack.pack(cells, "pieces", F.lit("# H"), 800).select(F.size(F.flatten("groups")).alias("n")).first().n == n
+    assert time.time() - start < 60
+
+
 def test_breadcrumb_and_render(spark):
     row = spark.range(1).select(
         T.breadcrumb(F.array(F.lit("A"), F.lit("B"), F.lit("C"))).alias("a"), T.breadcrumb(F.array(F.lit("A"))).alias("b"), T.rendered(F.lit("# H"), F.lit(" x ")).alias("c"), T.rendered(F.lit(None).cast("string"), F.lit("x")).alias("d"), T.rendered(F.lit("# H"), F.lit(" ")).alias("e"),
