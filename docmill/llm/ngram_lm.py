@@ -54,7 +54,7 @@ SHARD, TYPES, HELD = 1 << 21, 1 << 19, 1 << 21
 UNSEEN, RARE = (1 << 32) - 1, (1 << 32) - 2
 #: The end token's digest; no token has these, whose hash would take all bits.
 END_H, END_CHECK = (1 << 63) - 1, (1 << 32) - 1
-PART = 1 << 22
+PART = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -64,7 +64,7 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get(base, ((),))[0]) < n:
-        up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+        up, down = (np.full(max(n, PART), x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
         up[0] = down[0] = 1
         _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
     return _POWERS[base][0][:n], _POWERS[base][1][:n]
