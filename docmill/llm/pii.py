@@ -11,8 +11,9 @@ candidates with a probability of ``KEEP`` or more become spans.  There are at mo
 over that one array in SQL, and only the weights (20 numbers) come to the driver.
 
 Matches are found leftmost and non-overlapping; where a pattern restricts itself by look-around (digit runs of 12 to 19
-digits, starts of runs), it accepts the same matches as the plain one and stays linear on long runs.  Positions are sums of the lengths of
-matches and of the pieces between them, in code points.
+digits, starts of runs), it accepts the same matches as the plain one and stays linear on long runs.  Positions are running sums of the lengths of
+matches and of the pieces between them, in code points; overlaps are told by running maxima, and what stands at a position is read from
+blocks of ``BLOCK`` code points, so a text of many matches takes time in proportion (n log n for the running results).
 
 Defined results: a null text is empty; no spans give empty strings (``base_sha256`` of the empty string); each row is its own
 result; without any candidate the weights are 0 and nothing is added; extra columns are ignored by ``detect`` and kept by ``redact``.
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmill.functions.arrays import let, scan
 from docmill.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone", "number", "ssn", "name")
@@ -30,6 +32,7 @@ BASE = 4
 KEEP = 0.5
 EM_ROUNDS, FIT_ROUNDS, RATE, DECAY = 25, 200, 2.0, 1e-3
 CONTEXT = 24
+BLOCK = 1024
 
 #: (pattern, a cheap test that must hold for any match)
 PATTERNS = {
@@ -64,16 +67,23 @@ def _found(text: Column, kind: str) -> Column:
 
 def _placed(text: Column, found: Column, kind: str) -> Column:
     """array<struct<s, a, b>> of the matches."""
-    gaps = F.transform(F.split(text, PATTERNS[kind][0], -1), F.length)
-    steps = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda s, g: F.struct(s.alias("s"), g.alias("g")))
-    start = F.struct(F.lit(0).alias("p"), F.array().cast("array<struct<s:string,a:int,b:int>>").alias("out"))
+    gaps = F.slice(F.transform(F.split(text, PATTERNS[kind][0], -1), F.length), 1, F.size(found))
+    ends = scan(F.zip_with(found, gaps, lambda s, g: F.length(s) + g), lambda before, own: before + own)
+    spans = F.zip_with(found, ends, lambda s, b: F.struct(s.alias("s"), (b - F.length(s)).alias("a"), b.alias("b")))
+    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast("array<struct<s:string,a:int,b:int>>"))
 
-    def add(acc: Column, x: Column) -> Column:
-        a = acc["p"] + x["g"]
-        b = a + F.length(x["s"])
-        return F.struct(b.alias("p"), F.concat(acc["out"], F.array(F.struct(x["s"].alias("s"), a.alias("a"), b.alias("b")))).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(steps, start, add, lambda acc: acc["out"])).otherwise(start["out"])
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _between(blocks: Column, a: Column, b: Column) -> Column:
+    """The code points a..b-1 of the text with these blocks."""
+    i, j = F.floor(a / BLOCK).cast("int"), F.floor(b / BLOCK).cast("int")
+    first = F.substring(F.get(blocks, i), a - i * BLOCK + 1, F.lit(BLOCK))
+    last = F.coalesce(F.substring(F.get(blocks, j), F.lit(1), b - j * BLOCK), F.lit(""))
+    inner = F.when(j > i + 1, F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), "")).otherwise("")
+    return F.when(b <= a, "").when(i == j, F.substring(F.get(blocks, i), a - i * BLOCK + 1, b - a)).otherwise(F.concat(first, inner, last))
 
 
 def _digits(s: Column) -> Column:
@@ -108,11 +118,12 @@ def _votes(kind: str, s: Column, before: Column) -> Column:
 
 
 def candidates(docs: DataFrame, *keep: str) -> DataFrame:
-    """doc_id, base and extra: arrays of struct<kind, a, b, code>, and the ``keep`` columns."""
+    """doc_id, the ``keep`` columns, the text's blocks ``_b``, base and extra: arrays of struct<a, kind, b, code>."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, text.alias("_t"))
     rows = rows.select("*", *[_found(F.col("_t"), k).alias(f"_m_{k}") for k in KINDS])
-    rows = rows.select("doc_id", *keep, "_t", *[_placed(F.col("_t"), F.col(f"_m_{k}"), k).alias(f"_p_{k}") for k in KINDS])
+    some = F.greatest(*[F.size(f"_m_{k}") for k in KINDS]) > 0
+    rows = rows.select("doc_id", *keep, F.when(some, _blocks(F.col("_t"))).alias("_b"), *[_placed(F.col("_t"), F.col(f"_m_{k}"), k).alias(f"_p_{k}") for k in KINDS])
 
     def coded(kind: str) -> Column:
         spans = F.col(f"_p_{kind}")
@@ -121,19 +132,24 @@ def candidates(docs: DataFrame, *keep: str) -> DataFrame:
         number = KINDS.index(kind)
 
         def one(x: Column) -> Column:
-            before = F.lower(F.substring(F.col("_t"), F.greatest(x["a"] + 1 - CONTEXT, F.lit(1)), F.least(x["a"], F.lit(CONTEXT))))
+            before = F.lower(_between(F.col("_b"), F.greatest(x["a"] - CONTEXT, F.lit(0)), x["a"]))
             return F.struct(x["a"].alias("a"), F.lit(number).alias("kind"), x["b"].alias("b"), (_votes(kind, x["s"], before) + 81 * number).alias("code"))
 
         return F.transform(spans, one)
 
-    rows = rows.select("doc_id", *keep, F.concat(*[coded(k) for k in KINDS[:BASE]]).alias("base"), F.concat(*[coded(k) for k in KINDS[BASE:]]).alias("extra"))
-    free = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["a"] < e["b"]) & (e["a"] < b["b"])))
-    return rows.select("doc_id", *keep, F.array_sort("base").alias("base"), F.array_sort(free).alias("extra"))
+    rows = rows.select("doc_id", *keep, "_b", F.concat(*[coded(k) for k in KINDS[:BASE]]).alias("base"), F.concat(*[coded(k) for k in KINDS[BASE:]]).alias("extra"))
+    return rows.select("doc_id", *keep, "_b", F.array_sort("base").alias("base"), _free(F.col("base"), F.col("extra")).alias("extra"))
+
 
+def _free(base: Column, extra: Column) -> Column:
+    """The extra spans that no base span meets, in order: none before reaches into one, and none begins within it."""
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    def apart(spans: Column) -> Column:
+        reached = scan(F.transform(spans, lambda x: F.when(x["kind"] < BASE, x["b"]).otherwise(0)), F.greatest)
+        begun = F.reverse(scan(F.reverse(F.transform(spans, lambda x: F.when(x["kind"] < BASE, x["a"]).otherwise((1 << 31) - 1))), F.least))
+        return let(F.struct(reached.alias("r"), begun.alias("s")), lambda e: F.filter(spans, lambda x, i: (x["kind"] >= BASE) & (F.get(e["r"], i) <= x["a"]) & (F.get(e["s"], i) >= x["b"])))
+
+    return F.when((F.size(base) > 0) & (F.size(extra) > 0), let(F.array_sort(F.concat(base, extra)), apart)).otherwise(F.array_sort(extra))
 
 
 def weights(rows: DataFrame) -> list[float]:
@@ -167,9 +183,9 @@ def weights(rows: DataFrame) -> list[float]:
                 )
                 return F.concat(F.array(F.log((yes + 1) / (no + 1))), odds)
 
-            return _let(F.struct(total(post, lambda p: p["n"] * p["r"]).alias("yes"), total(post, lambda p: p["n"] * (1 - p["r"])).alias("no")), with_sums)
+            return let(F.struct(total(post, lambda p: p["n"] * p["r"]).alias("yes"), total(post, lambda p: p["n"] * (1 - p["r"])).alias("no")), with_sums)
 
-        return _let(posteriors(state), maximise)
+        return let(posteriors(state), maximise)
 
     start = F.array(*[F.lit(x) for x in (0.0, *((-1.0, 0.0, 1.0) * 4))])
     fitted = table.select("rows", F.aggregate(F.sequence(F.lit(1), F.lit(EM_ROUNDS)), start, em).alias("state"))
@@ -184,7 +200,7 @@ def weights(rows: DataFrame) -> list[float]:
                 lambda x, t: x - RATE * (total(errors, lambda e: F.when((t == 1) | F.array_contains(e["at"], t), e["e"]).otherwise(0.0)) + DECAY * x),
             )
 
-        return _let(F.transform("soft", lambda p: F.struct(p["at"].alias("at"), (p["n"] / F.col("all") * (sigmoid(linear(w, p["at"])) - p["r"])).alias("e"))), move)
+        return let(F.transform("soft", lambda p: F.struct(p["at"].alias("at"), (p["n"] / F.col("all") * (sigmoid(linear(w, p["at"])) - p["r"])).alias("e"))), move)
 
     final = soft.select(F.aggregate(F.sequence(F.lit(1), F.lit(FIT_ROUNDS)), F.array_repeat(F.lit(0.0), 20), descend).alias("w"))
     return list(final.first()["w"])
@@ -209,32 +225,40 @@ def _joined(spans: Column) -> Column:
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of each row."""
-    rows = written(candidates(docs), "pii")
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, n_added) of each row."""
+    rows = written(candidates(docs).drop("_b"), "pii")
     rows = rows.withColumn("added", _kept(weights(rows)))
 
     def number(kind: int) -> Column:
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{KINDS[kind]}")
 
     counts = [number(k) for k in range(BASE)]
-    return rows.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("bigint").alias("n_added"))
+    return rows.select(
+        "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        (F.size("base") + F.size("added")).cast("bigint").alias("n_spans"), F.size("added").cast("bigint").alias("n_added"),
+    )
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by its kind in brackets; of overlapping spans the first covers the others."""
-    w = weights(written(candidates(docs), "pii"))
+    """``docs`` with every span of ``text`` replaced by its kind in brackets; of overlapping spans the first covers the others.
+
+    The candidates are found once and written beside the rows; only those of the texts that have some are read as blocks."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     held = docs.select("doc_id", "text", *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(others)])
-    rows = candidates(held.withColumn("_text", F.col("text")), "_text", *[f"_k_{i}" for i in range(len(others))])
-    spans = F.array_sort(F.concat("base", _kept(w)))
+    rows = written(candidates(held.withColumn("_text", F.col("text")), "_text", *[f"_k_{i}" for i in range(len(others))]).drop("_b"), "pii-rows")
+    spans = F.array_sort(F.concat("base", _kept(weights(rows))))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("p"), F.lit("").alias("out"))
+    rows = rows.withColumn("_s", spans).withColumn("_b", F.when(F.size("_s") > 0, _blocks(F.col("_text"))))
+
+    def redacted(ends: Column) -> Column:
+        def before(i: Column) -> Column:
+            """How far the spans before the i-th reach."""
+            return F.when(i == 0, 0).otherwise(F.get(ends, i - 1))
 
-    def add(acc: Column, x: Column) -> Column:
-        piece = F.concat(acc["out"], F.substring(F.col("_text"), acc["p"] + 1, x["a"] - acc["p"]), F.element_at(names, x["kind"] + 1))
-        return F.when(x["a"] < acc["p"], F.struct(F.greatest(acc["p"], x["b"]).alias("p"), acc["out"].alias("out"))).otherwise(F.struct(x["b"].alias("p"), piece.alias("out")))
+        parts = F.transform("_s", lambda x, i: F.when(x["a"] >= before(i), F.concat(_between(F.col("_b"), before(i), x["a"]), F.element_at(names, x["kind"] + 1))).otherwise(""))
+        return F.concat(F.array_join(parts, ""), _between(F.col("_b"), F.element_at(ends, -1), F.length("_text")))
 
-    text = F.when(F.size("spans") == 0, F.col("_text")).otherwise(F.aggregate("spans", start, add, lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["p"] + 1, F.length("_text")))))
-    rows = rows.withColumn("spans", spans).select("*", text.alias("text"))
+    reach = scan(F.transform("_s", lambda x: x["b"]), F.greatest)
+    rows = rows.withColumn("text", F.when(F.size("_s") == 0, F.col("_text")).otherwise(let(reach, redacted)))
     back = {c: F.col(f"_k_{i}") for i, c in enumerate(others)} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     return rows.select(*[back[c].alias(c) for c in docs.columns])

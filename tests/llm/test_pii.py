@@ -1,5 +1,10 @@
 import hashlib
+import math
 import re
+import time
+from collections import Counter
+
+import pytest
 
 from docmill.llm import pii
 
@@ -62,3 +67,54 @@ def test_edges_and_no_python(spark, edges, nothing):
     out = pii.redact(edges)
     assert out.columns == edges.columns
     assert sorted(map(str, out.select("doc_id", "text", "_t").collect())) == sorted(map(str, edges.select("doc_id", "text", "_t").collect()))
+
+
+def plain_fit(counts):
+    """EM and the classifier's fit by loops over {code: n}."""
+    rows = [(n, [2 + 3 * j + code % 81 // 3**j % 3 for j in range(4)] + [14 + code // 81]) for code, n in sorted(counts.items())]
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    state = [0.0, *((-1.0, 0.0, 1.0) * 4)]
+    posterior = lambda: [sigmoid(state[0] + sum(state[t - 1] for t in at[:4])) for _, at in rows]
+    for _ in range(pii.EM_ROUNDS):
+        post = posterior()
+        yes, no = sum(n * r for (n, _), r in zip(rows, post)), sum(n * (1 - r) for (n, _), r in zip(rows, post))
+        odds = []
+        for t in range(2, 14):
+            a, b = (sum(n * q for (n, at), q in zip(rows, qs) if t in at) for qs in (post, [1 - r for r in post]))
+            odds.append(math.log((a + 1) / (yes + 3)) - math.log((b + 1) / (no + 3)))
+        state = [math.log((yes + 1) / (no + 1)), *odds]
+    post, total, w = posterior(), max(sum(n for n, _ in rows), 1.0), [0.0] * 20
+    for _ in range(pii.FIT_ROUNDS):
+        errors = [n / total * (sigmoid(w[0] + sum(w[t - 1] for t in at)) - r) for (n, at), r in zip(rows, post)]
+        w = [x - pii.RATE * (sum(e for e, (_, at) in zip(errors, rows) if t == 1 or t in at) + pii.DECAY * x) for t, x in enumerate(w, 1)]
+    return w
+
+
+def test_weights_equal_plain_loops(spark, documents):
+    rows = pii.candidates(documents).cache()
+    counts = Counter(x.code for r in rows.collect() for x in [*r.base, *r.extra])
+    assert len(counts) > 5
+    assert pii.weights(rows) == pytest.approx(plain_fit(counts), rel=1e-6, abs=1e-9)
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    n = 100_000
+    texts = ["a@b.co " * n, "1.2.3.4 " * n, "Dr. Smith 412-555-1234 x@y.org " * (n // 4), "no data here " * n]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    start = time.time()
+    rows = {r.doc_id: r for r in pii.detect(docs).collect()}
+    assert [rows[i].n_email for i in range(4)] == [n, 0, n // 4, 0] and rows[1].n_ip == n
+    for i in (0, 1):
+        assert rows[i].base_sha256 == hashlib.sha256(base(texts[i]).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert clean[0] == "[EMAIL] " * n and clean[1] == "[IP] " * n and clean[3] == texts[3] and clean[2].count("[EMAIL]") == n // 4
+    assert time.time() - start < 120
+
+
+def test_spans_that_base_ones_meet_are_dropped_and_places_hold(spark):
+    pad = "é😀" * 700  # places beyond one block, in code points
+    text = f"{pad} call tel 412-555-1234 or +1 (412) 555-1234 {pad} 4111 1111 1111 1111 {pad}"
+    row = pii.candidates(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    spans = [(x.a, x.b) for x in row.base]
+    assert all(not (a < x.b and x.a < b) for x in row.extra for a, b in spans) and [text[x.a : x.b] for x in row.extra] == ["412-555-1234"]
+    assert [text[a:b] for a, b in spans] == ["+1 (412) 555-1234", "4111 1111 1111 1111"]
