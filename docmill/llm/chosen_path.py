@@ -46,12 +46,22 @@ RECALL = 0.999
 _GOLD = 0x9E3779B97F4A7C15
 
 
+def met(threshold: float, depth: int, n: int) -> float:
+    """Chance that a pair at the threshold meets in a leaf of one of ``n`` runs, all its buckets split ``depth`` times.
+
+    Its signature agrees in Binomial(K, threshold) coordinates, the same in every run; under AGREE it isn't connected."""
+    total = 0.0
+    for agree in range(AGREE, K + 1):
+        q = 1.0
+        for _ in range(depth):
+            q = 1 - (1 - q / (threshold * K)) ** agree
+        total += math.comb(K, agree) * threshold**agree * (1 - threshold) ** (K - agree) * (1 - (1 - q) ** n)
+    return total
+
+
 def runs(threshold: float = THRESHOLD, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """Runs for the target recall of a pair at the threshold that is split ``depth`` times."""
-    q = 1.0
-    for _ in range(depth):
-        q = 1 - (1 - q / K) ** K  # chance that a chosen coordinate agrees is threshold / (threshold K)
-    return math.ceil(math.log(1 - recall) / math.log(1 - q))
+    """Fewest runs that reach the target recall."""
+    return next(n for n in range(1, 1000) if met(threshold, depth, n) >= recall)
 
 
 _FACTORS = mix(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(_GOLD)) | np.uint64(1)
@@ -272,7 +282,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     # One row of each clustered text: by node and its least doc_id, so that copies don't meet in one task.
     none = F.lit(-(1 << 63))
     wanted = clusters.join(sizes, "cluster").join(texts.select("node", F.coalesce("rep", none).alias("rep")), "node")
-    picked = nodes.withColumn("rep", F.coalesce("doc_id", none)).join(wanted, ["node", "rep"])
+    met = nodes.withColumn("rep", F.coalesce("doc_id", none)).join(wanted, ["node", "rep"])
+    # Rows that repeat, or copies without ids, are one: each task keeps one a node before the shuffle.
+    picked = met.groupBy("node", "cluster", "size").agg(F.first("text").alias("text"))
     rows = _dealt(picked.withColumn("whole", F.col("size") <= VERIFY_BLOCK).select("cluster", "size", "node", "text", "whole"), "cluster", "size", VERIFY_BLOCK)
     found = written(_verified(rows, threshold), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))

@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -97,3 +98,38 @@ def test_classes_that_share_a_doc_id_all_stay(spark):
     rows = [(9, one), (9, two), (9, one), (10, two), (11, three), (None, three)]
     kept = chosen_path.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted(map(tuple, kept)) == [(9, one), (9, two), (11, three)]
+
+
+def test_runs_reach_their_recall():
+    n = chosen_path.runs()
+    assert chosen_path.met(chosen_path.THRESHOLD, chosen_path.DEPTH, n) >= chosen_path.RECALL > chosen_path.met(chosen_path.THRESHOLD, chosen_path.DEPTH, n - 1)
+    rng, sigs = random.Random(11), []
+    for _ in range(300):  # pairs whose coordinates agree with probability 0.8, split three times
+        a = [rng.getrandbits(32) for _ in range(chosen_path.K)]
+        sigs.append((np.array([a], np.uint32), np.array([[x if rng.random() < 0.8 else rng.getrandbits(32) for x in a]], np.uint32)))
+    found = 0
+    for a, b in sigs:
+        for r in range(n):
+            paths = [set(), set()]
+            for i, s in enumerate((a, b)):
+                level = np.array([r + 1], np.uint64)
+                for _ in range(chosen_path.DEPTH):
+                    level = chosen_path.children(level, np.repeat(s, len(level), axis=0), chosen_path.THRESHOLD)[1]
+                paths[i] = set(level.tolist())
+            if paths[0] & paths[1]:
+                found += 1
+                break
+    assert found >= 297
+
+
+def test_many_equal_rows_and_null_ids_meet_once(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text)] * 700 + [(5, text + " and more")] * 700 + [(6, text + " or less")]
+    got = chosen_path.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.class_id, r.n_links, r.n_copies) for r in got} == {(None, 5, 2, 699), (5, 5, 2, 699), (6, 5, 2, 0)} and len(got) == 1401
+
+
+def test_a_hot_star_keeps_its_component(spark):
+    edges = [(0, i) for i in range(1, 2000)] + [(5000, 5001), (1999, 5000), (7000, 7001)]
+    found = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
+    assert found == {i: 0 for i in [*range(2000), 5000, 5001]} | {7000: 7000, 7001: 7000}
