@@ -2,13 +2,15 @@
 
 P(grade > k) = sigmoid(w . x - t_k), with one weight vector for all thresholds t_0 < t_1 < ...; the expected severity is the sum of
 these probabilities.  Features are hashed words and ``GRAM``-byte grams of the lower-cased text with 1 + log(count) values; those with
-an association with the label of ``EVIDENCE`` (G squared) in the sample, and ``LEAST`` documents of it, get weights.
+an association with the label of ``EVIDENCE`` (G squared) in the sample, and ``LEAST`` documents of it, get weights, at most the ``FEATURES`` with the
+strongest.
 
 Labels are 0 or 1; a first fit with one threshold ranks the toxic documents of the sample, whose upper half by that
 score gets grade 2, and the ordinal fit learns all three grades.  Labels that are graded already (a maximum over 1) are used as
 they are.
 
-Fitting uses a bounded sample: of each label the ``SAMPLE`` documents with the smallest hash of doc_id.  Weights are a table of
+Fitting uses a bounded sample: of each label the ``SAMPLE`` documents with the smallest hash of doc_id, and of a doc_id that several rows
+have the text with the least hash.  So at most SAMPLE x FEATURES values a label go to the driver, whatever the texts' lengths.  Weights are a table of
 2^``BITS`` floats, so what is broadcast doesn't grow.
 
 Defined results: a null text, or one without words, has no features and gets the intercepts' severity; rows repeat as
@@ -34,6 +36,7 @@ SAMPLE = 3000
 GRAM = 6
 LEAST = 5
 EVIDENCE = 12.0
+FEATURES = 1 << 13
 ROUNDS, RATE, DECAY = 300, 0.1, 1e-5
 
 
@@ -129,7 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
     few = known.join(sizes, "grade").where(spread <= 3.0 * SAMPLE / F.col("size"))
     sample = few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE).select("doc_id", "grade")
     # At most SAMPLE rows a grade: a proven bound, so documents are filtered where they lie.
-    picked = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("grade", "text")
+    met = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(sample), "doc_id")
+    picked = met.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("grade", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,7 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
     n1, n0 = met["n1"].to_numpy(), met["n0"].to_numpy()
     N = {k: sum(v[1] for g, v in shares.items() if (g == lowest) == k) for k in (True, False)}
     chosen = np.zeros(1 << BITS, bool)  # of at most 2^BITS features, those with evidence
-    chosen[met["feature"].to_numpy()[evidence(n1, n0, N[False], N[True]) >= EVIDENCE]] = True
+    strength = evidence(n1, n0, N[False], N[True])
+    order = np.lexsort((met["feature"].to_numpy(), -strength))[:FEATURES]
+    chosen[met["feature"].to_numpy()[order[strength[order] >= EVIDENCE]]] = True
     selected = docs.sparkSession.sparkContext.broadcast(np.packbits(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

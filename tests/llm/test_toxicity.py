@@ -43,3 +43,30 @@ def test_edges(spark, edges, nothing):
     assert {r.severity for r in T.predict(edges, T.train(edges, labels.where("toxic = 0"))).collect()} == {0.0}
     assert {r.severity for r in T.predict(edges, T.train(nothing, labels)).collect()} == {0.0}
     assert T.predict(nothing, T.train(edges, labels)).count() == 0
+
+
+def test_fit_is_a_maximum_of_the_likelihood():
+    rng = np.random.default_rng(1)
+    n, m = 400, 4
+    x = rng.normal(size=(n, m))
+    grade = np.digitize(x @ [1.0, -0.5, 0.0, 0.3] + rng.logistic(size=n), [-0.5, 1.0])
+    model = T.fit(np.arange(n + 1) * m, np.tile(np.arange(m), n), x.ravel(), grade)
+
+    def loss(w, t):
+        above = np.hstack([np.ones((n, 1)), 1 / (1 + np.exp(-((x @ w)[:, None] - t[None, :]))), np.zeros((n, 1))])
+        return -np.log(above[np.arange(n), grade] - above[np.arange(n), grade + 1]).mean() + T.DECAY / 2 * (w @ w)
+
+    w, t = model.weights[:m].astype(float), model.thresholds
+    best = loss(w, t)
+    for k in range(m + 2):
+        for d in (-0.05, 0.05):
+            step = np.eye(m + 2)[k] * d
+            assert loss(w + step[:m], t + step[m:]) > best
+
+
+def test_repeated_ids_and_long_texts_are_learnt_once(spark):
+    rows = [(i, f"calm words {i % 7}") for i in range(40)] + [(100 + i, f"rude scum {i % 7}") for i in range(40)] + [(3, "rude scum again")] * 500 + [(7, "word " * 200_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 100)) for r in rows[:80]], "doc_id bigint, toxic int")
+    got = {r.doc_id: r.toxic for r in T.predict(docs.limit(80), T.train(docs, labels)).collect()}
+    assert all(got[100 + i] for i in range(40)) and not any(got[i] for i in range(40))
