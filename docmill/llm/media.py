@@ -38,6 +38,8 @@ from docmill.llm.shingles import mix
 UNIT = 576
 LEAST, MOST, BITS = 1024, 16384, 11
 LEVEL = 3
+#: Payload bytes that one task reads back.
+READ = 1 << 25
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -165,7 +167,7 @@ def feature(payload: bytes) -> str:
     return f"mean={mean:.4f};std={max(0.0, squares / n - mean * mean) ** 0.5:.4f};bins=" + "/".join(map(str, h.reshape(8, 32).sum(axis=1).tolist()))
 
 
-def features(recipe_rows: DataFrame, folder: str) -> DataFrame:
+def features(recipe_rows: DataFrame, folder: str, parts: int | None = None) -> DataFrame:
     """Read every payload back: payload, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, n_chunks."""
     schema = "payload binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, n_chunks bigint"
 
@@ -180,9 +182,10 @@ def features(recipe_rows: DataFrame, folder: str) -> DataFrame:
             columns = zip(*rows) if rows else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [s.split()[0] for s in schema.split(", ")])
 
-    first = F.col("chunks")[0]
-    placed = recipe_rows.repartition(first["pack"], F.floor(first["offset"] / (1 << 20))).sortWithinPartitions(first["pack"], first["offset"])
-    return placed.mapInArrow(run, schema)
+    # Dealt by payload, as many may begin with one chunk, into parts by the bytes to read and not by the recipes' size.
+    last = F.element_at("chunks", -1)
+    placed = recipe_rows.repartition(parts, "payload") if parts else recipe_rows.repartition("payload")
+    return placed.sortWithinPartitions(last["pack"], last["offset"]).mapInArrow(run, schema)
 
 
 def compact(recipe_rows: DataFrame, folder: str, to: str) -> DataFrame:
@@ -218,5 +221,6 @@ def round_trip(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """Store every payload, read it back, and report its values by document."""
     folder = folder or scratch(docs.sparkSession, "media-packs")
     index = store(docs, folder)
-    found = features(recipes(index), folder)
+    size = index.select(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    found = features(recipes(index), folder, max(1, -(-size // READ)))
     return index.select("doc_id", "n_bytes", "payload").join(found, "payload").drop("payload")
