@@ -20,10 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor sees.
 
-    Where the setting is absent (tests on one machine) it lies below ``/tmp/docmill-checkpoints``.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/docmill-checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    Where the setting is absent it lies below ``/tmp/docmill-checkpoints`` on one machine; a cluster must have it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(base or '/tmp/docmill-checkpoints').rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
