@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 
 def scratch(df: DataFrame, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is absent (tests on one machine), below ``/tmp/docmill-checkpoints``."""
+    """A new folder below ``spark.checkpoint.dir``; where that is absent, below ``/tmp/docmill-checkpoints`` on one machine; a cluster
+    must have it."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/docmill-checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(base or '/tmp/docmill-checkpoints').rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
