@@ -92,6 +92,8 @@ SECTIONS = (
 
 
 def _reason() -> str:
+    """Sections as CTEs, the last of which is ``why``: source, section_no, reason."""
+
     def any_of(x: str, parts: tuple[str, ...]) -> str:
         return f"regexp_matches({x}, '" + "|".join(parts) + "')"
 
@@ -118,7 +120,7 @@ def _reason() -> str:
         f"WHEN len(regexp_extract_all(wp, '\\b[A-Z]-\\d+(?:[\\-–]\\d+)?\\b')) >= 5 AND ((heading_text <> '' AND heading_text = upper(heading_text) AND length(heading_text) <= 24) OR contains(lower(wp), 'see also')) THEN 'manual_index' "
         f"WHEN contains(lower(wp), 'table of contents') OR (len(wl) >= 5 AND len(list_filter(wl, lambda t: {tocish})) >= greatest(4, len(wl) // 2)) THEN 'contents_list' ELSE 'kept' END"
     )
-    return f"{SECTIONS}, {rows} SELECT source, section_no, {case} AS reason FROM rz"
+    return f"{SECTIONS}, {rows}, why AS (SELECT source, section_no, {case} AS reason FROM rz)"
 
 
 _SB = "(PARTITION BY source, section_no ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -132,39 +134,52 @@ BLOCKS = SECTIONS + (
     f"blocks AS (SELECT source, section_no, block, arg_min(class, line_no) AS block_type, {strip('string_agg(line, chr(10) ORDER BY line_no)')} AS text, arg_min(page, line_no) AS page_start, arg_max(page, line_no) AS page_end FROM bd GROUP BY ALL)"
 )
 
-def packed() -> str:
-    s = strip("line")
-    flush = "f.k > 0 AND 11 + f.c + 2 + u.n > 800"
+def packing(units: str) -> str:
+    """CTEs that end in ``gr`` (source, i, own): greedy groups of the frame ``units`` (source, i from 1, n: length, h: length before the first)."""
+    flush = "f.k > 0 AND u.h + f.c + 2 + u.n > 800"
     c = f"CASE WHEN f.k = 0 OR {flush} THEN u.n ELSE f.c + 2 + u.n END"
     k = f"CASE WHEN f.k = 0 OR {flush} THEN 1 ELSE f.k + 1 END"
     g = f"f.g + CASE WHEN {flush} THEN 1 ELSE 0 END"
-    alone = f"({k}) = 1 AND 11 + u.n >= 800"
+    alone = f"({k}) = 1 AND u.h + u.n >= 800"
+    return (
+        f"gr AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS own, CAST(0 AS BIGINT) AS g, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS c FROM {units} "
+        f"UNION ALL SELECT u.source, u.i, {g}, {g} + CASE WHEN {alone} THEN 1 ELSE 0 END, CASE WHEN {alone} THEN 0 ELSE {k} END, CASE WHEN {alone} THEN 0 ELSE {c} END FROM gr AS f JOIN {units} AS u ON u.source = f.source AND u.i = f.i + 1)"
+    )
+
+
+def packed() -> str:
+    s = strip("line")
     return (
         f"WITH RECURSIVE {DOCS}, dl AS ({split_lines('docs')}), cells AS (SELECT source, line_no, {s} AS text FROM dl WHERE {s} <> ''), "
-        "u AS (SELECT source, text, length(text) AS n, row_number() OVER (PARTITION BY source ORDER BY line_no) AS i FROM cells), "
-        "f AS (SELECT DISTINCT source, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS own, CAST(0 AS BIGINT) AS g, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS c FROM u "
-        f"UNION ALL SELECT u.source, u.i, {g}, {g} + CASE WHEN {alone} THEN 1 ELSE 0 END, CASE WHEN {alone} THEN 0 ELSE {k} END, CASE WHEN {alone} THEN 0 ELSE {c} END FROM f JOIN u ON u.source = f.source AND u.i = f.i + 1) "
-        "SELECT source, own AS group_no, count(*) AS n_blocks, string_agg(text, chr(10) || chr(10) ORDER BY u.i) AS body FROM f JOIN u USING (source, i) GROUP BY source, own"
+        f"u AS (SELECT source, text, length(text) AS n, 11 AS h, row_number() OVER (PARTITION BY source ORDER BY line_no) AS i FROM cells), {packing('u')} "
+        "SELECT source, own AS group_no, count(*) AS n_blocks, string_agg(text, chr(10) || chr(10) ORDER BY u.i) AS body FROM gr JOIN u USING (source, i) GROUP BY source, own"
     )
 
 
-def windows() -> str:
-    def last(separator: str) -> str:
-        """Length of the window up to and including the last separator that begins at or after the overlap, else 0."""
-        inner = "substr(text, a + 101, 700)"
-        return f"CASE WHEN contains({inner}, {separator}) THEN 800 - strpos(reverse({inner}), reverse({separator})) + 1 ELSE 0 END"
+def cutting(frame: str) -> str:
+    """CTEs that end in ``pc`` (source, piece_no, piece): windows of the frame's (source, text, size), which overlap by 100."""
+
+    def last(separator: str, a: str) -> str:
+        """Length of the window at ``a`` up to and including the last separator that begins at or after the overlap, else 0."""
+        inner = f"substr(text, {a} + 101, size - 100)"
+        return f"CASE WHEN contains({inner}, {separator}) THEN size - strpos(reverse({inner}), reverse({separator})) + 1 ELSE 0 END"
+
+    def end(a: str) -> str:
+        kinds = ["chr(10) || chr(10)", "chr(10)", "'. '", "' '"]
+        return f"CASE WHEN {a} + size >= length(text) THEN -1 ELSE {a} + coalesce(" + ", ".join(f"nullif({last(kind, a)}, 0)" for kind in kinds) + ", size) END"
 
-    seps = ["chr(10) || chr(10)", "chr(10)", "'. '", "' '"]
-    n = "coalesce(" + ", ".join(f"nullif({last(s)}, 0)" for s in seps) + ", 800)"
     return (
-        f"WITH RECURSIVE {DOCS}, w AS (SELECT source, text, 0 AS a, CASE WHEN length(text) <= 800 THEN -1 ELSE 0 END AS b, 0 AS k FROM docs), "
-        f"z AS (SELECT source, text, a, CASE WHEN b = -1 OR a + 800 >= length(text) THEN -1 ELSE a + {n} END AS b, k, b = -1 AS whole FROM w "
-        f"UNION ALL SELECT source, text, a2, CASE WHEN a2 + 800 >= length(text) THEN -1 ELSE a2 + {n.replace('a + 101', 'a2 + 101')} END, k + 1, false FROM (SELECT *, greatest(a + 1, b - 100) AS a2 FROM z WHERE b <> -1)), "
-        f"p AS (SELECT source, k, CASE WHEN whole THEN text WHEN b = -1 THEN {strip('substr(text, a + 1)')} ELSE {strip('substr(text, a + 1, b - a)')} END AS piece, whole FROM z) "
-        "SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS INT) AS piece_no, piece FROM p WHERE whole OR piece <> ''"
+        f"wz AS (SELECT source, text, size, CAST(0 AS BIGINT) AS a, CAST({end('0')} AS BIGINT) AS b, 0 AS k, length(text) <= size AS whole FROM {frame} "
+        f"UNION ALL SELECT source, text, size, a2, CAST({end('a2')} AS BIGINT), k + 1, false FROM (SELECT *, greatest(a + 1, b - 100) AS a2 FROM wz WHERE b <> -1)), "
+        f"wp AS (SELECT source, k, whole, CASE WHEN whole THEN text WHEN b = -1 THEN {strip('substr(text, a + 1)')} ELSE {strip('substr(text, a + 1, b - a)')} END AS piece FROM wz), "
+        "pc AS (SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS INT) AS piece_no, piece FROM wp WHERE whole OR piece <> '')"
     )
 
 
+def windows() -> str:
+    return f"WITH RECURSIVE {DOCS}, sized AS (SELECT source, text, 800 AS size FROM docs), {cutting('sized')} SELECT * FROM pc"
+
+
 def greedy_pieces(kind: str) -> str:
     """Row or item groups of the long tables or lists."""
     long = f"lb AS (SELECT * FROM blocks WHERE block_type = '{kind}' AND length(text) > 800), ln AS (SELECT bd.* FROM bd JOIN lb USING (source, section_no, block))"
@@ -194,18 +209,58 @@ def greedy_pieces(kind: str) -> str:
     )
 
 
-def clean() -> str:
+def cleaning(frame: str) -> str:
+    """CTEs that end in ``cd`` (source, cleaned) of the frame's (source, text)."""
     t = sub("text", "<sup[^>]*>.*?</sup>", "", "gis")
     t = sub(sub(sub(t, r"<br\s*/?>", " ", "gi"), "<[^>]+>"), r"\[([^\]]+)\]\(#[^)]*\)", r"\1")
     last = "(PARTITION BY source ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     joined = sub("coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')", r"\n{3,}", "' || chr(10) || chr(10) || '")
     return (
-        f"WITH {MD}, ct AS (SELECT source, {t} AS text FROM md), cl AS ({split_lines('ct')}), fa AS (SELECT *, {footer('line')} AS f, {artifact('line')} AS e FROM cl), "
-        f"rs AS (SELECT *, last_value(CASE WHEN f THEN 1 WHEN NOT e THEN 0 END IGNORE NULLS) OVER {last} AS st FROM fa), gn AS (SELECT *, f OR (e AND coalesce(st, 0) = 1) AS gone FROM rs) "
-        f"SELECT source, {sub(strip(joined), '[ \\t]{2,}', ' ')} AS cleaned FROM md LEFT JOIN gn USING (source) GROUP BY source"
+        f"ct AS (SELECT source, {t} AS text FROM {frame}), cl AS ({split_lines('ct')}), fa AS (SELECT *, {footer('line')} AS f, {artifact('line')} AS e FROM cl), "
+        f"rs AS (SELECT *, last_value(CASE WHEN f THEN 1 WHEN NOT e THEN 0 END IGNORE NULLS) OVER {last} AS st FROM fa), gn AS (SELECT *, f OR (e AND coalesce(st, 0) = 1) AS gone FROM rs), "
+        f"cd AS (SELECT source, {sub(strip(joined), '[ \\t]{2,}', ' ')} AS cleaned FROM {frame} LEFT JOIN gn USING (source) GROUP BY source)"
+    )
+
+
+def passages() -> str:
+    """CTEs that end in ``ch``: all passages, numbered.
+
+    ``ks`` are the kept sections, ``lp`` the pieces of the long ones' blocks, ``bo`` the bodies, ``em`` passages before cleaning."""
+    head = "concat_ws(chr(10) || chr(10), CASE WHEN len(path) > 1 THEN '> ' || array_to_string(path[:-2], ' > ') END, heading_raw)"
+    return (
+        f"{_reason()}, ks AS (SELECT *, source || ':' || section_no AS sid, length({strip("concat_ws(chr(10) || chr(10), heading_raw, nullif(body, ''))")}) > 1500 AS long FROM sc JOIN why USING (source, section_no) WHERE reason = 'kept'), "
+        f"{BLOCKS.removeprefix(SECTIONS + ', ')}, tp AS ({greedy_pieces('table')}), ip AS ({greedy_pieces('list')}), "
+        "kb AS (SELECT blocks.*, ks.sid, ks.heading_raw FROM blocks JOIN ks USING (source, section_no) WHERE ks.long), "
+        "pg AS (SELECT sid || ':' || block AS source, text, 800 AS size FROM kb WHERE block_type = 'paragraph' OR length(text) <= 800), "
+        f"pw AS (WITH RECURSIVE {cutting('pg')} SELECT * FROM pc), "
+        "pq AS (SELECT source, section_no, block, piece_no, piece FROM tp UNION ALL SELECT source, section_no, block, piece_no, piece FROM ip "
+        "UNION ALL SELECT kb.source, section_no, block, piece_no, piece FROM pw JOIN kb ON pw.source = sid || ':' || block), "
+        f"lp AS (SELECT sid AS source, block_type, page_start, page_end, {strip('piece')} AS text, coalesce(length(heading_raw) + 2, 0) AS h, length({strip('piece')}) AS n, "
+        f"row_number() OVER (PARTITION BY sid ORDER BY block, piece_no) AS i FROM pq JOIN kb USING (source, section_no, block) WHERE {strip('piece')} <> ''), {packing('lp')}, "
+        "gb AS (SELECT source AS sid, own AS part_no, CASE WHEN count(DISTINCT block_type) = 1 THEN max(block_type) ELSE 'mixed' END AS type, arg_min(page_start, i) AS page_start, "
+        "arg_max(page_end, i) AS page_end, string_agg(text, chr(10) || chr(10) ORDER BY i) AS body FROM gr JOIN lp USING (source, i) GROUP BY source, own), "
+        "bo AS (SELECT sid, 0 AS part_no, 'section' AS type, page_start, page_end, body FROM ks WHERE NOT long UNION ALL SELECT * FROM gb), "
+        f"hd2 AS (SELECT *, CASE WHEN length(h0) > 1698 THEN substr(h0, 1, 1697) || '…' ELSE h0 END AS head FROM (SELECT sid, source, section_no, path, {head} AS h0 FROM ks)), "
+        f"bh AS (SELECT hd2.source AS src, section_no, path, head, part_no, type, page_start, page_end, sid || ':' || part_no AS source, {strip('body')} AS text, "
+        "2500 - CASE WHEN head <> '' THEN length(head) + 2 ELSE 0 END AS size FROM bo JOIN hd2 USING (sid)), "
+        f"bw AS (WITH RECURSIVE {cutting('bh')} SELECT * FROM pc), "
+        f"em AS (SELECT bh.* EXCLUDE (source, text, size), piece_no, bh.source || ':' || piece_no AS source, concat_ws(chr(10) || chr(10), nullif(head, ''), {strip('piece')}) AS text FROM bw JOIN bh USING (source) WHERE {strip('piece')} <> ''), "
+        f"{cleaning('em')}, "
+        "ch AS (SELECT row_number() OVER (ORDER BY src, section_no, part_no, piece_no) AS index, src AS source, src || ':section:' || lpad(CAST(section_no AS STRING), CAST(greatest(4, length(CAST(section_no AS STRING))) AS INT), '0') AS section_id, "
+        "array_to_string(path, ' / ') AS section_path, type AS chunk_type, page_start, page_end, cleaned AS text FROM em JOIN cd USING (source) WHERE length(cleaned) >= 80), "
+        "cn AS (SELECT *, source || ':chunk:' || lpad(CAST(index AS STRING), CAST(greatest(5, length(CAST(index AS STRING))) AS INT), '0') AS chunk_id FROM ch)"
     )
 
 
+def html() -> str:
+    h = "html"
+    for tag in ("script", "style", "nav", "footer"):
+        h = sub(h, f"(?is)<{tag}[^>]*>.*?</{tag}>")
+    line = "' || chr(10) || '"
+    h = sub(sub(sub(sub(h, "(?s)<!--.*?-->"), "(?i)<h1[^>]*>", line + "# "), "(?i)<li[^>]*>", line + "- "), r"(?i)<(?:p|/p|/h1|/li|br)\s*/?[^>]*>", line)
+    return f"SELECT page_id AS source, {sub(sub(h, '<[^>]+>'), '[ \\t]+', ' ')} AS text FROM pages"
+
+
 NORM = "trim(regexp_replace(regexp_replace({}, '[^A-Za-z0-9\\-.]', '_', 'g'), '_+', '_', 'g'), '_')"
 ENTRY = f"{DOCS}, en AS (SELECT source, '<sep>[SOURCE:src' || (source % 20) || '|PAGE:1]' || chr(10) || replace(text, chr(10), CASE WHEN source % 5 = 0 THEN chr(10) || '<sep>' ELSE chr(10) END) AS file FROM docs)"
 RECORDS = (
@@ -225,13 +280,13 @@ RAW = {
     "q_sections": ("source bigint, section_no int, section_id string, level int, heading_raw string, heading_text string, page_start int, page_end int, body string", f"WITH {SECTIONS} SELECT *, source || ':section:' || lpad(CAST(section_no AS STRING), CAST(greatest(4, length(CAST(section_no AS STRING))) AS INT), '0') AS section_id FROM sc"),
     "q_classify_lines": ("source bigint, line_no int, class string", f"WITH {ML} SELECT source, line_no, {line_class('line')} AS class FROM ml"),
     "q_blocks": ("source bigint, section_no int, block int, block_type string, text string, page_start int, page_end int", f"WITH {BLOCKS} SELECT * FROM blocks"),
-    "q_skip_reasons": ("source bigint, section_no int, reason string", f"WITH {_reason()}"),
+    "q_skip_reasons": ("source bigint, section_no int, reason string", f"WITH {_reason()} SELECT * FROM why"),
     "q_strip_spans": ("source bigint, stripped string, n_spans bigint", f"WITH {MD} SELECT source, {sub('text', '<span[^>]*></span>')} AS stripped, len(regexp_extract_all(text, '<span[^>]*></span>')) AS n_spans FROM md"),
     "q_span_totals": ("files bigint, unchanged bigint, removed bigint", f"WITH {MD}, n AS (SELECT len(regexp_extract_all(text, '<span[^>]*></span>')) AS n FROM md) SELECT count(*) AS files, count(*) FILTER (n = 0) AS unchanged, sum(n) AS removed FROM n"),
     "q_page_markers": ("source bigint, line_no int, line string", f"WITH {DOCS}, dl AS ({split_lines('docs')}) SELECT source, line_no, CASE line_no % 3 WHEN 0 THEN '<!-- page: ' || (line_no + 1) || ' -->' WHEN 1 THEN '{{7}}' || repeat('-', 47) ELSE line END AS line FROM dl"),
     "q_inline_strip": ("source bigint, line_no int, plain string, key string", f"WITH {ML} SELECT source, line_no, {inline('line')} AS plain, {key('line')} AS key FROM ml"),
     "q_footer_strip": ("source bigint, line_no int, footer boolean, artifact boolean", f"WITH {ML} SELECT source, line_no, {footer('line')} AS footer, {artifact('line')} AS artifact FROM ml"),
-    "q_clean_text": ("source bigint, cleaned string", clean()),
+    "q_clean_text": ("source bigint, cleaned string", f"WITH {MD}, {cleaning('md')} SELECT * FROM cd"),
     "q_window_split": ("source bigint, piece_no int, piece string", windows()),
     "q_pack_blocks": ("source bigint, group_no int, n_blocks int, body string", packed()),
     "q_table_split": ("source bigint, section_no int, block int, piece_no int, piece string", greedy_pieces("table")),
@@ -266,6 +321,17 @@ RAW = {
     "q_vf32_roundtrip": ("vec_id bigint, n_bytes bigint, prefix string, dim bigint, total double", "SELECT vec_id, 4 + 4 * len(embedding) AS n_bytes, '56463332' AS prefix, len(embedding) AS dim, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings"),
     "q_token_pad": ("source bigint, ids string", "SELECT doc_id AS source, array_to_string((list_transform(string_split(text, ' '), lambda w: length(w)) || list_transform(range(1024), lambda z: 0))[:1024], ' ') AS ids FROM documents"),
     "q_cosine_topk": ("query_id bigint, vec_id bigint, score double, rank int", f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM ({_COS}) QUALIFY rank <= 5"),
+    "q_html_lines": (
+        "source bigint, n_lines bigint, n_headings bigint, n_list bigint, n_chars bigint",
+        f"WITH hm AS ({html()}), hl AS ({split_lines('hm')}), hd AS ({headings('hl')}) SELECT source, count(*) AS n_lines, count(level) AS n_headings, count(*) FILTER ({line_class('line')} = 'list') AS n_list, "
+        f"sum(length({inline('line')})) AS n_chars FROM hd WHERE s <> '' GROUP BY source",
+    ),
+    "q_chunks_full": ("index bigint, chunk_id string, source bigint, section_id string, section_path string, chunk_type string, page_start int, page_end int, text string", f"WITH RECURSIVE {passages()} SELECT * FROM cn"),
+    "q_chunks_dedup": (
+        "index bigint, chunk_id string, source bigint, entry string, label string",
+        f"WITH RECURSIVE {passages()}, lb2 AS (SELECT *, 'SOURCE:' || source || '|PAGE:' || page_start AS label FROM cn QUALIFY row_number() OVER (PARTITION BY text ORDER BY index) = 1) SELECT *, '[' || label || ']' || chr(10) || text AS entry FROM lb2",
+    ),
+    "q_chunks_total": ("n_chunks bigint, total_chars bigint, avg_chars bigint", f"WITH RECURSIVE {passages()} SELECT count(*) AS n_chunks, sum(length(text)) AS total_chars, sum(length(text)) // count(*) AS avg_chars FROM cn"),
     "q_events_windows": ("start bigint, event_type string, n bigint", "SELECT epoch(date_trunc('hour', ts)) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2"),
 }
 
