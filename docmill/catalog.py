@@ -260,7 +260,7 @@ def q_manifest_json(spark, d):
     """A bundle of one file for each source, with the nations as artefacts."""
     files = _table(spark, d, "documents").groupBy("source").agg(F.min("text").alias("text"))
     files = files.select("source", F.col("source").alias("rel_path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content"))
-    nations = _table(spark, d, "nation").select(F.col("n_name").alias("rel_path"), F.octet_length("n_name").cast("bigint").alias("length"), F.col("n_name").cast("binary").alias("content"))
+    nations = _table(spark, d, "nation").select(F.col("n_nationkey").alias("position"), F.col("n_name").alias("rel_path"), F.octet_length("n_name").cast("bigint").alias("length"), F.col("n_name").cast("binary").alias("content"))
     return bundle.manifest(bundle.document_entries(bundle.resolve(files.select("source"), files), files), bundle.artifact_entries(nations), "v1")
 
 
@@ -313,7 +313,7 @@ def q_union_corpora(spark, d):
 
 @query
 def q_progress(spark, d):
-    rows = _table(spark, d, "conversations").select(F.col("conv_id").alias("worker"), F.col("turn").alias("seq"), F.concat(F.lit("done "), F.col("turn"), F.lit("/"), F.length("text")).alias("line"))
+    rows = _table(spark, d, "conversations").select(F.col("conv_id").alias("worker"), F.col("turn").alias("seq"), F.concat(F.lit("[##--] "), F.col("turn"), F.lit("/ "), F.length("text"), F.lit("  eta 00:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit("  part "), F.col("role")).alias("line"))
     return readers.progress(rows)
 
 
@@ -333,7 +333,26 @@ def q_token_pad(spark, d):
 @query
 def q_embed_stub(spark, d):
     rows = vectors.embed(_docs(spark, d))
-    return rows.select("source", F.size("vector").alias("dim"), vectors.vf32_encode(F.col("vector")).alias("embeddings"), "error")
+    blob, v = vectors.vf32_encode(F.col("vector")), F.col("vector")
+    filled = F.size(F.filter(v, lambda x: x != 0)).alias("n_filled")
+    peak = F.array_position(v, F.array_max(v)).alias("peak")
+    return rows.select("source", F.size(v).alias("dim"), F.octet_length(blob).cast("bigint").alias("n_bytes"), filled, peak, "error")
+
+
+def _turns(spark, d):
+    """Turns of conversations, every tenth without words."""
+    text = F.when(F.col("turn") % 10 == 0, " ").otherwise(F.col("text"))
+    return _table(spark, d, "conversations").select("conv_id", "turn", text.alias("text"))
+
+
+@query
+def q_embed_counts(spark, d):
+    return vectors.outcome(vectors.embed(_turns(spark, d)))
+
+
+@query
+def q_embed_errors(spark, d):
+    return vectors.failed(vectors.embed(_turns(spark, d))).select("conv_id", "turn", "error")
 
 
 @query

@@ -44,8 +44,8 @@ class HashingEmbedder:
             raise ValueError("no words")
         v = np.zeros(self.dim, np.float32)
         for w in words:
-            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            v[h % self.dim] += 1 if h >> 63 else -1
+            h = int(hashlib.md5(w.encode(), usedforsecurity=False).hexdigest()[:8], 16)
+            v[h % self.dim] += 1 if h >> 31 else -1
         n = float(np.linalg.norm(v))
         return (v / n if n else v).tolist()
 
@@ -72,6 +72,16 @@ def embed(rows: DataFrame, make=HashingEmbedder, column: str = "text") -> DataFr
     return rows.withColumn("_e", made(F.col(column))).select(*rows.columns, F.col("_e.vector").alias("vector"), F.col("_e.error").alias("error"))
 
 
+def outcome(rows: DataFrame) -> DataFrame:
+    """(n_rows, n_embedded, n_errors) of ``embed`` rows."""
+    return rows.agg(F.count("*").alias("n_rows"), F.count("vector").alias("n_embedded"), F.count("error").alias("n_errors"))
+
+
+def failed(rows: DataFrame) -> DataFrame:
+    """The rows that have no vector, with their errors."""
+    return rows.where("vector IS NULL").drop("vector")
+
+
 def pad(ids: Column, n: int) -> Column:
     """Token ids cut or right-padded with 0 to ``n``."""
     return F.slice(F.concat(ids, F.array_repeat(F.lit(0), n)), 1, n)

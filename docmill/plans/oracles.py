@@ -5,6 +5,7 @@ Each is (columns with types, statement); the types are those that Spark returns.
 from __future__ import annotations
 
 from docmill.config import BOILERPLATE_SECTION, BOILERPLATE_SUBTREE, TEMPLATE_HEADING
+from docmill.operators.bundle import EMBEDDING, SOURCE_IDS
 from docmill.plans.markdown import DECORATION
 
 
@@ -269,9 +270,24 @@ RECORDS = (
 )
 INDEXED = f"WITH {DOCS}, dl AS ({split_lines('docs')}), nx AS (SELECT source, line_no, line, row_number() OVER (ORDER BY source, line_no) AS row_id FROM dl)"
 _ENTRY_ROW = "source_id string, normalized_id string, bundle_path string, file_size bigint, sha256 string"
-_MANIFEST = f"SELECT url AS source_id, {NORM.format('url')} AS normalized_id, 'documents/' || {NORM.format('url')} || '.pdf' AS bundle_path, strlen(html) AS file_size, sha256(html) AS sha256 FROM pages"
+_MANIFEST = f"SELECT url AS source_id, {NORM.format('url')} AS normalized_id, 'docs/' || {NORM.format('url')} || '.pdf' AS bundle_path, strlen(html) AS file_size, sha256(html) AS sha256 FROM pages"
 _COS = "SELECT q.vec_id AS query_id, r.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])), 5) AS score FROM embeddings q JOIN embeddings r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id"
 
+def _struct(values: dict) -> str:
+    """A DuckDB struct of a dictionary of texts and numbers."""
+
+    def literal(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+
+    return "{" + ", ".join(f"'{k}': {literal(v)}" for k, v in values.items()) + "}"
+
+
+_TURNS = "turns AS (SELECT conv_id, turn, turn % 10 <> 0 AND regexp_matches(text, '\\S') AS words FROM conversations)"
+WORD_SUMS = (
+    f"{DOCS}, wd AS (SELECT source, unnest(regexp_extract_all(lower(text), '\\S+')) AS w FROM docs), hs AS (SELECT source, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM wd), "
+    "sums AS (SELECT source, h % 768 AS b, sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END) AS x FROM hs GROUP BY ALL)"
+)
+
 RAW = {
     "q_lines": ("source bigint, line_no int, line string", f"WITH {DOCS} {split_lines('docs')}"),
     "q_page_fill": ("source bigint, line_no int, line string, page int", f"WITH {PL} SELECT * FROM pl"),
@@ -317,7 +333,28 @@ RAW = {
         "WITH u AS (SELECT 0 AS corpus_rank, CAST(doc_id AS STRING) AS source, text FROM documents UNION ALL SELECT 1, CAST(page_id AS STRING), html FROM pages) SELECT corpus_rank, count(*) AS n, sum(length(text)) AS chars, 'kept' AS state "
         "FROM u WHERE source NOT IN ('3', '5') GROUP BY 1 UNION ALL SELECT -1, count(*), 0, 'duplicate' FROM u WHERE source IN ('3', '5')",
     ),
-    "q_progress": ("worker bigint, done int, total int", "SELECT conv_id AS worker, max(turn) AS done, arg_max(length(text), turn) AS total FROM conversations GROUP BY conv_id"),
+    "q_progress": (
+        "worker bigint, done int, total int, eta string, label string",
+        "SELECT conv_id AS worker, max(turn) AS done, arg_max(length(text), turn) AS total, '00:' || lpad(CAST(max(turn) AS STRING), 2, '0') AS eta, 'part ' || arg_max(role, turn) AS label FROM conversations GROUP BY conv_id",
+    ),
+    "q_embed_stub": (
+        "source bigint, dim int, n_bytes bigint, n_filled int, peak bigint, error string",
+        f"WITH {WORD_SUMS}, st AS (SELECT source, count(*) FILTER (x <> 0) AS n, count(*) AS k, arg_max(b + 1, x * 768 - b) AS top, max(x) AS most FROM sums GROUP BY source), "
+        # Where all are negative, the first empty place has the greatest value.
+        "zero AS (SELECT source, min(b) + 1 AS b FROM (SELECT source, unnest(range(768)) AS b FROM st WHERE most <= 0) LEFT JOIN sums USING (source, b) WHERE coalesce(x, 0) = 0 GROUP BY source) "
+        "SELECT doc_id AS source, coalesce(n * 0 + 768, -1) AS dim, n * 0 + 3076 AS n_bytes, coalesce(n, -1) AS n_filled, CASE WHEN most > 0 THEN top ELSE coalesce(zero.b, top) END AS peak, CASE WHEN n IS NULL THEN 'no words' END AS error "
+        "FROM documents LEFT JOIN st ON st.source = doc_id LEFT JOIN zero ON zero.source = doc_id",
+    ),
+    "q_embed_counts": ("n_rows bigint, n_embedded bigint, n_errors bigint", f"WITH {_TURNS} SELECT count(*) AS n_rows, count(*) FILTER (words) AS n_embedded, count(*) FILTER (NOT words) AS n_errors FROM turns"),
+    "q_embed_errors": ("conv_id bigint, turn int, error string", f"WITH {_TURNS} SELECT conv_id, turn, 'no words' AS error FROM turns WHERE NOT words"),
+    "q_manifest_json": (
+        "manifest string",
+        f"WITH f AS (SELECT source, min(text) AS text FROM documents GROUP BY source), d AS (SELECT source AS source_id, {NORM.format('source')} AS normalized_id, 'docs/' || {NORM.format('source')} || '.pdf' AS bundle_path, "
+        "strlen(text) AS file_size, sha256(text) AS sha256 FROM f), listed AS (SELECT list(d ORDER BY source_id) AS documents FROM d), a AS (SELECT n_nationkey AS position, {'path': n_name, 'file_size': strlen(n_name), 'sha256': sha256(n_name)} AS a FROM nation) "
+        "SELECT to_json({'schema_version': 1, 'bundle_version': 'v1', 'producer_repo': '', 'producer_commit': 'unknown', 'chunk_count': NULL, 'source_count': len(documents), "
+        f"'embedding': {_struct(EMBEDDING)}, 'source_id_contract': {_struct(SOURCE_IDS)}, "
+        "'artifacts': (SELECT list(a ORDER BY position) FROM a), 'documents': documents}) AS manifest FROM listed",
+    ),
     "q_vf32_roundtrip": ("vec_id bigint, n_bytes bigint, prefix string, dim bigint, total double", "SELECT vec_id, 4 + 4 * len(embedding) AS n_bytes, '56463332' AS prefix, len(embedding) AS dim, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings"),
     "q_token_pad": ("source bigint, ids string", "SELECT doc_id AS source, array_to_string((list_transform(string_split(text, ' '), lambda w: length(w)) || list_transform(range(1024), lambda z: 0))[:1024], ' ') AS ids FROM documents"),
     "q_cosine_topk": ("query_id bigint, vec_id bigint, score double, rank int", f"SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM ({_COS}) QUALIFY rank <= 5"),

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+import sqlite3
+from collections.abc import Iterator
+from contextlib import closing
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +53,6 @@ def binary_documents(spark: SparkSession, folder: str, pattern: str = "*", recur
     return rows.select(rel.alias("rel_path"), stem(name).alias("source"), "length", "content")
 
 
-
-
 def pdfs(documents: DataFrame) -> DataFrame:
     """Case-insensitive ``.pdf`` names."""
     return documents.where(F.lower("rel_path").endswith(".pdf"))
@@ -86,6 +88,31 @@ def source_ids(entries: DataFrame) -> DataFrame:
 
 
 def progress(log: DataFrame) -> DataFrame:
-    """(done, total) of the last ``done/total`` record of each (worker, seq, line) log."""
-    last = log.groupBy("worker").agg(F.max_by("line", "seq").alias("line"))
-    return last.select("worker", F.regexp_extract("line", r"(\d+)/(\d+)", 1).try_cast("int").alias("done"), F.regexp_extract("line", r"(\d+)/(\d+)", 2).try_cast("int").alias("total"))
+    """(worker, done, total, eta, label) of each worker's last record: its (worker, seq, line) log, whose lines may hold several, parted by
+    carriage returns; blank ones don't count.  A record looks like ``[##--] 1234/ 2928  42.2%  elapsed 03:12  eta 04:22  label``; what
+    it lacks is 0, ``--:--`` or empty, and a label has at most 40 characters."""
+    records = F.filter(F.split("line", r"[\r\n]+", -1), lambda r: T.strip(r) != "")
+    last = log.withColumn("_last", F.try_element_at(records, F.lit(-1))).groupBy("worker").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("seq"))).alias("r"))
+
+    def part(pattern: str, group: int = 1) -> Column:
+        return F.coalesce(F.regexp_extract("r", pattern, group), F.lit(""))
+
+    def count(group: int) -> Column:
+        return F.coalesce(part(r"\]\s*(\d+)\s*/\s*(\d+)", group).try_cast("int"), F.lit(0))
+
+    eta, label = part(r"eta\s+(\S+)"), F.substring(T.strip(part(r"eta\s+\S+\s+(.*)")), 1, 40)
+    return last.select("worker", count(1).alias("done"), count(2).alias("total"), F.when(eta != "", eta).otherwise("--:--").alias("eta"), label.alias("label"))
+
+
+def sqlite_rows(spark: SparkSession, files: list[str], query: str = "SELECT seq, text, blob FROM part", schema: str = "seq bigint, text string, blob binary") -> DataFrame:
+    """Rows of SQLite part files, with their ``file``; one task reads a file, a thousand rows at a time.  Tasks must see the files."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file in batch["file"]:
+                with closing(sqlite3.connect(f"file:{file}?mode=ro", uri=True)) as db:
+                    for rows in pd.read_sql_query(query, db, chunksize=1000):
+                        yield rows.assign(file=file)
+
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, len(files)), "file")
+    return listed.mapInPandas(read, f"{schema}, file string")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import sqlite3
+import uuid
+from collections.abc import Iterator
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from docmill.operators.chunks import prefixed
@@ -33,6 +37,22 @@ def write_markdown(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").partitionBy("corpus_rank").parquet(path)
 
 
+def export_markdown(docs: DataFrame, folder: str, skip_existing: bool = False) -> None:
+    """One ``<source>.md`` a document of (source, text), written by tasks into a folder that they share; a file appears whole or not at all."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+
+    def store(rows: Iterator[Row]) -> None:
+        for row in rows:
+            target = Path(folder) / f"{row.source}.md"
+            if skip_existing and target.exists():
+                continue
+            part = target.with_name(f".{uuid.uuid4().hex}.part")
+            part.write_text(row.text or "", encoding="utf-8", newline="")
+            os.replace(part, target)
+
+    docs.select("source", "text").foreachPartition(store)
+
+
 def export_sqlite(vectors: DataFrame, path: str, batch: int = 100) -> int:
     """Stream (row_id, text, embeddings) to a SQLite file on the driver, a partition at a time; returns the rows."""
     db, n = sqlite3.connect(path), 0

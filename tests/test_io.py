@@ -1,7 +1,9 @@
+import hashlib
 import json
 import sqlite3
 import struct
 
+import pytest
 from pyspark.sql import functions as F
 
 from docmill.operators import bundle, chunks, ordinals, vectors
@@ -39,7 +41,7 @@ def test_binary_scan_exclusion_and_bundle(spark, tmp_path):
     assert [r.source for r in bundle.unresolved(sources, docs).collect()] == ["gone"]
     entries = bundle.document_entries(bundle.resolve(sources, docs), docs)
     got = {r.source_id: r for r in entries.collect()}
-    assert got["A one"].bundle_path == "documents/A_one.pdf" and got["A one"].file_size == len("x/A one.pdf")
+    assert got["A one"].bundle_path == "docs/A_one.pdf" and got["A one"].file_size == len("x/A one.pdf")
     whole = json.loads(bundle.manifest(entries, bundle.artifact_entries(docs.where("rel_path = 'd.pdf'")), "v1").first()[0])
     assert whole["schema_version"] == 1 and len(whole["documents"]) == 2 and whole["artifacts"][0]["path"] == "d.pdf"
     assert bundle.collisions(spark.createDataFrame([("a b",), ("a_b",), ("c",)], "source string")).collect()[0][:] == ("a_b", 2)
@@ -48,6 +50,61 @@ def test_binary_scan_exclusion_and_bundle(spark, tmp_path):
     assert bundle.totals(docs).first().n_documents == 4
 
 
+def test_package_fails_or_builds_a_checked_bundle(spark, tmp_path):
+    for name in ("raw/x/A one.pdf", "raw/b.pdf", "raw/a/b.pdf", "raw/A_one.pdf", "store.sqlite", "passages.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    docs = readers.pdfs(readers.binary_documents(spark, str(tmp_path / "raw")))
+    files = [("runtime/embeddings.sqlite", str(tmp_path / "store.sqlite")), ("debug/chunks_for_rag.txt", str(tmp_path / "passages.txt"))]
+
+    def build(*sources, artifacts=files):
+        entries = spark.createDataFrame([(f"[SOURCE:{s}|PAGE:1]\nx",) for s in sources], "entry string")
+        return bundle.package(entries, docs, artifacts, str(tmp_path / "out"), "v1", producer="here")
+
+    with pytest.raises(bundle.BundleError, match="without a document: gone"):
+        build("b", "gone")
+    with pytest.raises(bundle.BundleError, match="share: A_one"):
+        build("A one", "A_one")
+    with pytest.raises(bundle.BundleError, match="missing artefacts"):
+        build("b", artifacts=[("x", str(tmp_path / "none"))])
+    assert not (tmp_path / "out").exists()
+    build("A_one")
+    made = build("b", "b", "A one")  # replaces the one before
+    root = tmp_path / "out" / "rag-bundle-v1"
+    assert sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file()) == ["checksums.sha256", "debug/chunks_for_rag.txt", "docs/A_one.pdf", "docs/b.pdf", "manifest.json", "runtime/embeddings.sqlite"]
+    assert (root / "docs" / "b.pdf").read_text() == "raw/a/b.pdf" and made["chunk_count"] == 3 and made["source_count"] == 2
+    whole = json.loads((root / "manifest.json").read_text())
+    assert [a["path"] for a in whole["artifacts"]] == [p for p, _ in files] and [d["source_id"] for d in whole["documents"]] == ["A one", "b"]
+    lines = [x.split("  ") for x in (root / "checksums.sha256").read_text().splitlines()]
+    assert [p for _, p in lines] == ["runtime/embeddings.sqlite", "debug/chunks_for_rag.txt", "docs/A_one.pdf", "docs/b.pdf", "manifest.json"]
+    assert all(hashlib.sha256((root / p).read_bytes()).hexdigest() == digest for digest, p in lines)
+    (tmp_path / "._odd").write_text("x")
+    with pytest.raises(bundle.BundleError, match="forbidden"):
+        build("b", artifacts=[("debug/._odd", str(tmp_path / "._odd"))])
+
+
+def test_progress_sqlite_parts_and_markdown_files(spark, tmp_path):
+    log = [
+        (0, 1, "start"), (0, 2, "\r[##--] 12/ 2928   0.4%  elapsed 03:12  eta 04:22  SOURCE:a|PAGE:1\r[###-] 1234/ 2928  42.2%  elapsed 03:12  eta 04:22  " + "x" * 50), (0, 3, " \r "), (1, 1, "nothing yet"),
+        (2, 1, None),
+    ]
+    got = {r.worker: tuple(r)[1:] for r in readers.progress(spark.createDataFrame(log, "worker int, seq int, line string")).collect()}
+    assert got == {0: (1234, 2928, "04:22", "x" * 40), 1: (0, 0, "--:--", ""), 2: (0, 0, "--:--", "")}
+    files = [str(tmp_path / f"part{i}.sqlite") for i in range(2)]
+    for i, file in enumerate(files):
+        with sqlite3.connect(file) as db:
+            db.execute("CREATE TABLE part (seq INTEGER, text TEXT, blob BLOB)")
+            db.executemany("INSERT INTO part VALUES (?, ?, ?)", [(n, f"t{n}", b"VF32" + bytes([n])) for n in range(i * 2, i * 2 + 2)])
+    rows = readers.sqlite_rows(spark, files).orderBy("seq").collect()
+    assert [(r.seq, r.text, bytes(r.blob), r.file) for r in rows] == [(n, f"t{n}", b"VF32" + bytes([n]), files[n // 2]) for n in range(4)]
+    out = tmp_path / "md"
+    docs = spark.createDataFrame([("a b", "one\ntwo"), ("c", None)], "source string, text string")
+    sinks.export_markdown(docs, str(out))
+    assert {p.name: p.read_text() for p in out.iterdir()} == {"a b.md": "one\ntwo", "c.md": ""}
+    sinks.export_markdown(docs.withColumn("text", F.lit("new")), str(out), skip_existing=True)
+    assert (out / "a b.md").read_text() == "one\ntwo"
+
+
 def test_passage_file_round_trip(spark, tmp_path):
     docs = decorated(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20))
     made = chunks.dedup(chunks.chunks(docs)).cache()
@@ -75,6 +132,7 @@ def test_vectors(spark, tmp_path):
     e = vectors.embed(spark.createDataFrame([(1, "a b c"), (2, " "), (3, "a b c")], "row_id bigint, text string")).cache()
     ok = e.where("error IS NULL").withColumn("embeddings", vectors.vf32_encode("vector"))
     assert {len(r.embeddings) for r in ok.collect()} == {3076} and e.where("error IS NOT NULL").count() == 1
+    assert tuple(vectors.outcome(e).first()) == (3, 2, 1) and [(r.row_id, r.error) for r in vectors.failed(e).collect()] == [(2, "no words")]
     assert sinks.export_sqlite(ok, str(tmp_path / "v.sqlite")) == 2
     assert sqlite3.connect(tmp_path / "v.sqlite").execute("SELECT rowid, text, length(embeddings) FROM rag_vector_store").fetchall() == [(1, "a b c", 3076), (2, "a b c", 3076)]
     assert spark.range(1).select(vectors.pad(F.array(F.lit(1), F.lit(2)), 3).alias("p")).first().p == [1, 2, 0]
