@@ -346,7 +346,7 @@ RAW = {
         "FROM documents LEFT JOIN st ON st.source = doc_id LEFT JOIN zero ON zero.source = doc_id",
     ),
     "q_embed_counts": ("n_rows bigint, n_embedded bigint, n_errors bigint", f"WITH {_TURNS} SELECT count(*) AS n_rows, count(*) FILTER (words) AS n_embedded, count(*) FILTER (NOT words) AS n_errors FROM turns"),
-    "q_embed_errors": ("conv_id bigint, turn int, error string", f"WITH {_TURNS} SELECT conv_id, turn, 'no words' AS error FROM turns WHERE NOT words"),
+    "q_embed_errors": ("conv_id bigint, turn bigint, error string", f"WITH {_TURNS} SELECT conv_id, turn, 'no words' AS error FROM turns WHERE NOT words"),
     "q_manifest_json": (
         "manifest string",
         f"WITH f AS (SELECT source, min(text) AS text FROM documents GROUP BY source), d AS (SELECT source AS source_id, {NORM.format('source')} AS normalized_id, 'docs/' || {NORM.format('source')} || '.pdf' AS bundle_path, "
