@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from docmill.llm import fill_middle, spelling
 from docmill.llm.common import table
 
 
@@ -72,5 +73,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), each_text=True)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ppm_language, op2_pii_weak_supervision, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm, op10_decontaminate)}
-ORACLE_SQL: dict[str, str] = {}
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.fill_middle import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.spelling import group
+
+    return group(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_ppm_language, op2_pii_weak_supervision, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm,
+        op10_decontaminate, op12_fill_middle, op13_spelling_groups,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op12_fill_middle": fill_middle.SQL, "op13_spelling_groups": spelling.SQL}
