@@ -73,6 +73,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), each_text=True)
 
 
+def op11_html_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docmill.llm.html_extract import extract, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docmill.llm.fill_middle import digests
 
@@ -89,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ppm_language, op2_pii_weak_supervision, op3_byte_bpe, op4_chosen_path, op5_toxicity_ordinal, op6_secret_novelty, op7_media_chunks, op8_bitpack, op9_elias_fano_lm,
-        op10_decontaminate, op12_fill_middle, op13_spelling_groups,
+        op10_decontaminate, op11_html_lstm, op12_fill_middle, op13_spelling_groups,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op12_fill_middle": fill_middle.SQL, "op13_spelling_groups": spelling.SQL}
