@@ -34,7 +34,7 @@ def _md(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _md_lines(spark: SparkSession, d: str) -> DataFrame:
-    return lines.numbered(_md(spark, d).select("source", T.strip_spans("text").alias("text")))
+    return lines.numbered(_md(spark, d).select("source", T.strip_spans(F.col("text")).alias("text")))
 
 
 def _paged(spark: SparkSession, d: str) -> DataFrame:

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,13 +49,50 @@ def lines(c: Column) -> Column:
     return let(F.when(c.rlike(OTHER_BREAK), F.split(c, LINE_BREAK, -1)).otherwise(F.split(c, "\n", -1)), without_last)
 
 
+def within(c: Column, last: str, change: Callable[[Column], Column]) -> Column:
+    """``change`` of the text up to the last ``last``, and the rest as it is.
+
+    For patterns whose matches end with ``last``: in what is left to search every attempt meets an end, so that texts of many beginnings
+    without an end don't take quadratic time."""
+
+    def parts(tail: Column) -> Column:
+        return F.concat(change(F.substring(c, F.lit(1), F.length(c) - F.length(tail))), tail)
+
+    return let(F.substring_index(c, last, -1), parts)
+
+
+def untagged(c: Column, to: str) -> Column:
+    """Every ``<...>`` replaced; a ``<`` without an end, and ``<>``, stay."""
+    return F.when(c.contains("<"), within(c, ">", lambda x: sub(x, "<[^>]++>", to))).otherwise(c)
+
+
+def unlinked(c: Column, target: str = "[^)]++") -> Column:
+    """``[label](target)`` replaced by its label.
+
+    Brackets before one ``]`` share their fate, so where the first isn't a link's, all up to there is passed over at once."""
+    link = rf"\[([^\]]++)\]\({target}\)|(\[[^\]]*+(?:\]|\z))"
+    return F.when(c.contains("]("), within(c, ")", lambda x: sub(x, link, "$1$2"))).otherwise(c)
+
+
 def strip_spans(c: Column) -> Column:
-    """Without empty span elements."""
-    return sub(c, r"<span[^>]*></span>", "")
+    """Without empty span elements.  A span that isn't empty is passed over up to its ``>``."""
+    return F.when(c.contains("<span"), within(c, ">", lambda x: sub(x, "(<span[^>]*+>)(?!</span>)|<span[^>]*+></span>", "$1"))).otherwise(c)
 
 
 def span_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(r"<span[^>]*></span>")).cast("bigint")
+    """How many empty span elements there are."""
+    ended = F.substring(c, F.lit(1), F.length(c) - F.length(F.substring_index(c, ">", -1)))
+    spans = F.regexp_extract_all(ended, F.lit("<span[^>]*+>(?:</span>)?"), F.lit(0))
+    return F.when(c.contains("<span"), F.size(F.filter(spans, lambda m: m.endswith("></span>")))).otherwise(F.when(c.isNotNull(), 0)).cast("bigint")
+
+
+def without_superscripts(c: Column) -> Column:
+    """Without ``sup`` elements, the nearest end tag being their end."""
+
+    def parts(head: Column) -> Column:
+        return F.concat(sub(head, r"(?is)<sup[^>]*+>.*?</sup>|(<sup[^>]*+>)", "$1"), F.substring(c, F.length(head) + 1, F.length(c)))
+
+    return F.when(c.rlike("(?i)<sup"), let(F.regexp_extract(c, "(?is)^.*</sup>", 0), parts)).otherwise(c)
 
 
 def page_marker_line(c: Column) -> Column:
@@ -65,13 +104,8 @@ def page_marker_line(c: Column) -> Column:
 def inline(c: Column) -> Column:
     """Plain text of inline markdown."""
 
-    def unlinked(x: Column) -> Column:
-        return F.when(x.contains("]("), sub(x, r"\[([^\]]+)\]\([^)]+\)", "$1")).otherwise(x)
-
-    def untagged(x: Column) -> Column:
-        return F.when(x.contains("<"), sub(x, r"<[^>]+>", " ")).otherwise(x)
-
-    return F.trim(sub(F.translate(let(let(c, unlinked), untagged), "*_`~", ""), r"(?U)\s+", " "))
+    plain = let(let(c, lambda x: unlinked(x)), lambda x: untagged(x, " "))
+    return F.trim(sub(F.translate(plain, "*_`~", ""), r"(?U)\s+", " "))
 
 
 def marked(word: str) -> str:
@@ -120,13 +154,11 @@ def strip_footers(c: Column) -> Column:
 def clean(c: Column) -> Column:
     """Text of a passage without HTML, dead links, footers and runs of spaces."""
 
-    def untagged(x: Column) -> Column:
-        return F.when(x.contains("<"), sub(sub(sub(x, r"(?is)<sup[^>]*>.*?</sup>", ""), r"(?iU)<br\s*/?>", " "), r"<[^>]+>", "")).otherwise(x)
-
-    def unlinked(x: Column) -> Column:
-        return F.when(x.contains("](#"), sub(x, r"\[([^\]]+)\]\(#[^)]*\)", "$1")).otherwise(x)
+    def plain(x: Column) -> Column:
+        broken = let(without_superscripts(x), lambda y: sub(y, r"(?iU)<br\s*/?>", " "))
+        return F.when(x.contains("<"), let(broken, lambda y: untagged(y, ""))).otherwise(x)
 
-    whole = strip_footers(let(let(c, untagged), unlinked))
+    whole = strip_footers(let(let(c, plain), lambda x: unlinked(x, "#[^)]*+")))
     return let(whole, lambda t: F.when(t.contains("  ") | t.contains("\t"), sub(t, r"[ \t]{2,}", " ")).otherwise(t))
 
 

@@ -19,7 +19,7 @@ def sections(docs: DataFrame) -> DataFrame:
     """Sections of (source, text) markdown, empty spans removed first.  With a ``corpus_rank``, documents are those of (corpus_rank,
     source) and ``source`` is that pair: two corpora may hold one name."""
     source = F.struct("corpus_rank", "source").alias("source") if "corpus_rank" in docs.columns else "source"
-    return S.sections(lines.with_headings(lines.paged(lines.numbered(docs.select(source, T.strip_spans("text").alias("text"))))))
+    return S.sections(lines.with_headings(lines.paged(lines.numbered(docs.select(source, T.strip_spans(F.col("text")).alias("text"))))))
 
 
 def header(path: Column, heading_raw: Column, config: ChunkConfig) -> Column:

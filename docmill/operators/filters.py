@@ -26,9 +26,19 @@ def boilerplate_subtree(path: Column) -> Column:
 
 
 def cross_reference(body: Column) -> Column:
+    """Whether a text is ``Recommendation`` or ``Recommendations`` and numbers with joiners between them.
+
+    What follows the word is cut at its numbers, so that a list of any length takes no stack, as a repeated group of a pattern would."""
+
+    def listed(rest: Column) -> Column:
+        between = F.split(rest, r"(?U)[\d.]+", -1)
+        inner = F.slice(between, 2, F.greatest(F.size(between) - 2, F.lit(0)))
+        joined = F.forall(inner, lambda x: F.lower(T.strip(x)).isin(",", "and", "to", "–", "-"))
+        return (F.size(between) > 1) & (F.element_at(between, 1) == "") & (T.strip(F.element_at(between, -1)) == "") & joined
+
     # Only such a text is made plain.
     may_be = body.rlike(f"(?i){T.marked('recommendation')}") | body.contains("](")
-    return may_be & T.inline(body).rlike(r"(?iU)^\s*Recommendations?\s+[\d.]+(?:\s*(?:,|and|to|–|-)\s*[\d.]+)*\.?\s*$")
+    return may_be & let(F.regexp_extract(T.inline(body), r"(?iUs)^\s*Recommendations?\s+(.*)$", 1), listed)
 
 
 def table_profile(body: Column) -> Column:
@@ -41,7 +51,7 @@ def table_profile(body: Column) -> Column:
         return F.struct(row.alias("row"), cells.alias("cells"))
 
     def counted(x: Column) -> Column:
-        plain = F.transform(x["cells"], lambda c: F.when(c.contains("<"), T.strip(T.sub(c, r"<[^>]+>", ""))).otherwise(c))
+        plain = F.transform(x["cells"], lambda c: F.when(c.contains("<"), T.strip(T.untagged(c, ""))).otherwise(c))
         return F.struct(
             x["row"].alias("row"), F.forall(x["cells"], lambda c: c.rlike(r"^[-: ]+$")).alias("bare"), F.forall(plain, lambda c: c.rlike(r"^[-: ]+$")).alias("plain"),
             F.size(x["cells"]).alias("cells"), F.size(F.filter(plain, lambda c: c != "")).alias("filled"),

@@ -1,4 +1,8 @@
-from model import SF, dropped, passages, sections
+import random
+import re
+
+from model import SF, dropped, passages, plain, sections
+from pyspark.sql import functions as F
 
 from docmill.operators import chunks, filters
 from docmill.plans.markdown import decorated
@@ -44,3 +48,21 @@ def test_first_of_each_keeps_every_text_once(spark):
     rows = [("a", None, 1), ("b", 2, 2), ("b", 2, 3), ("b", None, 4), (None, 5, 5), (None, 4, 6), ("c", None, 7), ("c", None, 8)]
     got = chunks.first_of_each(spark.createDataFrame(rows, "text string, n int, i int"), "text", "n").collect()
     assert sorted((str(r.text), str(r.n)) for r in got) == [("None", "4"), ("a", "None"), ("b", "2"), ("c", "None")]
+
+
+def test_cross_references_equal_the_plain_pattern(spark):
+    rng = random.Random(4)
+    parts = ["Recommendation", "recommendations", " ", "\n", "1", ".2", ",", "and", " to ", "–", "-", ".", "x", "AND", "**", "[1](u)", "٣"]
+    texts = [("Recommendations " if k % 2 else "") + "".join(rng.choice(parts) for _ in range(rng.randrange(12))) for k in range(20_000)]
+    pattern = re.compile(r"(?i)\s*Recommendations?\s+[\d.]+(?:\s*(?:,|and|to|–|-)\s*[\d.]+)*\.?\s*$")
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", filters.cross_reference(F.col("t")).alias("x")).collect()
+    assert any(r.x for r in rows) and all(bool(r.x) == bool(pattern.match(plain(texts[r.i]))) for r in rows)
+
+
+def test_no_list_of_numbers_overflows_a_stack(spark):
+    n = 100_000
+    texts = ["Recommendations 1" + ", 2" * n, "Recommendation 1" + " and 2.3" * n + ".", "Recommendations 1" + " - 2" * n + " x", "Fever, A-1" + "-2" * n, "| a " * n + "|", "a 1\n" * n, "**" + "a b. " * n + "**", "\n\n" * n, "- item\n" * n, "#" + " #" * n]
+    docs = spark.createDataFrame([(str(k), f"# Head {k}\n{t}") for k, t in enumerate(texts)], "source string, text string").repartition(4)
+    why = {r.source: r.why for r in filters.explained(chunks.sections(docs)).withColumnRenamed("reason", "why").collect()}
+    assert why["0"] == why["1"] == "cross_reference" and why["2"] is None and why["5"] == "contents_list"
+    assert chunks.chunks(docs).count() > 0

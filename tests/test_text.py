@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import model
@@ -88,3 +89,39 @@ def test_breadcrumb_and_render(spark):
         T.breadcrumb(F.array(F.lit("A"), F.lit("B"), F.lit("C"))).alias("a"), T.breadcrumb(F.array(F.lit("A"))).alias("b"), T.rendered(F.lit("# H"), F.lit(" x ")).alias("c"), T.rendered(F.lit(None).cast("string"), F.lit("x")).alias("d"), T.rendered(F.lit("# H"), F.lit(" ")).alias("e"),
     ).first()
     assert tuple(row) == ("> A > B", None, "# H\n\nx", "x", "# H")
+
+
+def plain_clean(t):
+    t = re.sub(r"(?i)<br\s*/?>", " ", re.sub(r"(?is)<sup[^>]*>.*?</sup>", "", t)) if "<" in t else t
+    return re.sub(r"\[([^\]]+)\]\(#[^)]*\)", r"\1", re.sub("<[^>]+>", "", t))
+
+
+def test_tags_links_and_spans_equal_plain_patterns(spark):
+    rng = random.Random(9)
+    parts = ["<", ">", "a", " ", "<b>", "<span>", "<span ", "</span>", "[", "]", "(", ")", "](", "](#", "<sup", "<sup>", "</sup>", "<SUP x>", "</Sup>", "<br>", "<BR />", "\n", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(24))) for _ in range(20_000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    t = F.col("t")
+    found = rows.select("i", T.untagged(t, " "), T.unlinked(t), T.unlinked(t, "#[^)]*+"), T.strip_spans(t), T.span_count(t), T.without_superscripts(t), T.inline(t)).collect()
+    for i, *got in found:
+        x = texts[i]
+        span = r"<span[^>]*></span>"
+        want = [re.sub("<[^>]+>", " ", x), re.sub(r"\[([^\]]+)\]\([^)]+\)", r"\1", x), re.sub(r"\[([^\]]+)\]\(#[^)]*\)", r"\1", x), re.sub(span, "", x), len(re.findall(span, x)), re.sub(r"(?is)<sup[^>]*>.*?</sup>", "", x), model.plain(x)]
+        assert got == want, x
+    # no line of these is a footer or a blank run, so cleaning is the patterns and the white space
+    single = [re.sub(r"\s+", " ", x) for x in texts]
+    cleaned = each(spark, T.clean, single)
+    assert cleaned == [re.sub(r"[ \t]{2,}", " ", plain_clean(x).strip()) for x in single]
+
+
+SHAPES = ["a < b ", "<", "<span ", "[", "<sup ", "<sup>", "[a](", "[a] ", "](#", "[](", "<br ", "<>", "](", "<span>", "|<", "[a](b ", "<sup></sup", "** ", "*a_"]
+
+
+@pytest.mark.parametrize("end", ["", ">", "</sup>", ")", "]", "](#x)"])
+def test_removal_takes_time_in_proportion(spark, end):
+    """A megabyte of each shape; none takes over two seconds."""
+    texts = [(shape * (1_000_000 // len(shape)) + end,) for shape in SHAPES]
+    rows = spark.createDataFrame(texts, "t string").repartition(4)
+    start = time.time()
+    rows.select(T.clean(F.col("t")), T.inline(F.col("t")), T.strip_spans(F.col("t")), T.span_count(F.col("t"))).write.format("noop").mode("overwrite").save()
+    assert time.time() - start < 2 * len(SHAPES) / 4 + 5
