@@ -118,3 +118,19 @@ def test_spans_that_base_ones_meet_are_dropped_and_places_hold(spark):
     spans = [(x.a, x.b) for x in row.base]
     assert all(not (a < x.b and x.a < b) for x in row.extra for a, b in spans) and [text[x.a : x.b] for x in row.extra] == ["412-555-1234"]
     assert [text[a:b] for a, b in spans] == ["+1 (412) 555-1234", "4111 1111 1111 1111"]
+
+
+def long_shapes(n):
+    return ["mail a@b" + ".c" * n + " x", "mail " + "a." * n + "a@b.com", "1" + ".1" * n, "4111" + " 1111" * n, "+1" + " (1)" * n, "412-555" + "-1234" * n, "Dr. A" + "b" * n + " C" * n, "a@b" + "-c.d" * n + "_", "x@y.z@" * n, "(412) " * n]
+
+
+def test_no_repeated_group_overflows_a_stack(spark):
+    small = long_shapes(1000)  # what the plain patterns can do
+    long = spark.createDataFrame(list(enumerate(small + long_shapes(100_000))), "doc_id bigint, text string").repartition(4)
+    start = time.time()
+    rows = {r.doc_id: r for r in pii.detect(long).collect()}
+    assert time.time() - start < 60
+    for i, t in enumerate(small):
+        assert rows[i].base_sha256 == hashlib.sha256(base(t).encode()).hexdigest(), t[:20]
+    assert rows[10].spans == "email:5:200008" and [rows[10 + i].n_email for i in range(len(small))] == [rows[i].n_email for i in (0, 1, 2, 3, 4, 5, 6, 7)] + [rows[18].n_email, 0]
+    assert pii.redact(spark.createDataFrame([(1, long_shapes(100_000)[0])], "doc_id bigint, text string")).first().text == "mail [EMAIL] x"
