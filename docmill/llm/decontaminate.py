@@ -7,7 +7,10 @@ Items are partitioned by size.  Up to ``SMALL`` shingles, the sketch is the whol
 ``threshold`` of it; beyond, the sketch is the ``FUNCTIONS`` shingles that are minimal under as many hash functions and one
 hit makes a candidate, as a true match misses all with probability (1 - threshold)^16 < 1e-11.  A long document is
 never sketched: all its shingles probe the sketches, so its length costs no recall.  Candidates are verified against
-the item's full set in the same task.
+the item's full set in the same task; only items that a document's shingles touch are counted.
+
+Shingles that over ``HOT`` items of a block hold, such as a common opening, make no candidates of these.  An item with some is sketched by its
+n - m + 1 rarest shingles instead, where n is its size and m what it needs: a match misses at most n - m, so it holds one of them.
 
 With ``each_text``, as the query and the pipeline ask for, every text is an item of its own: null and repeated item_ids are searched text by
 text, and an item of fewer than five words is one shingle of all its words that every window of as many words of a document meets.
@@ -29,11 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.common import written
 from docmill.llm.shingles import WIDTH, hashed, mix
 
 THRESHOLD = 0.8
 SMALL = 8
 FUNCTIONS = 16
+#: A shingle that more items of a block hold isn't sketched where others tell the item.
+HOT = 64
 BLOCK_ROWS = 2_000_000
 RESULT = "doc_id bigint, item_id bigint, n_shared bigint, n_item bigint, containment double"
 
@@ -59,6 +65,11 @@ def item_shingles(items: DataFrame, each_text: bool = False) -> DataFrame:
     return picked.mapInArrow(run, "key bigint, item_id bigint, width int, shingle bigint").distinct()
 
 
+def _ranges(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each range."""
+    return np.repeat(first - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+
+
 class Index:
     """One block's sketches and full sets."""
 
@@ -77,27 +88,39 @@ class Index:
             self.few[w] = (shingle[at], own[at])
         long = width == WIDTH
         self.need = np.maximum(1, np.ceil(self.size * threshold - 1e-9).astype(np.int64))
-        keep = np.repeat(self.size <= SMALL, self.size)
+        # How many of the block's items hold a shingle; hot ones don't sketch an item that others can tell.
+        _, place, holders = np.unique(np.where(long, shingle, np.uint64(0)), return_inverse=True, return_counts=True)
+        held = np.where(long, holders[place], 0)
+        hot = np.bincount(own, held > HOT, len(self.keys)).astype(np.int64)
+        keep = np.repeat((self.size <= SMALL) & (hot == 0), self.size)
+        sketched = np.repeat(hot == 0, self.size)
         for f in range(FUNCTIONS):
             ranked = np.lexsort((mix(shingle + np.uint64(f * 0x9E3779B97F4A7C15 % (1 << 64))), own))
-            keep[ranked[first]] = True
+            keep[ranked[first]] = sketched[ranked[first]]
+        ranked = np.lexsort((shingle, held, own))
+        rank = np.empty(len(own), np.int64)
+        rank[ranked] = np.arange(len(own)) - np.repeat(first, self.size)
+        keep |= ~sketched & (rank <= np.repeat(self.size - self.need, self.size))
         keep &= long
         by = np.argsort(shingle[keep], kind="stable")
         self.sketch, self.sketch_item = shingle[keep][by], own[keep][by]
-        shingle, own = shingle[long], own[long]
-        by = np.argsort(shingle, kind="stable")
-        self.full, self.full_item = shingle[by], own[by]
+        #: item k holds ``full[start[k]:start[k] + size[k]]``, sorted
+        self.full, self.start = shingle, first
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.sketch >> np.uint64(44)] = True
-        self.least = np.where(self.size <= SMALL, self.need, 1)
-
-    @staticmethod
-    def _count(keys: np.ndarray, items: np.ndarray, probe: np.ndarray, n: int) -> np.ndarray:
-        """How many of the distinct ``probe`` values each item holds."""
-        lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
-        lens = hi - lo
-        at = np.repeat(lo, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-        return np.bincount(items[at], minlength=n)
+        self.least = np.where((self.size <= SMALL) & (hot == 0), self.need, 1)
+
+    def _shared(self, k: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """How many shingles of each item ``k`` are among the sorted ``own``; items go in groups of a bounded number of shingles."""
+        out, ends, i = np.empty(len(k), np.int64), np.cumsum(self.size[k]), 0
+        while i < len(k):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + BLOCK_ROWS, "right")))
+            lens = self.size[k[i:j]]
+            value = self.full[_ranges(self.start[k[i:j]], lens)]
+            met = own[np.minimum(np.searchsorted(own, value), len(own) - 1)] == value
+            out[i:j] = np.bincount(np.repeat(np.arange(j - i), lens), met, j - i)
+            i = j
+        return out
 
     def search(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item position, shared shingles) of every verified pair."""
@@ -107,41 +130,40 @@ class Index:
                 lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
                 at = np.flatnonzero(lo < hi)
                 lo, lens = lo[at], (hi - lo)[at]
-                k = items[np.repeat(lo, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)]
+                k = items[_ranges(lo, lens)]
                 r = np.repeat(np.searchsorted(bounds, at, "right") - 1, lens)
                 pair = np.unique(r * len(self.keys) + k)
                 rows += (i + pair // len(self.keys)).tolist()
                 found += (pair % len(self.keys)).tolist()
                 shared += [1] * len(pair)
-        for i, _, bounds, h in hashed(texts) if len(self.full) else ():
+        for i, _, bounds, h in hashed(texts) if len(self.sketch) else ():
             at = np.flatnonzero(self.maybe[h >> np.uint64(44)])
             at = at[self.sketch[np.minimum(np.searchsorted(self.sketch, h[at]), len(self.sketch) - 1)] == h[at]]
             for r in np.unique(np.searchsorted(bounds, at, "right") - 1):
                 own = np.unique(h[bounds[r] : bounds[r + 1]])
-                candidate = self._count(self.sketch, self.sketch_item, own, len(self.keys)) >= self.least
-                n = self._count(self.full, self.full_item, own, len(self.keys))
-                k = np.flatnonzero(candidate & (n >= self.need))
+                lo = np.searchsorted(self.sketch, own, "left")
+                lens = np.searchsorted(self.sketch, own, "right") - lo
+                k, n = np.unique(self.sketch_item[_ranges(lo, lens)], return_counts=True)
+                k = k[n >= self.least[k]]
+                n = self._shared(k, own)
+                k, n = k[n >= self.need[k]], n[n >= self.need[k]]
                 rows += [i + r] * len(k)
                 found += k.tolist()
-                shared += n[k].tolist()
+                shared += n.tolist()
         return np.array(rows, np.int64), np.array(found, np.int64), np.array(shared, np.int64)
 
 
 def _indexes(items: DataFrame, threshold: float, each_text: bool) -> list:
     """Broadcast indexes, each of at most about BLOCK_ROWS rows."""
     spark = items.sparkSession
-    rows = item_shingles(items, each_text).persist()
-    try:
-        total = rows.count()
-        blocks = -(-total // BLOCK_ROWS)
-        out = []
-        for k in range(blocks):
-            t = rows.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).toArrow()
-            if t.num_rows:
-                out.append(spark.sparkContext.broadcast(Index(t, threshold)))
-        return out
-    finally:
-        rows.unpersist()
+    rows = written(item_shingles(items, each_text), "items")
+    blocks = -(-rows.count() // BLOCK_ROWS)
+    out = []
+    for k in range(blocks):
+        t = rows.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).toArrow()
+        if t.num_rows:
+            out.append(spark.sparkContext.broadcast(Index(t, threshold)))
+    return out
 
 
 def hits(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, each_text: bool = False) -> DataFrame:

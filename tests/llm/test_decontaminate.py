@@ -1,13 +1,15 @@
 import random
+import re
+
+import time
 
-import pyarrow as pa
 from docmill.llm import decontaminate as D
-from docmill.llm.shingles import hashed
 
 
 def shingles(text):
-    (_, _, bounds, h), = hashed(pa.array([text]))
-    return set(h.tolist())
+    """Sets of five words by a way of their own: ASCII letters, digits, underscores and all beyond ASCII make words."""
+    words = re.findall("[a-z0-9_\x80-\U0010ffff]+", text.lower())
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
 
 
 def brute(docs, items, threshold=0.8):
@@ -77,3 +79,37 @@ def test_the_query_and_the_pipeline_search_every_text(spark, tmp_path):
     spark.createDataFrame([(None, text)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert [(r.doc_id, r.item_id) for r in registry.op10_decontaminate(spark, str(tmp_path)).collect()] == [(1, None)]
     assert corpus_pipeline.remove_benchmark(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).count() == 0
+
+
+def test_items_with_a_common_opening(spark):
+    """Hot shingles: openings that most items share, items that are little else, and a template with one word changed."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    opening = "choose the right answer of these four and say why".split()
+    template = [rng.choice(words) for _ in range(40)]
+    texts = [opening + [rng.choice(words) for _ in range(rng.randrange(1, 40))] for _ in range(300)] + [opening + [f"only{k}"] for k in range(100)]
+    texts += [template[:20] + [f"v{k}"] + template[20:] for k in range(100)]
+    items = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = []
+    for d in range(120):
+        own = [rng.choice(words) for _ in range(rng.randrange(5, 60))]
+        part = list(rng.choice([opening, template, rng.choice(texts), rng.choice(texts)]))
+        for _ in range(rng.randrange(3)):
+            part[rng.randrange(len(part))] = "changed"
+        docs.append((d, " ".join(own[:5] + part + own[5:])))
+    found = D.hits(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted(((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in found.collect()), key=str) == brute(docs, items) != []
+
+
+def test_a_common_opening_costs_little(spark):
+    rng = random.Random(9)
+    opening = "choose the right answer of these four below"
+    items = [(k, opening + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(20))) for k in range(30_000)]
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)) for _ in range(2000)]
+    docs = spark.createDataFrame([(d, f"{t} {opening}") for d, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    index = D._indexes(spark.createDataFrame(items, "item_id bigint, text string"), 0.8, False)[0].value
+    import pyarrow as pa
+
+    start = time.process_time()
+    assert len(index.search(pa.array([t.text for t in docs.collect()]))[0]) == 0
+    assert time.process_time() - start < 4
