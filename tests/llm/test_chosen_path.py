@@ -3,12 +3,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from docmill.llm import chosen_path
 from docmill.llm.components import components
-from docmill.llm.shingles import hashed
 
 
 def shingles(text):
