@@ -90,7 +90,7 @@ def q_blocks(spark, d):
 
 @query
 def q_skip_reasons(spark, d):
-    return filters.explained(_sections(spark, d)).select("source", "section_no", F.coalesce("reason", F.lit("kept")).alias("reason"))
+    return filters.explained(chunks.sections(_md(spark, d))).select("source", "section_no", F.coalesce("reason", F.lit("kept")).alias("reason"))
 
 
 @query
@@ -207,12 +207,12 @@ def q_chunks_per_source(spark, d):
 
 @query
 def q_global_index(spark, d):
-    return ordinals.numbered(lines.numbered(_docs(spark, d)), "source", ["line_no"], "row_id").select("source", "line_no", "row_id")
+    return ordinals.dense(lines.numbered(ordinals.in_order(_docs(spark, d), "source")).select("source", "line_no"), "row_id")
 
 
 @query
 def q_slice(spark, d):
-    return ordinals.numbered(lines.numbered(_docs(spark, d)), "source", ["line_no"], "row_id").where(F.col("row_id").between(101, 300)).select("row_id", "line")
+    return ordinals.dense(lines.numbered(ordinals.in_order(_docs(spark, d), "source")).select("line"), "row_id").where(F.col("row_id").between(101, 300)).select("row_id", "line")
 
 
 @query

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from docmill.config import ChunkConfig
 from docmill.functions import text as T
-from docmill.operators import blocks as B
-from docmill.operators import filters, lines, ordinals, pack
+from docmill.operators import filters, ordinals, pack
 from docmill.operators import sections as S
 
-_CONTEXT = ("section_id", "heading_raw", "path")
-_PART = "array<struct<text:string,type:string,page_start:int,page_end:int>>"
-
-
 def sections(docs: DataFrame) -> DataFrame:
-    """Sections of (source, text) markdown, empty spans removed first.  With a ``corpus_rank``, documents are those of (corpus_rank,
-    source) and ``source`` is that pair: two corpora may hold one name."""
+    """Sections of (source, text) markdown, empty spans removed first.  With a ``corpus_rank``, ``source`` becomes the pair (corpus_rank, source)."""
     source = F.struct("corpus_rank", "source").alias("source") if "corpus_rank" in docs.columns else "source"
-    return S.sections(lines.with_headings(lines.paged(lines.numbered(docs.select(source, T.strip_spans(F.col("text")).alias("text"))))))
+    return S.folded(docs.select(source, "text"))
 
 
 def header(path: Column, heading_raw: Column, config: ChunkConfig) -> Column:
@@ -29,49 +27,102 @@ def header(path: Column, heading_raw: Column, config: ChunkConfig) -> Column:
     return F.when(F.length(whole) > cap, F.concat(F.substring(whole, 1, cap - 1), F.lit("…"))).otherwise(whole)
 
 
-def bodies(kept: DataFrame, config: ChunkConfig) -> DataFrame:
-    """(source, section_no, context, part_no, type, page_start, page_end, body): short sections whole, long ones packed from their blocks."""
-    long = F.length(T.rendered(F.col("heading_raw"), F.col("body"))) > config.max_section
-    whole = kept.where(~long).select("source", "section_no", *_CONTEXT, F.lit(0).alias("part_no"), F.lit("section").alias("type"), "page_start", "page_end", "body")
-    parts = B.blocks(B.with_blocks(B.body_lines(kept.where(long), *_CONTEXT)), *_CONTEXT)
-    pieces = parts.select("source", "section_no", *_CONTEXT, "block", "block_type", "page_start", "page_end", pack.split_block(F.col("block_type"), F.col("text"), F.col("lines"), config.size, config.overlap).alias("texts"))
-    made = F.transform("texts", lambda t: F.struct(T.strip(t).alias("text"), F.col("block_type").alias("type"), "page_start", "page_end"))
-    made = F.filter(made, lambda p: p["text"] != "")
-    grouped = pieces.select("source", "section_no", *_CONTEXT, "block", made.alias("pieces")).groupBy("source", "section_no", *_CONTEXT)
-    joined = grouped.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "pieces"))), lambda b: b["pieces"])).cast(_PART).alias("pieces"))
-    groups = pack.pack(joined, "pieces", F.col("heading_raw"), config.size).select("source", "section_no", *_CONTEXT, F.posexplode("groups").alias("part_no", "group"))
-    types = F.array_distinct(F.col("group.type"))
-    packed = groups.select(
-        "source", "section_no", *_CONTEXT, "part_no", F.when(F.size(types) == 1, types[0]).otherwise("mixed").alias("type"),
-        F.col("group")[0]["page_start"].alias("page_start"), F.element_at("group", -1)["page_end"].alias("page_end"), F.array_join("group.text", "\n\n").alias("body"),
-    )
-    return whole.unionByName(packed)
+_PIECE = StructType([StructField(n, t) for n, t in (("part_no", IntegerType()), ("piece_no", IntegerType()), ("type", StringType()), ("page_start", IntegerType()), ("page_end", IntegerType()), ("text", StringType()))])
+#: Classes of lines as they go to the fold.
+_CLASSES = ("blank", "table", "list", "paragraph")
+
+
+def blocks(classes: Iterable[int]) -> list[tuple[str, list[int], list[int]]]:
+    """(type, numbers of its lines, item of each) of runs of table lines, lists with their continuations, and paragraphs."""
+    out: list[tuple[str, list[int], list[int]]] = []
+    mode = None
+    for at, k in enumerate(classes):
+        kind = _CLASSES[k]
+        now = None if kind == "blank" else "list" if kind == "paragraph" and mode == "list" else kind
+        if now and now != mode:
+            out.append((now, [], []))
+        mode = now
+        if now:
+            _, held, items = out[-1]
+            items.append((items[-1] if items else 0) + (kind == "list"))
+            held.append(at)
+    return out
+
+
+def packed(rows: str, classes: Iterable[int], turns: Iterable[dict], base: int, config: ChunkConfig) -> Iterator[tuple[str, int, int, str]]:
+    """(type, first page, last page, text) of the parts of a long section, of about ``size`` with ``base`` counted."""
+    lines = rows.split("\n")
+    pages, turns = [], list(turns)
+    for t, after in zip(turns, [*turns[1:], {"at": len(lines)}]):
+        pages += [t["page"]] * (after["at"] - t["at"])
+    units = []
+    for kind, held, items in blocks(classes):
+        text = "\n".join(lines[i] for i in held).strip()
+        pieces = [text] if len(text) <= config.size else pack.block_pieces(kind, text, [lines[i] for i in held], items, config.size, config.overlap)
+        units += [(kind, pages[held[0]], pages[held[-1]], p.strip()) for p in pieces if p.strip()]
+    for first, n in pack.greedy([(len(u[3]), 0, 0) for u in units], base, 2, config.size, True):
+        own = units[first : first + n]
+        kinds = {u[0] for u in own}
+        yield kinds.pop() if len(kinds) == 1 else "mixed", own[0][1], own[-1][2], "\n\n".join(u[3] for u in own)
+
+
+def pieces(kept: DataFrame, config: ChunkConfig) -> DataFrame:
+    """Adds ``head`` and a row for each of a section's ``piece``s: struct<part_no, piece_no, type, page_start, page_end, text>.
+
+    A short section is one piece; a long one is packed from its blocks; what is still over the hard bound with the header is cut
+    into windows.  Only sections that need it go to Python."""
+
+    @F.pandas_udf(ArrayType(_PIECE))
+    def cut(rows: pd.Series, body: pd.Series, classes: pd.Series, turns: pd.Series, base: pd.Series, start: pd.Series, end: pd.Series, budget: pd.Series) -> pd.Series:
+        def made(r, whole, c, t, heading, a, z, most):
+            if whole is None:
+                return None
+            parts = [("section", a, z, whole)] if c is None else packed(r, c, t, heading, config)
+            return [(n, k, kind, p, q, piece.strip()) for n, (kind, p, q, text) in enumerate(parts) for k, piece in enumerate(pack.windows(text.strip(), most, config.overlap)) if piece.strip()]
+
+        return pd.Series([made(*x) for x in zip(rows, body, classes, turns, base, start, end, budget)], dtype=object)
+
+    body = F.col("body")
+    held = kept.withColumn("head", header(F.col("path"), F.col("heading_raw"), config)).withColumn("_long", F.length(T.rendered(F.col("heading_raw"), body)) > config.max_section)
+    budget = F.lit(config.max_chars) - F.when(F.length("head") > 0, F.length("head") + 2).otherwise(0)
+    base = F.coalesce(F.length("heading_raw") + 2, F.lit(0))
+
+    def number(line: Column) -> Column:
+        return F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), T.line_class(line)).cast("int") - 1
+
+    long = F.col("_long")
+    held = held.withColumn("_classes", F.when(long, F.transform(F.split("rows", "\n", -1), number)))
+    made = cut(F.when(long, F.col("rows")), F.when(long | (F.length(body) > budget), body), F.col("_classes"), F.when(long, F.col("turns")), base, F.col("page_start"), F.col("page_end"), budget)
+    whole = F.array(F.struct(F.lit(0).alias("part_no"), F.lit(0).alias("piece_no"), F.lit("section").alias("type"), "page_start", "page_end", body.alias("text")))
+    return held.select("source", "section_no", "section_id", "path", "head", F.explode(F.coalesce(made, whole)).alias("piece"))
 
 
 def emit(parts: DataFrame, config: ChunkConfig) -> DataFrame:
-    """Cut bodies to the hard bound, put the header on every piece, clean, and drop short ones."""
-    head = header(F.col("path"), F.col("heading_raw"), config)
-    rows = parts.withColumn("_head", head).withColumn("body", T.strip("body"))
-    budget = F.lit(config.max_chars) - F.when(F.length("_head") > 0, F.length("_head") + 2).otherwise(0)
-    exploded = rows.select("*", F.posexplode(pack.windowed(F.col("body"), budget, F.lit(config.overlap))).alias("piece_no", "piece")).where(T.strip(F.col("piece")) != "")
-    text = T.clean(F.concat_ws("\n\n", F.when(F.col("_head") != "", F.col("_head")), T.strip(F.col("piece"))))
+    """Put the header on every piece, clean, and drop short ones."""
+    text = T.clean(F.concat_ws("\n\n", F.when(F.col("head") != "", F.col("head")), F.col("piece.text")))
     # A generator, so that the filter isn't pushed below the text and makes it a second time.
-    made = exploded.select("source", "section_no", "section_id", "path", "part_no", "piece_no", "type", "page_start", "page_end", F.explode(F.array(text)).alias("text"))
-    return made.where(F.length("text") >= config.min_chars)
+    made = parts.where(F.col("piece.text") != "").select("source", "section_no", "section_id", "path", "piece", F.explode(F.array(text)).alias("text"))
+    return made.where(F.length("text") >= config.min_chars).select("source", "section_no", "section_id", "path", "piece.part_no", "piece.piece_no", "piece.type", "piece.page_start", "piece.page_end", "text")
+
+
+def passages(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
+    """Passages of each document where it lies, in its order; nothing is shuffled."""
+    return emit(pieces(filters.kept(sections(docs)), config), config)
 
 
 def chunks(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """All passages of (source, text) markdown with their global index, before duplicates go.  With a ``corpus_rank``, corpora come in its
-    order, and it is the last column."""
-    # Read twice below, for short and for long sections; the reason is a stored column, so its filter reaches the scan
-    # and isn't pushed, expanded, through the projections that make it.
-    kept = ordinals.written(filters.explained(sections(docs)), "sections").where("reason IS NULL").drop("reason")
-    found = ordinals.written(emit(bodies(kept, config), config), "passages")  # read twice: counts and numbers
-    numbered = ordinals.numbered(found, "source", ["section_no", "part_no", "piece_no"], "index")
+    order, and it is the last column.
+
+    Documents go in the order of corpus, name and text, null names first; those of one name in one corpus, or of none, keep all their passages.  This order is
+    the one shuffle: passages are made in it and numbered as they come."""
+    ranked = [c for c in ("corpus_rank",) if c in docs.columns]
+    ordered = ordinals.in_order(docs.select(*ranked, "source", "text"), *ranked, "source", "text")
+    numbered = ordinals.dense(passages(ordered, config), "index")
     name = S.source_name(numbered)
     return numbered.select(
         "index", F.format_string("%s:chunk:%05d", name.cast("string"), F.col("index")).alias("chunk_id"), name.alias("source"), "section_id", F.col("path").alias("section_path"),
-        F.col("type").alias("chunk_type"), "page_start", "page_end", "text", *([F.col("source.corpus_rank").alias("corpus_rank")] if "corpus_rank" in docs.columns else []),
+        F.col("type").alias("chunk_type"), "page_start", "page_end", "text", *([F.col("source.corpus_rank").alias("corpus_rank")] if ranked else []),
     )
 
 

@@ -97,8 +97,10 @@ def contents_list(whole: Column, plain: Column) -> Column:
         return (n >= 5) & (F.size(F.filter(marks, lambda m: m)) >= F.greatest(F.lit(4), F.floor(n / 2)))
 
     lines = F.filter(T.lines(whole), lambda s: T.strip(s) != "")
-    # An entry holds a digit or a bar: few sections have four such lines, and only these are looked at line by line.
-    listed = F.when(F.regexp_count(whole, F.lit(r"(?m)^[^\n]*?[\p{Nd}|]")) >= 4, let(F.transform(lines, entry), enough)).otherwise(False)
+    # An entry ends with a digit or a bar, or with a link or a tag, marks aside: few sections have four such lines, and only these are looked
+    # at line by line.
+    ends = r"(?U)[\p{Nd}|)>][*_`~\s]*(?:[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]|\z)"
+    listed = F.when(F.regexp_count(whole, F.lit(ends)) >= 4, let(F.transform(lines, entry), enough)).otherwise(False)
     return F.lower(plain).contains("table of contents") | listed
 
 
@@ -125,4 +127,5 @@ def explained(sections: DataFrame) -> DataFrame:
 
 
 def kept(sections: DataFrame) -> DataFrame:
-    return explained(sections).where("reason IS NULL").drop("reason")
+    # A generator, so that the filter isn't pushed, expanded, through the projections that make the reason.
+    return explained(sections).withColumn("reason", F.explode(F.array("reason"))).where("reason IS NULL").drop("reason")

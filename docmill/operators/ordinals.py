@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,18 +25,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def offsets(df: DataFrame, key: str) -> DataFrame:
-    """(key, before): how many rows have a smaller key.  Counts by key are range-partitioned and written with their
-    partition number, so partitions' totals, one row each, give every partition its base."""
-    counts = df.groupBy(key).agg(F.count("*").alias("n")).repartitionByRange(key).withColumn("part", F.spark_partition_id())
-    counts = written(counts, "offsets")
-    totals = counts.groupBy("part").agg(F.sum("n").alias("total"))
-    base = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.join(F.broadcast(totals.select("part", base.alias("base"))), "part").select(key, (F.col("base") + within).alias("before"))
+def in_order(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Rows dealt out by ranges of ``keys``, nulls first, and sorted in their partitions: partition after partition they are in order.
 
+    Rows that tie are told apart by where they stand in the input, so that equal keys don't gather in one partition."""
+    placed = df.withColumn("_tie", F.monotonically_increasing_id())
+    order = [*[F.col(k) if isinstance(k, str) else k for k in keys], F.col("_tie")]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_tie")
 
-def numbered(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
-    """Adds ``name``: 1, 2, ... by ``key`` and then ``order``."""
-    own = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_own", own).join(offsets(df, key), key).withColumn(name, F.col("before") + F.col("_own")).drop("_own", "before")
+
+def dense(df: DataFrame, name: str) -> DataFrame:
+    """Adds ``name``: 1, 2, ... in the order of partitions and of the rows within them.
+
+    Rows are written with their place; what goes to one task is one row a partition."""
+    placed = written(df.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, own = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    totals = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    base = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = F.broadcast(totals.select("_part", base.alias("_base")))
+    return placed.withColumn("_part", part).join(bases, "_part").withColumn(name, F.col("_base") + own + 1).drop("_part", "_base", "_at")

@@ -6,9 +6,7 @@ is sent as null and stays in the JVM.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,24 +16,16 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from docmill.functions.arrays import slices
 
 #: Where a window may end, best first: after a paragraph break, a line break, a sentence, a space.
-BREAKS = {kind: re.compile(f"(?={re.escape(kind)})") for kind in ("\n\n", "\n", ". ", " ")}
+BREAKS = ("\n\n", "\n", ". ", " ")
 
 
 def window_bounds(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
-    """(begin, end) of windows of at most ``size`` code points.
-
-    All ends of each kind of break are listed once; a window ends at the last of the best kind that has one whose break begins
-    beyond the overlap, found by bisection, and the next window begins ``overlap`` before that end."""
-    ends = [(len(kind), [m.start() + len(kind) for m in pattern.finditer(text)]) for kind, pattern in BREAKS.items()]
-
-    def last(width: int, of_kind: list[int], low: int, high: int) -> int | None:
-        i = bisect_right(of_kind, high)
-        return of_kind[i - 1] if i and of_kind[i - 1] >= low + width else None
-
+    """(begin, end) of windows of at most ``size`` code points: a window ends after the last break, of the best kind that has one, that begins
+    beyond the overlap; the next window begins ``overlap`` before that end."""
     begin = 0
     while begin + size < len(text):
-        found = (last(width, of_kind, begin + overlap, begin + size) for width, of_kind in ends)
-        end = next((e for e in found if e is not None), begin + size)
+        found = ((text.rfind(kind, begin + overlap, begin + size), len(kind)) for kind in BREAKS)
+        end = next((at + width for at, width in found if at >= 0), begin + size)
         yield begin, end
         begin = max(begin + 1, end - overlap)
     yield begin, len(text)
@@ -80,6 +70,13 @@ def item_pieces(rows: list[str], items: list[int], size: int) -> list[str]:
     return ["\n".join(texts[i : i + n]).strip() for i, n in greedy(units, 0, 1, size)]
 
 
+def block_pieces(kind: str, text: str, rows: Sequence[str], items: Sequence[int], size: int, overlap: int) -> list[str]:
+    """Pieces of a block that is too long: groups of rows, groups of items, or windows."""
+    if kind == "table":
+        return row_pieces(list(rows), size) if len(rows) > 2 else [text]
+    return item_pieces(list(rows), list(items), size) if kind == "list" else windows(text, size, overlap)
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def window_split(text: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else windows(t, s, o) for t, s, o in zip(text, size, overlap)], dtype=object)
@@ -87,14 +84,7 @@ def window_split(text: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Ser
 
 @F.pandas_udf(ArrayType(StringType()))
 def long_block(kind: pd.Series, text: pd.Series, lines: pd.Series, items: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
-    def pieces(k, t, rows, own, s, o):
-        if t is None:
-            return None
-        if k == "table":
-            return row_pieces(list(rows), s) if len(rows) > 2 else [t]
-        return item_pieces(list(rows), list(own), s) if k == "list" else windows(t, s, o)
-
-    return pd.Series([pieces(*x) for x in zip(kind, text, lines, items, size, overlap)], dtype=object)
+    return pd.Series([None if t is None else block_pieces(k, t, rows, own, s, o) for k, t, rows, own, s, o in zip(kind, text, lines, items, size, overlap)], dtype=object)
 
 
 @F.pandas_udf(ArrayType(StructType([StructField("at", IntegerType()), StructField("n", IntegerType())])))

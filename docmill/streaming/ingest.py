@@ -22,8 +22,7 @@ def ingest(spark: SparkSession, folder: str, target: str, checkpoint: str, horiz
     fresh = markdown_stream(spark, folder).withColumn("digest", F.sha2(F.col("text").cast("binary"), 256)).withWatermark("arrived", horizon).dropDuplicatesWithinWatermark(["digest"])
 
     def write(batch: DataFrame, number: int) -> None:
-        made = chunks.emit(chunks.bodies(chunks.filters.kept(chunks.sections(batch)), config), config)
-        made.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target)
+        chunks.passages(batch, config).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target)
 
     query = fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -4,7 +4,10 @@ import re
 from model import SF, dropped, passages, plain, sections
 from pyspark.sql import functions as F
 
+from docmill.functions import text as T
 from docmill.operators import chunks, filters
+from docmill.operators import lines as L
+from docmill.operators import sections as S
 from docmill.plans.markdown import decorated
 
 
@@ -66,3 +69,26 @@ def test_no_list_of_numbers_overflows_a_stack(spark):
     why = {r.source: r.why for r in filters.explained(chunks.sections(docs)).withColumnRenamed("reason", "why").collect()}
     assert why["0"] == why["1"] == "cross_reference" and why["2"] is None and why["5"] == "contents_list"
     assert chunks.chunks(docs).count() > 0
+
+
+def test_documents_of_one_name_or_of_none_stay_apart(spark):
+    body = "Enough words to make a passage that is kept, as it is over eighty characters long in all. "
+    rows = [("c", None), ("a", f"# One\nalpha {body}"), (None, f"# N\nnu {body}"), ("a", f"# Two\nbeta {body}\n# Three\ngamma {body}"), (None, f"# M\nmu {body}"), ("b", ""), ("a", f"# One\nalpha {body}")]
+    docs = spark.createDataFrame(rows, "source string, text string").repartition(3)
+    got = [(r["index"], r.source, " ".join(r.text.split()[1:3])) for r in chunks.chunks(docs).orderBy("index").collect()]
+    assert got == [(1, None, "M mu"), (2, None, "N nu"), (3, "a", "One alpha"), (4, "a", "One alpha"), (5, "a", "Two beta"), (6, "a", "Three gamma")]
+    ranked = docs.withColumn("corpus_rank", F.when(F.col("text").contains("alpha"), 1))
+    assert [r.corpus_rank for r in chunks.chunks(ranked).orderBy("index").collect()] == [None] * 4 + [1] * 2
+
+
+def test_the_builder_shuffles_once_before_numbering(spark):
+    docs = spark.createDataFrame([("a", "# x\ny")], "source string, text string")
+    plan = chunks.passages(chunks.ordinals.in_order(docs, "source"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_folded_sections_equal_those_of_line_rows(spark):
+    docs = decorated(spark.read.parquet(f"{SF}/documents.parquet"))
+    columns = ["source", "section_no", "section_id", "level", "heading_raw", "heading_text", "path", "page_start", "page_end", "body"]
+    by_lines = S.sections(L.with_headings(L.paged(L.numbered(docs.select("source", T.strip_spans(F.col("text")).alias("text"))))))
+    assert sorted(map(tuple, by_lines.select(columns).collect())) == sorted(map(tuple, chunks.sections(docs).select(columns).collect()))

@@ -151,10 +151,20 @@ def test_top_k_equals_brute_force(spark):
 
 
 def test_numbers_are_dense_in_order(spark):
-    rows = spark.range(1000).select((F.col("id") % 37).alias("k"), "id").repartition(7)
-    got = [(r.k, r.id) for r in ordinals.numbered(rows, "k", ["id"], "n").orderBy("n").collect()]
-    assert got == sorted(got) and len(got) == 1000
-    assert ordinals.numbered(rows.limit(0), "k", ["id"], "n").count() == 0
+    rows = spark.range(1000).select(F.when(F.col("id") % 37 > 0, F.col("id") % 37).alias("k"), "id").repartition(7)
+    got = [(r.n, r.k or 0, r.id) for r in ordinals.dense(ordinals.in_order(rows, "k", "id"), "n").orderBy("n").collect()]
+    assert got == [(n, *x) for n, x in enumerate(sorted((i % 37, i) for i in range(1000)), 1)]
+    assert ordinals.dense(ordinals.in_order(rows.limit(0), "k"), "n").count() == 0
+
+
+def test_equal_keys_are_dealt_out(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else small partitions are put together again
+    try:
+        placed = ordinals.in_order(spark.range(0, 40_000, 1, 8).select(F.lit("one").alias("k"), "id"), "k")
+        sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 4 and max(sizes) < 20_000
 
 
 def test_incremental_ingest_takes_a_text_once(spark, tmp_path):
