@@ -106,8 +106,11 @@ def q_span_totals(spark, d):
 
 @query
 def q_page_markers(spark, d):
-    line = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("{"), F.col("line_no"), F.lit("}"), F.repeat(F.lit("-"), F.lit(48)))).when(F.col("line_no") % 3 == 1, F.concat(F.lit("{7}"), F.repeat(F.lit("-"), F.lit(47)))).otherwise(F.col("line"))
-    return lines.numbered(_docs(spark, d)).select("source", "line_no", T.page_marker_line(line).alias("line"))
+    """Every line of the texts, and after each a page marker and what misses one by a dash."""
+    n = F.col("line_no")
+    marker, not_quite = F.concat(F.lit("{"), n, F.lit("}"), F.repeat(F.lit("-"), F.lit(48))), F.concat(F.lit("{7}"), F.repeat(F.lit("-"), F.lit(47)))
+    every = lines.numbered(_docs(spark, d)).select("source", "line_no", F.posexplode(F.array("line", marker, not_quite)).alias("part", "line"))
+    return every.select("source", "line_no", "part", T.page_marker_line(F.col("line")).alias("line"))
 
 
 @query
@@ -234,14 +237,16 @@ def q_exclude_anti(spark, d):
 
 @query
 def q_unresolved_sources(spark, d):
-    docs = _table(spark, d, "documents")
-    return bundle.unresolved(docs.select("source").distinct(), docs.where("n_chars >= 12000"))
+    """Documents without a label."""
+    source = F.col("doc_id").alias("source")
+    return bundle.unresolved(_table(spark, d, "documents").select(source), _table(spark, d, "labels").select(source))
 
 
 @query
 def q_resolve_first(spark, d):
-    docs = _table(spark, d, "documents")
-    return bundle.resolve(docs.select("source").distinct(), docs.where("lang = 'fr'").select("source", F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("rel_path")))
+    """The first label, as a path, of every document."""
+    path = F.format_string("%s/%s", F.col("quality").cast("string"), F.col("toxic").cast("string")).alias("rel_path")
+    return bundle.resolve(_table(spark, d, "documents").select(F.col("doc_id").alias("source")), _table(spark, d, "labels").select(F.col("doc_id").alias("source"), path))
 
 
 @query
@@ -257,9 +262,9 @@ def q_manifest(spark, d):
 
 @query
 def q_manifest_json(spark, d):
-    """A bundle of one file for each source, with the nations as artefacts."""
-    files = _table(spark, d, "documents").groupBy("source").agg(F.min("text").alias("text"))
-    files = files.select("source", F.col("source").alias("rel_path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content"))
+    """A bundle of one file for each document, with the nations as artefacts."""
+    name = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    files = _table(spark, d, "documents").select(name.alias("source"), name.alias("rel_path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content"))
     nations = _table(spark, d, "nation").select(F.col("n_nationkey").alias("position"), F.col("n_name").alias("rel_path"), F.octet_length("n_name").cast("bigint").alias("length"), F.col("n_name").cast("binary").alias("content"))
     return bundle.manifest(bundle.document_entries(bundle.resolve(files.select("source"), files), files), bundle.artifact_entries(nations), "v1")
 
@@ -271,7 +276,10 @@ def q_checksums(spark, d):
 
 @query
 def q_bad_entries(spark, d):
-    return bundle.bad_entries(_table(spark, d, "pages").select("page_id", F.concat(F.element_at(F.array(F.lit("x/._a"), F.lit("__MACOSX/b"), F.lit("a/.DS_Store"), F.lit("ok/")), (F.col("page_id") % 4 + 1).cast("int")), F.when(F.col("page_id") % 4 == 3, F.col("url")).otherwise("")).alias("path")))
+    """Every address, as it is or hidden in a way that a bundle must not hold."""
+    url = F.col("url")
+    hidden = F.element_at(F.array(F.concat(F.lit("x/._"), url), F.concat(F.lit("__MACOSX/"), url), F.concat(url, F.lit("/.DS_Store")), url), (F.col("page_id") % 4 + 1).cast("int"))
+    return bundle.bad_entries(_table(spark, d, "pages").select("page_id", hidden.alias("path")))
 
 
 @query
@@ -340,9 +348,9 @@ def q_embed_stub(spark, d):
 
 
 def _turns(spark, d):
-    """Turns of conversations, every tenth without words."""
-    text = F.when(F.col("turn") % 10 == 0, " ").otherwise(F.col("text"))
-    return _table(spark, d, "conversations").select("conv_id", "turn", text.alias("text"))
+    """Turns of conversations, and after every tenth one without words."""
+    turns = _table(spark, d, "conversations").select("conv_id", "turn", "text")
+    return turns.unionByName(turns.where("turn % 10 = 0").select("conv_id", (-F.col("turn") - 1).alias("turn"), F.lit(" ").alias("text")))
 
 
 @query

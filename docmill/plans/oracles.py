@@ -282,7 +282,7 @@ def _struct(values: dict) -> str:
     return "{" + ", ".join(f"'{k}': {literal(v)}" for k, v in values.items()) + "}"
 
 
-_TURNS = "turns AS (SELECT conv_id, turn, turn % 10 <> 0 AND regexp_matches(text, '\\S') AS words FROM conversations)"
+_TURNS = "turns AS (SELECT conv_id, turn, regexp_matches(text, '\\S') AS words FROM conversations UNION ALL SELECT conv_id, -turn - 1, false FROM conversations WHERE turn % 10 = 0)"
 WORD_SUMS = (
     f"{DOCS}, wd AS (SELECT source, unnest(regexp_extract_all(lower(text), '\\S+')) AS w FROM docs), hs AS (SELECT source, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM wd), "
     "sums AS (SELECT source, h % 768 AS b, sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END) AS x FROM hs GROUP BY ALL)"
@@ -299,7 +299,7 @@ RAW = {
     "q_skip_reasons": ("source bigint, section_no int, reason string", f"WITH {_reason()} SELECT * FROM why"),
     "q_strip_spans": ("source bigint, stripped string, n_spans bigint", f"WITH {MD} SELECT source, {sub('text', '<span[^>]*></span>')} AS stripped, len(regexp_extract_all(text, '<span[^>]*></span>')) AS n_spans FROM md"),
     "q_span_totals": ("files bigint, unchanged bigint, removed bigint", f"WITH {MD}, n AS (SELECT len(regexp_extract_all(text, '<span[^>]*></span>')) AS n FROM md) SELECT count(*) AS files, count(*) FILTER (n = 0) AS unchanged, sum(n) AS removed FROM n"),
-    "q_page_markers": ("source bigint, line_no int, line string", f"WITH {DOCS}, dl AS ({split_lines('docs')}) SELECT source, line_no, CASE line_no % 3 WHEN 0 THEN '<!-- page: ' || (line_no + 1) || ' -->' WHEN 1 THEN '{{7}}' || repeat('-', 47) ELSE line END AS line FROM dl"),
+    "q_page_markers": ("source bigint, line_no int, part int, line string", f"WITH {DOCS}, dl AS ({split_lines('docs')}) SELECT source, line_no, unnest([0, 1, 2]) AS part, unnest([line, '<!-- page: ' || (line_no + 1) || ' -->', '{{7}}' || repeat('-', 47)]) AS line FROM dl"),
     "q_inline_strip": ("source bigint, line_no int, plain string, key string", f"WITH {ML} SELECT source, line_no, {inline('line')} AS plain, {key('line')} AS key FROM ml"),
     "q_footer_strip": ("source bigint, line_no int, footer boolean, artifact boolean", f"WITH {ML} SELECT source, line_no, {footer('line')} AS footer, {artifact('line')} AS artifact FROM ml"),
     "q_clean_text": ("source bigint, cleaned string", f"WITH {MD}, {cleaning('md')} SELECT * FROM cd"),
@@ -317,12 +317,12 @@ RAW = {
     "q_normalize_ids": ("page_id bigint, normalized_id string", f"SELECT page_id, {NORM.format('url')} AS normalized_id FROM pages"),
     "q_norm_collisions": ("normalized_id string, n bigint", f"SELECT {NORM.format('s')} AS normalized_id, count(DISTINCT s) AS n FROM (SELECT url AS s FROM pages UNION ALL SELECT replace(url, '/', '_') FROM pages) GROUP BY 1 HAVING count(DISTINCT s) > 1"),
     "q_exclude_anti": ("doc_id bigint, source string", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)"),
-    "q_unresolved_sources": ("source string", "SELECT source FROM documents GROUP BY source HAVING max(n_chars) < 12000"),
-    "q_resolve_first": ("source string, rel_path string", "SELECT source, min(lpad(CAST(doc_id AS STRING), 9, '0')) FILTER (lang = 'fr') AS rel_path FROM documents GROUP BY source"),
+    "q_unresolved_sources": ("source bigint", "SELECT doc_id AS source FROM documents ANTI JOIN labels USING (doc_id)"),
+    "q_resolve_first": ("source bigint, rel_path string", "SELECT doc_id AS source, min(quality || '/' || toxic) AS rel_path FROM documents LEFT JOIN labels USING (doc_id) GROUP BY doc_id"),
     "q_sha256": ("doc_id bigint, sha256 string, file_size bigint", "SELECT doc_id, sha256(text) AS sha256, strlen(text) AS file_size FROM documents"),
     "q_manifest": (_ENTRY_ROW, _MANIFEST),
     "q_checksums": ("line string", f"SELECT sha256 || '  ' || bundle_path AS line FROM ({_MANIFEST})"),
-    "q_bad_entries": ("page_id bigint, path string", "SELECT page_id, ['x/._a', '__MACOSX/b', 'a/.DS_Store'][page_id % 4 + 1] AS path FROM pages WHERE page_id % 4 < 3"),
+    "q_bad_entries": ("page_id bigint, path string", "SELECT page_id, [concat('x/._', url), concat('__MACOSX/', url), concat(url, '/.DS_Store'), url][page_id % 4 + 1] AS path FROM pages WHERE page_id % 4 < 3 OR regexp_matches(url, '(^|/)\\._|(^|/)\\.DS_Store$|^__MACOSX/')"),
     "q_bundle_totals": ("n_documents bigint, bytes bigint", "SELECT count(*) AS n_documents, sum(strlen(html)) AS bytes FROM pages"),
     "q_chunkfile_roundtrip": ("source bigint, record_no int, entry string", f"WITH {RECORDS} SELECT * FROM re"),
     "q_count_separators": ("source bigint, n bigint", f"WITH {ENTRY} SELECT source, len(regexp_extract_all(chr(10) || file, '\\n<sep>')) AS n FROM en"),
@@ -349,7 +349,7 @@ RAW = {
     "q_embed_errors": ("conv_id bigint, turn bigint, error string", f"WITH {_TURNS} SELECT conv_id, turn, 'no words' AS error FROM turns WHERE NOT words"),
     "q_manifest_json": (
         "manifest string",
-        f"WITH f AS (SELECT source, min(text) AS text FROM documents GROUP BY source), d AS (SELECT source AS source_id, {NORM.format('source')} AS normalized_id, 'docs/' || {NORM.format('source')} || '.pdf' AS bundle_path, "
+        f"WITH f AS (SELECT lpad(CAST(doc_id AS STRING), 12, '0') AS source, text FROM documents), d AS (SELECT source AS source_id, {NORM.format('source')} AS normalized_id, 'docs/' || {NORM.format('source')} || '.pdf' AS bundle_path, "
         "strlen(text) AS file_size, sha256(text) AS sha256 FROM f), listed AS (SELECT list(d ORDER BY source_id) AS documents FROM d), a AS (SELECT n_nationkey AS position, {'path': n_name, 'file_size': strlen(n_name), 'sha256': sha256(n_name)} AS a FROM nation) "
         "SELECT to_json({'schema_version': 1, 'bundle_version': 'v1', 'producer_repo': '', 'producer_commit': 'unknown', 'chunk_count': NULL, 'source_count': len(documents), "
         f"'embedding': {_struct(EMBEDDING)}, 'source_id_contract': {_struct(SOURCE_IDS)}, "
