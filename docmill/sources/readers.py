@@ -8,11 +8,13 @@ from collections.abc import Iterator
 from contextlib import closing
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.config import SKIP_SOURCES
 from docmill.functions import text as T
+from docmill.operators.ordinals import written
 
 SEP = "<sep>"
 
@@ -71,9 +73,33 @@ def records(text: Column) -> Column:
 
 
 def passages(spark: SparkSession, path: str) -> DataFrame:
-    """(file, record_no, entry) of passage files."""
-    rows = spark.read.text(path, wholetext=True)
-    return rows.select(file_name().alias("file"), F.posexplode(records(F.col("value"))).alias("record_no", "entry"))
+    """(file, record_no, entry) of passage files, by the rules of ``records``; numbers are dense within a file.
+
+    Files are read in splits: ``<sep>`` at the start of a line is the record separator of Spark's line reader, so a large file goes to many tasks
+    and no record is larger than itself in memory.  Records are written with their place in their split, and numbered from the splits' counts,
+    one row each."""
+    rows = spark.read.option("lineSep", f"\n{SEP}").text(path).select("_metadata.file_path", "_metadata.file_block_start", F.col("_metadata.file_name").alias("_name"), "value")
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds whether a row is its split's first; a task reads split after split."""
+        last = None
+        for b in batches:
+            own = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            first = [k != before for k, before in zip(own, [last, *own])]
+            last = own[-1] if own else last
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first, pa.bool_())], [*b.schema.names, "_begins"])
+
+    rows = rows.mapInArrow(begun, "file_path string, file_block_start bigint, _name string, value string, _begins boolean")
+    # A file's first record still has the separator of its first line.
+    opening = F.col("_begins") & (F.col("file_block_start") == 0) & F.col("value").startswith(SEP)
+    entry = T.strip(F.when(opening, F.substring("value", len(SEP) + 1, 1 << 30)).otherwise(F.col("value")))
+    found = rows.withColumn("entry", entry).where("entry <> ''").drop("value", "_begins").withColumn("_at", F.monotonically_increasing_id())
+    found = written(found, "records")
+    split = ("file_path", "file_block_start")
+    counts = found.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1))
+    placed = found.join(counts.withColumn("_before", F.coalesce(before, F.lit(0))), [*split])
+    return placed.select(file_name(F.col("_name")).alias("file"), (F.col("_before") + F.col("_at") - F.col("_first")).alias("record_no"), "entry")
 
 
 def count_separators(spark: SparkSession, path: str) -> DataFrame:

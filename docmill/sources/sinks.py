@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from docmill.operators.chunks import prefixed
@@ -25,6 +25,15 @@ def write_passages(chunks: DataFrame, path: str, one_file: bool = False) -> None
     rows.select(entry(F.col("entry")).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_counted(chunks: DataFrame, path: str) -> Row:
+    """Passages as Parquet, and their ``summary``, taken by the same scan as they are written."""
+    seen = Observation("passages")
+    n, total = F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))
+    chunks.observe(seen, n.alias("n_chunks"), total.cast("bigint").alias("total_chars")).write.mode("overwrite").parquet(path)
+    found = seen.get
+    return Row(n_chunks=found["n_chunks"], total_chars=found["total_chars"], avg_chars=found["total_chars"] // max(found["n_chunks"], 1))
+
+
 SIDECAR = ("chunk_id", "source", "page_start", "page_end", "section_id", "section_path", "chunk_type", "text")
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import re
 import sqlite3
 import struct
 
@@ -182,3 +183,35 @@ def test_incremental_ingest_takes_a_text_once(spark, tmp_path):
 def test_windowed_counts(spark):
     events = spark.createDataFrame([(0, "a"), (30, "a"), (61, "a"), (62, "b")], "s int, event_type string").select(F.timestamp_seconds("s").alias("ts"), "event_type")
     assert sorted((r.event_type, r.n) for r in lines_per_minute(events).collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_passage_files_are_read_in_splits(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    texts = {
+        "big.txt": "before the first\n" + "".join(f"<sep>[SOURCE:s{k}|PAGE:1]\n" + "word é <sep> no\n" * rng.randrange(4) + ("" if k % 9 else " \n<sep>\n\n") for k in range(6000)),
+        "a b.txt": "<sep>one\n<sep>two\r\n<sep>  \n<sep>three", "plain.txt": "no separator\nat all", "empty.txt": "", "only.txt": "<sep>", "x.txt": " <sep>y\n\n\n<sep><sep>z\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    wanted = {}
+    for name, text in texts.items():
+        parts = [p.strip() for p in re.split(r"(?:^|\n)<sep>", text)]
+        wanted |= {(name, n): p for n, p in enumerate(p for p in parts if p)}
+    for most in ("4k", "64k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            out = readers.passages(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len(out) == len(wanted) and {(r.file, r.record_no): r.entry for r in out} == wanted, most
+
+
+def test_totals_come_with_the_write(spark, tmp_path):
+    made = spark.range(1000).select(F.col("id").alias("index"), F.repeat(F.lit("é"), (F.col("id") % 50).cast("int")).alias("text"))
+    found = sinks.write_counted(made, str(tmp_path / "p"))
+    assert found == chunks.summary(made).first() and spark.read.parquet(str(tmp_path / "p")).count() == 1000
+    assert sinks.write_counted(made.limit(0), str(tmp_path / "q"))[:] == (0, 0, 0)
