@@ -10,7 +10,7 @@ from docmill.operators import blocks as B
 from docmill.operators import bundle, chunks, filters, lines, ordinals, pack, sections, vectors
 from docmill.plans import oracles
 from docmill.plans.markdown import decorated, from_html
-from docmill.sources import readers
+from docmill.sources import readers, webpages
 
 QUERIES: dict = {}
 FLAGSHIP = "q_chunks_full"
@@ -83,6 +83,13 @@ def q_html_lines(spark, d):
     )
 
 
+@query
+def q_html_markdown(spark, d):
+    """Markdown of every page, or its error."""
+    made = webpages.extract(_table(spark, d, "pages"), "page_id", base="url")
+    return made.select(F.col("source").cast("bigint").alias("page_id"), "markdown", "error")
+
+
 @query
 def q_blocks(spark, d):
     return B.blocks(B.with_blocks(B.body_lines(_sections(spark, d)))).drop("lines")
