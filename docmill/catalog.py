@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions import text as T
 from docmill.operators import blocks as B
-from docmill.operators import bundle, chunks, filters, lines, ordinals, pack, sections, vectors
+from docmill.operators import ann, bundle, chunks, filters, lines, ordinals, pack, sections, vectors
 from docmill.plans import oracles
 from docmill.plans.markdown import decorated, from_html
 from docmill.sources import readers, webpages
@@ -376,6 +376,14 @@ def q_cosine_topk(spark, d):
     return vectors.top_k(rows.where("vec_id % 20 = 0"), rows, 5)
 
 
+@query
+def q_ivf_topk(spark, d):
+    """Approximate search over every row of an inverted file; recall is tested against ``q_cosine_topk``."""
+    rows = _table(spark, d, "embeddings")
+    coder = ann.train(rows, 32, 16)
+    return ann.search(rows.where("vec_id % 20 = 0"), ann.index(rows, coder), rows, coder, 5, probes=24, refine=128)
+
+
 @query
 def q_events_windows(spark, d):
     """The batch form of the streaming windowed count."""
