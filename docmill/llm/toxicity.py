@@ -9,9 +9,9 @@ Labels are 0 or 1; a first fit with one threshold ranks the toxic documents of t
 score gets grade 2, and the ordinal fit learns all three grades.  Labels that are graded already (a maximum over 1) are used as
 they are.
 
-Fitting uses a bounded sample: of each label the ``SAMPLE`` documents with the smallest hash of doc_id, and of a doc_id that several rows
-have the text with the least hash.  So at most SAMPLE x FEATURES values a label go to the driver, whatever the texts' lengths.  Weights are a table of
-2^``BITS`` floats, so what is broadcast doesn't grow.
+Fitting uses a bounded sample: of each label the documents whose hash of doc_id is in a share of about ``SAMPLE`` of them, and of a doc_id that several rows
+have the text with the least hash.  Features are counted and chosen in Spark; about SAMPLE x FEATURES values a label, four bytes each, go to
+the driver at most, whatever the texts' lengths.  Weights are a table of 2^``BITS`` floats, so what is broadcast doesn't grow.
 
 Defined results: a null text, or one without words, has no features and gets the intercepts' severity; rows repeat as
 they come; labels without a document or with null columns aren't learnt from; a doc_id that repeats in labels counts
@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import steps, utf8
+from docmill.llm.common import steps, utf8, written
 from docmill.llm.shingles import _words, mix
 
 BITS = 20
@@ -64,14 +64,14 @@ def _rows_dot(bounds: np.ndarray, features: np.ndarray, values: np.ndarray, weig
     return np.bincount(rows, values * weights[features], len(bounds) - 1)
 
 
-def evidence(n1: np.ndarray, n0: np.ndarray, N1: int, N0: int) -> np.ndarray:
+def evidence(n1: Column, n0: Column, N1: int, N0: int) -> Column:
     """Log-likelihood ratio (G squared) of a feature's presence against the label."""
-    out = np.zeros(len(n1))
+    total = F.lit(0.0)
     for x, n in ((n1, N1), (n0, N0)):
-        for y, total in ((x, n1 + n0), (n - x, N1 + N0 - n1 - n0)):
-            expected = np.maximum(total * (n / (N1 + N0)), 1e-12)
-            out += np.where(y > 0, 2 * y * np.log(np.maximum(y, 1e-12) / expected), 0)
-    return out
+        for y, both in ((x, n1 + n0), (n - x, N1 + N0 - n1 - n0)):
+            expected = both * (n / (N1 + N0))
+            total = total + F.when(y > 0, 2 * y * F.log(y / expected)).otherwise(0.0)
+    return total
 
 
 class Model:
@@ -125,15 +125,17 @@ def fit(bounds: np.ndarray, features: np.ndarray, values: np.ndarray, grade: np.
 def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model | None:
     """Fit on a bounded sample of the labelled documents."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull()).groupBy("doc_id").agg(F.max(F.col(column).cast("int")).alias("grade"))
-    # A grade's share of rows with small hashes, three times what is asked for: the ranking never gathers a grade.
+    sizes = {r["grade"]: r["n"] for r in known.groupBy("grade").agg(F.count("*").alias("n")).collect()}  # one row a grade
+    if len(sizes) < 2:
+        return None
+    lowest = min(sizes)
+    # By a threshold of the hash, so nothing is ranked.
     spread = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
-    sizes = F.broadcast(known.groupBy("grade").agg(F.count("*").alias("size")))  # one row a grade
-    order = Window.partitionBy("grade").orderBy(spread, "doc_id")
-    few = known.join(sizes, "grade").where(spread <= 3.0 * SAMPLE / F.col("size"))
-    sample = few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE).select("doc_id", "grade")
-    # At most SAMPLE rows a grade: a proven bound, so documents are filtered where they lie.
+    share = F.coalesce(*[F.when(F.col("grade") == g, F.lit(SAMPLE / n)) for g, n in sizes.items()])
+    sample = known.where(spread <= share).select("doc_id", "grade")
+    # About SAMPLE rows a grade: a proven bound, so documents are filtered where they lie.
     met = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(sample), "doc_id")
-    picked = met.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("grade", "text")
+    picked = written(met.groupBy("doc_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("grade", "text"), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,17 +146,14 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
                 n1 = np.bincount(place, toxic, len(f)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(n1), pa.array(np.bincount(place, minlength=len(f)) - n1)], ["feature", "n1", "n0"])
 
-    shares = {r["grade"]: (r["n"], r["sampled"]) for r in known.groupBy("grade").agg(F.count("*").alias("n"), F.least(F.count("*"), F.lit(SAMPLE)).alias("sampled")).collect()}  # one row a grade
-    if len(shares) < 2:
+    there = {r["grade"]: r["n"] for r in picked.groupBy("grade").agg(F.count("*").alias("n")).collect()}  # one row a grade
+    N1, N0 = (sum(n for g, n in there.items() if (g > lowest) == toxic) for toxic in (True, False))
+    if not N1 or not N0:
         return None
-    lowest = min(shares)
-    met = picked.mapInArrow(count, "feature bigint, n1 bigint, n0 bigint").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST).toArrow()
-    n1, n0 = met["n1"].to_numpy(), met["n0"].to_numpy()
-    N = {k: sum(v[1] for g, v in shares.items() if (g == lowest) == k) for k in (True, False)}
-    chosen = np.zeros(1 << BITS, bool)  # of at most 2^BITS features, those with evidence
-    strength = evidence(n1, n0, N[False], N[True])
-    order = np.lexsort((met["feature"].to_numpy(), -strength))[:FEATURES]
-    chosen[met["feature"].to_numpy()[order[strength[order] >= EVIDENCE]]] = True
+    counts = picked.mapInArrow(count, "feature bigint, n1 bigint, n0 bigint").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST)
+    best = counts.select("feature", evidence(F.col("n1"), F.col("n0"), N1, N0).alias("evidence")).where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "feature").limit(FEATURES)
+    chosen = np.zeros(1 << BITS, bool)
+    chosen[best.select("feature").toArrow()["feature"].to_numpy()] = True
     selected = docs.sparkSession.sparkContext.broadcast(np.packbits(chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,19 +162,19 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model |
             for i, n, bounds, features, values in sparse(b.column(1)):
                 keep = use[features]
                 cut = pa.array(np.concatenate(([0], np.cumsum(keep)))[bounds].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.ListArray.from_arrays(cut, pa.array(features[keep])), pa.ListArray.from_arrays(cut, pa.array(values[keep]))], ["grade", "features", "values"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), pa.ListArray.from_arrays(cut, pa.array(features[keep], pa.int32())), pa.ListArray.from_arrays(cut, pa.array(values[keep], pa.float32()))], ["grade", "features", "values"])
 
-    got = picked.mapInArrow(run, "grade int, features array<bigint>, values array<double>").toArrow().combine_chunks()
+    got = picked.mapInArrow(run, "grade int, features array<int>, values array<float>").toArrow().combine_chunks()
     grade = got["grade"].to_numpy()
     if len(set(grade.tolist())) < 2:
         return None
     lens = np.array(pc.list_value_length(got["features"]))
-    features, values = (np.array(pc.list_flatten(got[c])) for c in ("features", "values"))
+    features, values = (np.array(pc.list_flatten(got[c])).astype(kind) for c, kind in (("features", np.int64), ("values", np.float64)))
     bounds = np.concatenate(([0], np.cumsum(lens)))
     grade = grade - grade.min()
     clean, sampled = int((grade == 0).sum()), len(grade)
     # The sample is balanced: thresholds move by the log ratio of the odds in the labels to those in the sample.
-    shift = np.log((sum(v[0] for v in shares.values()) - shares[lowest][0]) / shares[lowest][0]) - np.log((sampled - clean) / clean)
+    shift = np.log((sum(sizes.values()) - sizes[lowest]) / sizes[lowest]) - np.log((sampled - clean) / clean)
     if grade.max() == 1:
         model = fit(bounds, features, values, grade)
         dot = _rows_dot(bounds, features, values, model.weights)
