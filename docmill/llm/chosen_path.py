@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import written
-from docmill.llm.components import components
+from docmill.llm.common import forget, written
+from docmill.llm.components import components, join_counted
 from docmill.llm.shingles import hashed, mix
 
 THRESHOLD = 0.8
@@ -189,7 +189,8 @@ def candidate_edges(sketch: DataFrame, threshold: float = THRESHOLD) -> DataFram
     for level in range(1, DEPTH + 1):
         frontier = written(frontier, "paths")
         sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        held = written(frontier.join(sizes, "path"), "buckets")
+        held = written(join_counted(frontier, sizes, "path", "size", frontier.count(), "size"), "buckets")
+        forget(frontier)
         leaf = held.where(F.col("size") <= SMALL)
         small = leaf if small is None else small.union(leaf)
         large = held.where(F.col("size") > SMALL)

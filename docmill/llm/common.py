@@ -31,7 +31,16 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared folder and read it back."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete what ``written`` made of these frames: for what a later written result has taken up, so that no plan reads it again."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import written
+from docmill.llm.common import forget, written
 
 
 #: A node with more edges than this, and than a thousandth of all, is hot: there are fewer than 2000 of them.
 HOT = 200
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, n: str, total: int, *keep: str) -> DataFrame:
+    """``rows``, ``total`` of them, with the ``keep`` columns of ``counted``, which has for every key its number of rows ``n``.
+
+    Rows of hot keys stay where they are and meet the few of these as a broadcast, so no key gathers in one task; the others are joined."""
+    hot = F.broadcast(counted.where(F.col(n) > max(HOT, total // 1000)).select(key, *keep))
+    rest = rows.join(hot.select(key), key, "left_anti").join(counted.select(key, *keep), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def _with_least(rows: DataFrame, least: DataFrame, edges: int) -> DataFrame:
-    """``rows`` (u, v) with the m of their u.  Rows of hot nodes stay where they are and meet the few of these as a broadcast, so no
-    star's centre gathers in one task; the others are joined."""
-    hot = F.broadcast(least.where(F.col("n") > max(HOT, edges // 1000)).select("u", "m"))
-    rest = rows.join(hot.select("u"), "u", "left_anti").join(least.select("u", "m"), "u")
-    return rows.join(hot, "u").unionByName(rest)
+    """``rows`` (u, v) with the m of their u."""
+    return join_counted(rows, least, "u", "n", edges, "m")
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
@@ -39,12 +45,13 @@ def _mark(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the component's least node.  Each round's edges, at most as
-    many as the input's, are written to the shared folder."""
+    many as the input's, are written to the shared folder, and deleted once the next round's are."""
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star")
     mark = _mark(edges)
     while mark[0]:
-        large = written(_large_star(edges, mark[0]), "star")
+        before, large = edges, written(_large_star(edges, mark[0]), "star")
         edges = written(_small_star(large, mark[0]), "star")
+        forget(before, large)
         now = _mark(edges)
         if now == mark:
             break

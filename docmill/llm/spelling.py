@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.common import written
+from docmill.llm.common import forget, written
 from docmill.llm.shingles import mix
 
 LETTERS = "A-Za-zÀ-ÿ"
@@ -140,7 +140,9 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         onward = known.select(F.col("name").alias("root"), F.col("root").alias("next"))
         moved = written(known.join(onward, "root", "left").select("name", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        forget(known)
         known = moved.drop("moved")
+        known.written_to = moved.written_to
         if moved.where("moved").isEmpty():
             return known
 
