@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.llm import bpe, chosen_path, decontaminate, language_id, pii
-from docmill.llm.common import table, written
+from docmill.llm.common import forget, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +56,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if k:
+            forget(before)  # the next stage's rows hold all that is needed of it
     return STAGES[-1][1](spark, docs, sf_dir)
