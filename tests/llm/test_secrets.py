@@ -6,6 +6,7 @@ import time
 
 import pytest
 
+from docmill.llm import secrets as S
 from docmill.llm.secrets import is_novel, marginal_bytes, scan, scan_text
 
 PATTERNS = {"assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
@@ -101,3 +102,49 @@ def test_findings_of_repeated_rows_and_ties(spark):
     tied = "AKIA" + "0123456789" * 3  # kinds at one place come in their order
     got = scan_text(f"secret={tied}")
     assert ",".join(f"{k}:{a}:{b}" for a, b, k in got[0]) == plain(f"secret={tied}")
+
+
+def plain_novel(text):
+    """Novel spans by trying every place for a candidate, one character after the other."""
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    base = [tuple(map(int, s.split(":")[1:])) for s in plain(text).split(",") if s]
+    fits = lambda c: re.fullmatch("[A-Za-z0-9+/_=-]", c, re.A) is not None
+    out, done = [], 0
+    for w in S.WORDS.finditer(low):
+        at, end = max(w.end(), done), w.end() + S.REACH
+        while True:
+            starts = [s for s in range(at, end + 1) if s + S.LEAST <= len(text) and all(map(fits, text[s : s + S.LEAST]))]
+            if not starts:
+                break
+            a = z = starts[0]
+            while z < len(text) and fits(text[z]):
+                z += 1
+            at = z
+            if any(a < y and x < z for x, y in base):
+                continue
+            done = z
+            if is_novel(text[a:z], text[max(0, a - S.AROUND) : a] + "\n" + text[z : z + S.AROUND]):
+                out.append((a, z))
+                new_line = S.BREAK.match(text, z)
+                if new_line:
+                    end = max(end, new_line.end())
+    return out
+
+
+def test_novel_spans_equal_plain_search(spark, documents):
+    rng = random.Random(21)
+    letters = string.ascii_letters + string.digits
+
+    def key():
+        return "".join(rng.choice(rng.choice([letters, string.hexdigits, letters + "+/_=-"])) for _ in range(rng.choice([8, 15, 16, 17, 24, 40, 64])))
+
+    parts = ["secret", "private key", "token", "password=", "credential", "api_key: ", " ", " ", "\n", "\r\n", "is", "the configuration_settings_production ", "AKIA", "İ", ".", ": ", "x" * 20, "aaaabbbbccccdddd"]
+    texts = ["".join(key() if rng.random() < 0.25 else rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(2, 30))) for _ in range(1500)]
+    texts += [r.text for r in documents.where("doc_id % 4 = 0").collect()]
+    found = 0
+    for text in texts:
+        want = plain_novel(text)
+        got = [(a, z) for a, z, k in scan_text(text)[1] if k == "novel"]
+        assert got == want, text
+        found += len(got)
+    assert found > 100

@@ -1,3 +1,7 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -70,3 +74,32 @@ def test_repeated_ids_and_long_texts_are_learnt_once(spark):
     labels = spark.createDataFrame([(r[0], int(r[0] >= 100)) for r in rows[:80]], "doc_id bigint, toxic int")
     got = {r.doc_id: r.toxic for r in T.predict(docs.limit(80), T.train(docs, labels)).collect()}
     assert all(got[100 + i] for i in range(40)) and not any(got[i] for i in range(40))
+
+
+def plain_severity(text, model):
+    """Severity and P(grade > 0) by plain loops over bytes, with the hashes spelt out."""
+    whole = 1 << 64
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 % whole
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB % whole
+        return x ^ x >> 31
+
+    raw = (text or "").lower().encode()
+    found = [mix(sum((c + 1) * pow(0x9E3779B97F4A7C15, k, whole) for k, c in enumerate(w)) % whole) for w in re.findall(rb"[0-9a-z_\x80-\xff]+", raw)]
+    found += [mix((int.from_bytes(raw[k : k + 6], "big") + 1) % whole) for k in range(len(raw) - 5)]
+    dot = sum(float(model.weights[f]) * (1 + math.log(n)) for f, n in Counter(h >> 44 for h in found).items())
+    above = [1 / (1 + math.exp(-(dot - t))) for t in model.thresholds]
+    return sum(above), above[0]
+
+
+def test_predictions_equal_plain_loops(spark, edges):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = T.train(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id % 9 = 0").collect()] + [(-k, r.text) for k, r in enumerate(edges.collect(), 1)]
+    got = {r.doc_id: r for r in T.predict(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    for doc_id, text in rows:
+        severity, first = plain_severity(text, model)
+        assert abs(got[doc_id].severity - severity) < 1e-9 and abs(got[doc_id].p_toxic - first) < 1e-9 and got[doc_id].toxic == (got[doc_id].p_toxic >= 0.5)
