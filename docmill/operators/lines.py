@@ -1,4 +1,6 @@
-"""Line-level operators: numbered lines, page carry-forward, headings, classes."""
+"""Line-level operators: numbered lines, page carry-forward, headings, classes.
+
+``source`` is the key of rows of lines: it must tell documents apart.  Where names repeat, use ``sections.folded``, which works on whole documents."""
 
 from __future__ import annotations
 
