@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import sqlite3
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import closing
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, Row
@@ -62,16 +64,58 @@ def export_markdown(docs: DataFrame, folder: str, skip_existing: bool = False) -
     docs.select("source", "text").foreachPartition(store)
 
 
-def export_sqlite(vectors: DataFrame, path: str, batch: int = 100) -> int:
-    """Stream (row_id, text, embeddings) to a SQLite file on the driver, a partition at a time; returns the rows."""
-    db, n = sqlite3.connect(path), 0
-    db.execute("DROP TABLE IF EXISTS rag_vector_store")
-    db.execute("CREATE TABLE rag_vector_store (ROWID INTEGER PRIMARY KEY AUTOINCREMENT, text TEXT NOT NULL, embeddings REAL NOT NULL)")
-    for row in vectors.orderBy("row_id").select("text", "embeddings").toLocalIterator():
-        db.execute("INSERT INTO rag_vector_store (text, embeddings) VALUES (?, ?)", (row.text, bytes(row.embeddings)))
-        n += 1
-        if n % batch == 0:
-            db.commit()
-    db.commit()
-    db.close()
+def _vector_table(path: str, rows: Iterable[Row], batch: int, first: int | None = None) -> int:
+    """Write (text, embeddings) rows to a new SQLite file, committed every ``batch`` rows; returns their number.  With ``first``, ids are those of the rows."""
+    n = 0
+    with closing(sqlite3.connect(path)) as db:
+        db.execute("PRAGMA journal_mode = MEMORY")
+        db.execute("PRAGMA synchronous = OFF")
+        db.execute("DROP TABLE IF EXISTS rag_vector_store")
+        db.execute("CREATE TABLE rag_vector_store (ROWID INTEGER PRIMARY KEY AUTOINCREMENT, text TEXT NOT NULL, embeddings REAL NOT NULL)")
+        for row in rows:
+            number = None if first is None else row.row_id
+            db.execute("INSERT INTO rag_vector_store (ROWID, text, embeddings) VALUES (?, ?, ?)", (number, row.text, bytes(row.embeddings)))
+            n += 1
+            if n % batch == 0:
+                db.commit()
+        db.commit()
     return n
+
+
+def export_sqlite_parts(vectors: DataFrame, folder: str, parts: int | None = None, batch: int = 100) -> DataFrame:
+    """(file, first, last, n): SQLite files of ranges of row_id, written by tasks into a folder that they share; rows keep their ids.
+
+    A file appears whole, under a name of its range; a range that a task writes twice is the same file.  Files of an earlier export go first.
+    ``readers.sqlite_rows`` reads them in tasks again."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    for old in Path(folder).glob("vectors-*.sqlite"):
+        old.unlink()
+
+    def store(rows: Iterator[Row]) -> Iterator[tuple]:
+        held = next(rows, None)
+        if held is None:
+            return
+        first, last = held.row_id, held.row_id
+
+        def every() -> Iterator[Row]:
+            nonlocal last
+            for row in chain([held], rows):
+                last = row.row_id
+                yield row
+
+        part = Path(folder) / f".{uuid.uuid4().hex}.part"
+        n = _vector_table(str(part), every(), batch, first)
+        target = Path(folder) / f"vectors-{first:012d}-{last:012d}.sqlite"
+        os.replace(part, target)
+        yield str(target), first, last, n
+
+    ranged = vectors.select("row_id", "text", "embeddings")
+    ranged = ranged.repartitionByRange(parts, "row_id") if parts else ranged.repartitionByRange("row_id")
+    # Per-partition imperative work: a file has to be open while its rows go by.
+    done = ranged.sortWithinPartitions("row_id").rdd.mapPartitions(store).collect()  # one row a file
+    return vectors.sparkSession.createDataFrame(done, "file string, first bigint, last bigint, n bigint")
+
+
+def export_sqlite(vectors: DataFrame, path: str, batch: int = 100) -> int:
+    """Stream (row_id, text, embeddings) to one SQLite file on the driver, where that is the artefact wanted; returns the rows."""
+    return _vector_table(path, vectors.orderBy("row_id").select("text", "embeddings").toLocalIterator(), batch)

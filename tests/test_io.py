@@ -215,3 +215,31 @@ def test_totals_come_with_the_write(spark, tmp_path):
     found = sinks.write_counted(made, str(tmp_path / "p"))
     assert found == chunks.summary(made).first() and spark.read.parquet(str(tmp_path / "p")).count() == 1000
     assert sinks.write_counted(made.limit(0), str(tmp_path / "q"))[:] == (0, 0, 0)
+
+
+def test_sqlite_parts_are_written_by_tasks(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") * 3 + 1).alias("row_id"), F.concat(F.lit("t"), "id").alias("text"), F.concat(F.lit("VF32"), "id").cast("binary").alias("embeddings")).repartition(5)
+    for _ in range(2):  # a second export replaces the first
+        listed = sinks.export_sqlite_parts(rows, str(tmp_path / "v"), parts=4).orderBy("first").collect()
+    files = sorted(str(p) for p in (tmp_path / "v").iterdir())
+    assert [r.file for r in listed] == files and len(files) == 4 and sum(r.n for r in listed) == 1000
+    assert all(a.last < b.first for a, b in zip(listed, listed[1:]))
+    back = readers.sqlite_rows(spark, files, "SELECT ROWID AS seq, text, embeddings AS blob FROM rag_vector_store").collect()
+    assert sorted((r.seq, r.text, bytes(r.blob)) for r in back) == sorted((r.row_id, r.text, bytes(r.embeddings)) for r in rows.collect())
+    assert sinks.export_sqlite_parts(rows.limit(0), str(tmp_path / "v")).count() == 0 and not list((tmp_path / "v").iterdir())
+
+
+def test_archive_volumes_make_one_archive(spark, tmp_path):
+    import io
+    import tarfile
+
+    held = [(f"docs/{'long name ' * (k % 30)}{k:03d} é.pdf", bytes([k % 256]) * (k * 37 % 3000)) for k in range(200)]
+    files = spark.createDataFrame(held, "path string, content binary").repartition(3)
+    volumes = bundle.archive_parts(files, str(tmp_path / "a"), parts=4)
+    whole = b"".join(open(v, "rb").read() for v in volumes)
+    with tarfile.open(fileobj=io.BytesIO(whole), mode="r:gz") as tar:
+        assert {m.name: tar.extractfile(m).read() for m in tar.getmembers()} == dict(held)
+    assert len(volumes) == 5 and b"".join(open(v, "rb").read() for v in bundle.archive_parts(files, str(tmp_path / "a"), parts=4)) == whole
+    with pytest.raises(bundle.BundleError, match="forbidden"):
+        bundle.archive_parts(spark.createDataFrame([("a/.DS_Store", b"")], files.schema), str(tmp_path / "b"))
+    assert not (tmp_path / "b").exists()
