@@ -4,7 +4,7 @@
   comes to the driver.
 * ``index``: every row goes to its nearest centroid's list, with one byte for each part of its residual.
 * ``search``: a query probes its nearest lists; the dot product with a row is that with the centroid and one table look-up for each
-  part.  Queries go out in blocks of about ``BLOCK``, the bound of each broadcast; each batch of the index sends ``refine`` rows a query and list at most.  The best
+  part.  Queries go out in blocks of about ``BLOCK``, the bound of each broadcast; each task sends ``refine`` rows a query at most.  The best
   ``refine`` of a query are joined to their vectors and ranked by the exact similarity.
 
 A row without a vector, or with a vector of zeros, isn't found; ties go to the smaller vec_id."""
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.operators.ordinals import written
-from docmill.operators.vectors import cosine
+from docmill.operators.vectors import STEP, Best, cosine
 
 SAMPLE = 20_000
 BLOCK = 2048
@@ -113,21 +113,20 @@ def search(queries: DataFrame, indexed: DataFrame, rows: DataFrame, coder: Coder
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, coarse, asks, tables = shared.value
+            best = Best(len(names), refine, np.float32)
             for b in batches:
                 place, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
                 codes = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
                 for c in np.unique(place).tolist():
-                    who, rows_of = asks.get(c, ()), np.flatnonzero(place == c)
-                    if not len(who):
-                        continue
-                    score = np.repeat(coarse[who, c][:, None], len(rows_of), axis=1)
-                    for m in range(codes.shape[1]):
-                        score += tables[who, m][:, codes[rows_of, m]]
-                    score[names[who][:, None] == ids[rows_of][None, :]] = -np.inf
-                    best = np.argsort(-score, axis=1, kind="stable")[:, :refine]
-                    found = np.take_along_axis(score, best, axis=1)
-                    use = np.isfinite(found)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names[who], best.shape[1])[use.ravel()]), pa.array(ids[rows_of[best]][use]), pa.array(found[use])], ["query_id", "vec_id", "score"])
+                    who, held = asks.get(c, ()), np.flatnonzero(place == c)
+                    for lo in range(0, len(held) if len(who) else 0, STEP):
+                        rows_of = held[lo : lo + STEP]
+                        score = np.repeat(coarse[who, c][:, None], len(rows_of), axis=1)
+                        for m in range(codes.shape[1]):
+                            score += tables[who, m][:, codes[rows_of, m]]
+                        score[names[who][:, None] == ids[rows_of][None, :]] = -np.inf
+                        best.add(who, ids[rows_of], score)
+            yield best.batch(names)
 
         near = near.union(indexed.where(F.col("list").isin([int(c) for c in asks])).select("list", "vec_id", "code").mapInArrow(run, "query_id bigint, vec_id bigint, score float"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
