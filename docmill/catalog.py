@@ -42,7 +42,7 @@ def _paged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sections(spark: SparkSession, d: str) -> DataFrame:
-    return sections.sections(lines.with_headings(_paged(spark, d)))
+    return sections.folded(_md(spark, d))
 
 
 @query
@@ -92,7 +92,7 @@ def q_html_markdown(spark, d):
 
 @query
 def q_blocks(spark, d):
-    return B.blocks(B.with_blocks(B.body_lines(_sections(spark, d)))).drop("lines")
+    return B.folded(_sections(spark, d)).drop("lines")
 
 
 @query
@@ -150,7 +150,7 @@ def q_pack_blocks(spark, d):
 
 
 def _long_blocks(spark, d, kind):
-    return B.blocks(B.with_blocks(B.body_lines(_sections(spark, d)))).where((F.col("block_type") == kind) & (F.length("text") > 800))
+    return B.folded(_sections(spark, d)).where((F.col("block_type") == kind) & (F.length("text") > 800))
 
 
 def _pieces(rows):

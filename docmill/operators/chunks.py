@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from docmill.config import ChunkConfig
 from docmill.functions import text as T
+from docmill.operators import blocks as B
 from docmill.operators import filters, ordinals, pack
 from docmill.operators import sections as S
 
@@ -28,35 +29,14 @@ def header(path: Column, heading_raw: Column, config: ChunkConfig) -> Column:
 
 
 _PIECE = StructType([StructField(n, t) for n, t in (("part_no", IntegerType()), ("piece_no", IntegerType()), ("type", StringType()), ("page_start", IntegerType()), ("page_end", IntegerType()), ("text", StringType()))])
-#: Classes of lines as they go to the fold.
-_CLASSES = ("blank", "table", "list", "paragraph")
-
-
-def blocks(classes: Iterable[int]) -> list[tuple[str, list[int], list[int]]]:
-    """(type, numbers of its lines, item of each) of runs of table lines, lists with their continuations, and paragraphs."""
-    out: list[tuple[str, list[int], list[int]]] = []
-    mode = None
-    for at, k in enumerate(classes):
-        kind = _CLASSES[k]
-        now = None if kind == "blank" else "list" if kind == "paragraph" and mode == "list" else kind
-        if now and now != mode:
-            out.append((now, [], []))
-        mode = now
-        if now:
-            _, held, items = out[-1]
-            items.append((items[-1] if items else 0) + (kind == "list"))
-            held.append(at)
-    return out
+_PIECES = pa.list_(pa.struct([("part_no", pa.int32()), ("piece_no", pa.int32()), ("type", pa.string()), ("page_start", pa.int32()), ("page_end", pa.int32()), ("text", pa.string())]))
 
 
 def packed(rows: str, classes: Iterable[int], turns: Iterable[dict], base: int, config: ChunkConfig) -> Iterator[tuple[str, int, int, str]]:
     """(type, first page, last page, text) of the parts of a long section, of about ``size`` with ``base`` counted."""
     lines = rows.split("\n")
-    pages, turns = [], list(turns)
-    for t, after in zip(turns, [*turns[1:], {"at": len(lines)}]):
-        pages += [t["page"]] * (after["at"] - t["at"])
-    units = []
-    for kind, held, items in blocks(classes):
+    pages, units = B.pages_of(list(turns), len(lines)), []
+    for kind, held, items in B.runs(classes):
         text = "\n".join(lines[i] for i in held).strip()
         pieces = [text] if len(text) <= config.size else pack.block_pieces(kind, text, [lines[i] for i in held], items, config.size, config.overlap)
         units += [(kind, pages[held[0]], pages[held[-1]], p.strip()) for p in pieces if p.strip()]
@@ -72,26 +52,35 @@ def pieces(kept: DataFrame, config: ChunkConfig) -> DataFrame:
     A short section is one piece; a long one is packed from its blocks; what is still over the hard bound with the header is cut
     into windows.  Only sections that need it go to Python."""
 
-    @F.pandas_udf(ArrayType(_PIECE))
-    def cut(rows: pd.Series, body: pd.Series, classes: pd.Series, turns: pd.Series, base: pd.Series, start: pd.Series, end: pd.Series, budget: pd.Series) -> pd.Series:
-        def made(r, whole, c, t, heading, a, z, most):
-            if whole is None:
-                return None
-            parts = [("section", a, z, whole)] if c is None else packed(r, c, t, heading, config)
-            return [(n, k, kind, p, q, piece.strip()) for n, (kind, p, q, text) in enumerate(parts) for k, piece in enumerate(pack.windows(text.strip(), most, config.overlap)) if piece.strip()]
-
-        return pd.Series([made(*x) for x in zip(rows, body, classes, turns, base, start, end, budget)], dtype=object)
-
+    def made(r, whole, c, t, heading, a, z, most):
+        if whole is None:
+            return None
+        parts = [("section", a, z, whole)] if c is None else packed(r, c, t, heading, config)
+        return [
+            {"part_no": n, "piece_no": k, "type": kind, "page_start": p, "page_end": q, "text": piece.strip()}
+            for n, (kind, p, q, text) in enumerate(parts) for k, piece in enumerate(pack.windows(text.strip(), most, config.overlap)) if piece.strip()
+        ]
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            held, chars = [], 0
+            for row in zip(*columns):
+                held.append(made(*(x.as_py() for x in row)))
+                chars += sum(len(x["text"]) for x in held[-1] or ())
+                if len(held) == B.BATCH or chars > B.BATCH_CHARS:
+                    yield pa.array(held, _PIECES)
+                    held, chars = [], 0
+            if held:
+                yield pa.array(held, _PIECES)
+
+    cut = F.arrow_udf(run, ArrayType(_PIECE))
     body = F.col("body")
     held = kept.withColumn("head", header(F.col("path"), F.col("heading_raw"), config)).withColumn("_long", F.length(T.rendered(F.col("heading_raw"), body)) > config.max_section)
     budget = F.lit(config.max_chars) - F.when(F.length("head") > 0, F.length("head") + 2).otherwise(0)
     base = F.coalesce(F.length("heading_raw") + 2, F.lit(0))
 
-    def number(line: Column) -> Column:
-        return F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), T.line_class(line)).cast("int") - 1
-
     long = F.col("_long")
-    held = held.withColumn("_classes", F.when(long, F.transform(F.split("rows", "\n", -1), number)))
+    held = held.withColumn("_classes", F.when(long, B.classes(F.col("rows"))))
     made = cut(F.when(long, F.col("rows")), F.when(long | (F.length(body) > budget), body), F.col("_classes"), F.when(long, F.col("turns")), base, F.col("page_start"), F.col("page_end"), budget)
     whole = F.array(F.struct(F.lit(0).alias("part_no"), F.lit(0).alias("piece_no"), F.lit("section").alias("type"), "page_start", "page_end", body.alias("text")))
     return held.select("source", "section_no", "section_id", "path", "head", F.explode(F.coalesce(made, whole)).alias("piece"))

@@ -68,8 +68,8 @@ def sections(lines: DataFrame) -> DataFrame:
 
 
 _FOLDED = """section_no int, level int, heading_raw string, heading_text string, path array<string>, page_start int, page_end int, rows string, turns array<struct<at:int,page:int>>"""
-#: Sections that leave a fold at once.
-BATCH = 512
+#: Sections, or code points of them, that leave a fold at once.
+BATCH, BATCH_CHARS = 512, 1 << 20
 
 
 def marked(text: Column) -> Column:
@@ -128,7 +128,7 @@ def folded(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
         for b in batches:
-            held, of = [], []
+            held, of, chars = [], [], 0
 
             def out() -> pa.RecordBatch:
                 made = pa.Table.from_pylist(held, schema=kind).to_batches()[0]
@@ -144,9 +144,10 @@ def folded(docs: DataFrame) -> DataFrame:
                 for n, s in enumerate(cut(text, marks) if text is not None else (), 1):
                     held.append(s | {"section_no": n})
                     of.append(row)
-                    if len(held) == BATCH:
+                    chars += len(s["rows"])
+                    if len(held) == BATCH or chars > BATCH_CHARS:
                         yield out()
-                        held, of = [], []
+                        held, of, chars = [], [], 0
             if held:
                 yield out()
 

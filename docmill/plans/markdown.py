@@ -35,10 +35,10 @@ DECORATION = "CASE r " + " ".join(f"WHEN {r} THEN {t}" for r, t in TEMPLATES.ite
 
 
 def decorated(docs: DataFrame) -> DataFrame:
-    """(source, text): markdown of each document; source is its doc_id."""
-    lines = docs.select(F.col("doc_id").alias("d"), F.posexplode(F.split("text", "\n", -1)).alias("i", "x")).withColumn("ln", F.col("i") + 1).withColumn("r", F.expr("(d * 7 + ln * 5) % 24"))
-    made = lines.select("d", "ln", F.expr(DECORATION).alias("line"))
-    return made.groupBy(F.col("d").alias("source")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda s: s["line"]), "\n").alias("text"))
+    """(source, text): markdown of each document, made line by line where it lies; source is its doc_id."""
+    whole = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("d"), F.split("text", "\n", -1).alias("_lines"))
+    made = F.expr(f"zip_with(_lines, sequence(1, size(_lines)), (x, ln) -> transform(array((d * 7 + ln * 5) % 24), r -> {DECORATION})[0])")
+    return whole.select(F.col("d").alias("source"), F.array_join(made, "\n").alias("text"))
 
 
 def from_html(pages: DataFrame) -> DataFrame:
