@@ -30,7 +30,8 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _md(spark: SparkSession, d: str) -> DataFrame:
-    return decorated(_table(spark, d, "documents"))
+    """Markdown of the documents, which are dealt out before it is made: a file of one row group would be one task."""
+    return decorated(_table(spark, d, "documents").select("doc_id", "text").repartition("doc_id"))
 
 
 def _md_lines(spark: SparkSession, d: str) -> DataFrame:

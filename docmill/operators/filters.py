@@ -120,7 +120,7 @@ def explained(sections: DataFrame) -> DataFrame:
     wanted = F.col("_whole").rlike(f"[A-Z][*_`~]*-[*_`~]*\\p{{Nd}}|(?i){T.marked('contents')}") | F.col("_whole").contains("](")
     rows = rows.withColumn("_plain", F.when(wanted, T.inline(F.col("_whole"))).otherwise(""))
     costly = (
-        F.when(blank_form(F.col("_profile")), "blank_form").when(sparse_template(key, F.col("_profile")), "sparse_template")
+        F.when(blank_form(F.col("_profile")), "blank_form").when(F.when(F.col("_profile").isNotNull(), sparse_template(key, F.col("_profile"))), "sparse_template")
         .when(manual_index(head, F.col("_plain")), "manual_index").when(contents_list(F.col("_whole"), F.col("_plain")), "contents_list")
     )
     return rows.withColumn("reason", F.coalesce("_cheap", F.when(alive, costly))).drop("_cheap", "_whole", "_profile", "_plain")

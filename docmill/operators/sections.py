@@ -72,8 +72,8 @@ _FOLDED = """section_no int, level int, heading_raw string, heading_text string,
 BATCH, BATCH_CHARS = 512, 1 << 20
 
 
-def marked(text: Column) -> Column:
-    """array<struct<at, page, head>>: the lines (from 0) that are page markers or headings."""
+def marked(lines: Column) -> Column:
+    """array<struct<at, page, head>>: those of the lines (from 0) that are page markers or headings."""
 
     def mark(line: Column, at: Column) -> Column:
         number = F.regexp_extract(line, T.PAGE_MARKER, 1)
@@ -81,7 +81,7 @@ def marked(text: Column) -> Column:
         found = F.struct(at.alias("at"), page.alias("page"), F.when(page.isNull(), T.heading(line)).alias("head"))
         return F.when(line.contains("#") | line.contains("**") | line.contains("<!--"), found)
 
-    return F.filter(F.transform(T.lines(text), mark), lambda m: m["page"].isNotNull() | m["head"].isNotNull())
+    return F.filter(F.transform(lines, mark), lambda m: m["page"].isNotNull() | m["head"].isNotNull())
 
 
 def cut(text: str, marks: list[dict]) -> Iterator[dict]:
@@ -151,8 +151,8 @@ def folded(docs: DataFrame) -> DataFrame:
             if held:
                 yield out()
 
-    text = T.strip_spans(F.col("text"))
-    lines = docs.select(*keep, F.array_join(T.lines(text), "\n").alias("_text"), marked(text).alias("_marks"))
-    made = lines.mapInArrow(run, schema)
+    # A column of its own, so that lines are found once.
+    lines = docs.select(*keep, T.lines(T.strip_spans(F.col("text"))).alias("_lines"))
+    made = lines.select(*keep, F.array_join("_lines", "\n").alias("_text"), marked(F.col("_lines")).alias("_marks")).mapInArrow(run, schema)
     name = source_name(made)
     return made.withColumn("section_id", F.format_string("%s:section:%04d", name.cast("string"), F.col("section_no"))).withColumn("body", T.strip(F.col("rows")))
