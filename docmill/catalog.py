@@ -350,9 +350,14 @@ def q_token_pad(spark, d):
 def q_embed_stub(spark, d):
     rows = vectors.embed(_docs(spark, d))
     blob, v = vectors.vf32_encode(F.col("vector")), F.col("vector")
-    filled = F.size(F.filter(v, lambda x: x != 0)).alias("n_filled")
+
+    def size(x):
+        """-1 without a vector; ``size`` alone is null there in ANSI mode."""
+        return F.coalesce(F.size(x), F.lit(-1))
+
+    filled = size(F.filter(v, lambda x: x != 0)).alias("n_filled")
     peak = F.array_position(v, F.array_max(v)).alias("peak")
-    return rows.select("source", F.size(v).alias("dim"), F.octet_length(blob).cast("bigint").alias("n_bytes"), filled, peak, "error")
+    return rows.select("source", size(v).alias("dim"), F.octet_length(blob).cast("bigint").alias("n_bytes"), filled, peak, "error")
 
 
 def _turns(spark, d):
